@@ -96,7 +96,8 @@ def to_time_ms(value: Column, source: T.DataType, strict: bool) -> Column:
     shaped = F.when(text.rlike(r"^\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"), text)
     if strict:
         shaped = F.coalesce(shaped, F.when(value.isNotNull(), F.raise_error(F.concat(F.lit("not a time: "), text))))
-    at = F.substring(F.concat(F.lit("1970-01-01 "), shaped), 1, 26)
+    whole = F.when(F.length(shaped) == 5, F.concat(shaped, F.lit(":00"))).otherwise(shaped)
+    at = F.substring(F.concat(F.lit("1970-01-01 "), whole), 1, 26)
     micros = F.unix_micros(_cast(F.concat(at, F.lit("Z")), T.TimestampType(), strict))
     return F.floor(micros / 1000).cast("int")
 

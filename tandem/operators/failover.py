@@ -25,10 +25,16 @@ COST_COLUMN = "lookup_cost_ms"
 class LookupFailed(RuntimeError):
     """Neither store could answer; the batch must not be padded with NULLs."""
 
-    def __init__(self, attempts: "list[Attempt]"):
+    def __init__(self, attempts: "list[Attempt]", count: Callable[[], int]):
         self.attempts = attempts
+        self._count = count
         super().__init__("; ".join(f"{a.source}: {a.error_class}: {a.error_message}" for a in attempts))
 
+    @property
+    def n_keys(self) -> int:
+        """Queryable keys of the batch, counted when asked for."""
+        return self._count()
+
 
 @dataclass
 class Attempt:
@@ -177,7 +183,7 @@ def failover_lookup(
             key_table.append(stage(distinct_keys(facts, keys, business), "keys", paths[-1]))
         return key_table[0]
 
-    def answer(raw: DataFrame, by_keys: bool) -> tuple[DataFrame, DataFrame | None]:
+    def answer(raw: DataFrame, by_keys: bool) -> tuple[DataFrame, DataFrame | None, str]:
         if by_keys:
             raw = probe(raw, keys_once(), dim_keys, options.max_in_keys)
         bad = None
@@ -186,29 +192,36 @@ def failover_lookup(
         else:
             good = conform(raw, business, on_bad_row)
         good = one_row_per_key(good.dropna(subset=dim_keys), dim_keys, dim_unique)
-        paths.append(new_staging_path(spark, "answer"))
-        staged = stage(good, "answer", paths[-1])
+        path = new_staging_path(spark, "answer")
+        paths.append(path)
+        staged = stage(good, "answer", path)
         if bad is not None:
             paths.append(new_staging_path(spark, "bad"))
             bad = stage(bad, "bad", paths[-1])
-        return staged, bad
+        return staged, bad, path
 
     attempts: list[Attempt] = []
     for source in (options.primary, options.standby):
         attempt = Attempt(source)
         attempts.append(attempt)
-        try:
-            raw, by_keys = _open(spark, stores[source], strategy, options, dim_keys, keys_once)
-        except Exception as error:
-            attempt.error_class, attempt.error_message = error_of(error)
-            continue
-        asked = by_keys and not hasattr(stores[source], "for_keys")
-        timed = run_with_deadline(spark, lambda: answer(raw, asked), options.deadline_ms)
-        attempt.elapsed_ms = timed.elapsed_ms
-        if timed.error is not None:
-            attempt.error_class, attempt.error_message = error_of(timed.error)
-            continue
-        hits, bad = timed.result
+        loader = stores[source]
+        hits, bad = getattr(loader, "fresh", lambda: None)(), None
+        if hits is None:
+            try:
+                raw, by_keys = _open(spark, loader, strategy, options, dim_keys, keys_once)
+            except Exception as error:
+                attempt.error_class, attempt.error_message = error_of(error)
+                continue
+            asked = by_keys and not hasattr(loader, "for_keys")
+            timed = run_with_deadline(spark, lambda: answer(raw, asked), options.deadline_ms)
+            attempt.elapsed_ms = timed.elapsed_ms
+            if timed.error is not None:
+                attempt.error_class, attempt.error_message = error_of(timed.error)
+                continue
+            hits, bad, path = timed.result
+            if hasattr(loader, "keep") and not by_keys:
+                loader.keep(hits, path)
+                paths.remove(path)
         cost_ms = int(sum(a.elapsed_ms for a in attempts))
         extra = {SOURCE_COLUMN: F.lit(source), COST_COLUMN: F.lit(cost_ms).cast("bigint")}
         answered = hits.withColumns({name: extra[lower] for lower, name in metadata.items()})
@@ -222,7 +235,7 @@ def failover_lookup(
         return LookupResult(enriched, source, cost_ms, attempts, options, bad, count, paths)
     for path in paths:
         delete_path(spark, path)
-    raise LookupFailed(attempts)
+    raise LookupFailed(attempts, lambda: count_facts(distinct_keys(facts, keys, business)))
 
 
 def _open(spark, loader, strategy, options, dim_keys, keys_once) -> tuple[DataFrame, bool]:
@@ -242,6 +255,10 @@ def _open(spark, loader, strategy, options, dim_keys, keys_once) -> tuple[DataFr
     return raw, by_keys
 
 
+def count_facts(keys_df: DataFrame) -> int:
+    return int(keys_df.agg(F.sum("n")).first()[0] or 0)
+
+
 def count_keys(keys_df: DataFrame, hits: DataFrame, keys: list[str]) -> tuple[int, int]:
     """(queryable keys, keys with a dimension row), each key weighted by its facts.
 

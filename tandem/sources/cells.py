@@ -6,12 +6,15 @@ value BINARY`` and, when versions are kept, ``ts``. Any connector or export that
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tandem.functions import binary
 from tandem.functions.conform import coerce, is_time
+from tandem.functions.keys import rowkey
 
 
 def decode_cell(value: Column, field: T.StructField) -> Column:
@@ -60,3 +63,37 @@ def cells_dim(cells: DataFrame, schema: T.StructType, family: str = "info") -> D
 
     wide = wanted.groupBy("rowkey").agg(*[pick(field).alias(field.name) for field in schema])
     return wide.select("rowkey", *[decode_cell(F.col(f.name), f).alias(f.name, metadata=dict(f.metadata or {})) for f in schema])
+
+
+class WideStore:
+    """Loader of a wide-column dimension that can be asked for single keys.
+
+    ``cells`` returns the cells table. A full load reads key columns from their own qualifiers, as
+    every other column. Asked for keys, it encodes them as rowkeys and reads only those rows.
+    """
+
+    def __init__(
+        self,
+        cells: Callable[[SparkSession], DataFrame],
+        schema: T.StructType,
+        keys: list[str],
+        family: str = "info",
+        encoding: str = "string",
+        delimiter: str = "|",
+    ):
+        self.cells = cells
+        self.schema = schema
+        self.keys = keys
+        self.family = family
+        self.encoding = encoding
+        self.delimiter = delimiter
+
+    def __call__(self, spark: SparkSession) -> DataFrame:
+        return cells_dim(self.cells(spark), self.schema, self.family).drop("rowkey")
+
+    def for_keys(self, spark: SparkSession, keys_df: DataFrame) -> DataFrame:
+        parts = [(keys_df[name], self.schema[name]) for name in self.keys]
+        wanted = keys_df.select(*self.keys, rowkey(parts, self.encoding, self.delimiter).alias("rowkey"))
+        cells = self.cells(spark)
+        asked = cells.join(wanted.select("rowkey"), "rowkey", "left_semi")
+        return cells_dim(asked, self.schema, self.family).drop(*self.keys).join(wanted, "rowkey").drop("rowkey")
