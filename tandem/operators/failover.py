@@ -226,6 +226,9 @@ def failover_lookup(
         extra = {SOURCE_COLUMN: F.lit(source), COST_COLUMN: F.lit(cost_ms).cast("bigint")}
         answered = hits.withColumns({name: extra[lower] for lower, name in metadata.items()})
         ordered = answered.select(*[field.name for field in schema])
+        # The answer lies in files by now, so its size is measured and not estimated.
+        if hint is None and salt <= 1 and estimated_bytes(hits) <= options.broadcast_bytes:
+            hint = "broadcast"
         enriched = lookup_join(facts, ordered, keys, how, hint=hint, prefix=prefix, salt=salt)
 
         def count() -> tuple[int, int]:

@@ -16,6 +16,9 @@ Keys = Sequence[str] | Mapping[str, str]
 
 NULL_SPREAD = 256
 
+# A broadcast hint is followed up to this estimated size; beyond it the join shuffles.
+BROADCAST_HINT_BYTES = 512 * 1024 * 1024
+
 
 def key_pairs(keys: Keys) -> list[tuple[str, str]]:
     """(fact column, dimension column) for every part of the key."""
@@ -108,11 +111,14 @@ def lookup_join(
     left = facts.withColumns({f"__probe{i}": value for i, value in enumerate(probe)})
     on = [f"__probe{i} = __key{i}" for i in range(len(pairs))]
 
+    size = estimated_bytes(right)
+    if hint == "broadcast" and size > BROADCAST_HINT_BYTES:
+        hint = None
     if salt > 1:
         left = left.withColumn("__salt", F.pmod(_row_hash(facts), F.lit(salt)).cast("int"))
         right = right.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         on.append("__salt = __slot")
-    elif how == "left" and hint != "broadcast" and estimated_bytes(right) > broadcast_limit(dim.sparkSession):
+    elif how == "left" and hint != "broadcast" and size > broadcast_limit(dim.sparkSession):
         keyless = _any([value.isNull() for value in probe])
         spread = F.when(keyless, F.pmod(_row_hash(facts), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
         left = left.withColumn("__salt", spread)

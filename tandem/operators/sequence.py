@@ -65,31 +65,115 @@ def spaced(
     The first row of a group is kept, then the first one at least ``gap_ms`` later, and so on.
     ``merged`` counts the rows passed over since the emission before. ``gap_ms = 0`` keeps all.
 
-    Each task streams over its sorted rows and remembers one emission per group. A group that
-    spans pieces starts every piece with a guess and repeats until the pieces agree, so the result
-    is that of one pass over the whole group.
+    Each task streams over its sorted rows and remembers one emission. For a group that spans
+    pieces, what every piece receives from the pieces before it is worked out first, so the result
+    is that of one pass over the whole group. ``df`` is staged, as it is read more than once.
     """
     if gap_ms <= 0:
         return df.withColumn("merged", F.lit(0).cast("bigint"))
-    parts = cut(df, group, order, piece_rows)
+    parts = cut(stage(df, "spaced"), group, order, piece_rows)
     if parts.whole:
         return _scan(_without_entry(parts.df), df.schema, group, order, ts, gap_ms)
 
-    numbered = parts.df
-    spans = numbered.groupBy(*group, PIECE).agg(F.count(F.lit(1)).alias("rows"))
-    over_group = W.partitionBy(*group)
-    spans = spans.withColumn("pieces", F.count(F.lit(1)).over(over_group)).filter("pieces > 1").drop("pieces")
-    spans = stage(spans, "spans")
+    spans = parts.df.groupBy(*group, PIECE).agg(F.count(F.lit(1)).alias("rows"))
+    spans = spans.withColumn("pieces", F.count(F.lit(1)).over(W.partitionBy(*group)))
+    spans = stage(spans.filter("pieces > 1").drop("pieces"), "spans")
+    spanning = parts.df.join(spans.select(*group, PIECE), [*group, PIECE], "left_semi")
+    runs = stage(_runs(spanning, group, ts, gap_ms), "runs")
+    most = runs.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if most <= piece_rows:
+        entries = _entries_from_runs(runs, group, gap_ms)
+    else:
+        entries = _entries_by_rounds(spanning, spans, df.schema, group, order, ts, gap_ms)
+    return _scan(_with_entry(parts.df, entries, group), df.schema, group, order, ts, gap_ms)
+
+
+def _entry_schema(df: DataFrame, group: Sequence[str]) -> T.StructType:
+    keys = [df.schema[name] for name in [*group, PIECE]]
+    return T.StructType([*keys, *_ENTRY.fields])
+
+
+def _runs(spanning: DataFrame, group: Sequence[str], ts: str, gap_ms: int) -> DataFrame:
+    """What each piece does with every emission it may receive.
+
+    The emission before a piece is less than a gap away or does not matter, so the first emission
+    inside is one of the rows of the piece's first gap. For each of those the pass through the
+    piece is followed to its last emission. First emissions that end in the same last one are
+    merged, which leaves few rows when a piece is long against the gap.
+    """
+    keys = [*group, PIECE]
+    gap = gap_ms * 1000
+    us = F.unix_micros(F.col(ts).cast("timestamp")).alias("__us")
+    narrow = spanning.select(*keys, us)
+    out = T.StructType([spanning.schema[name] for name in keys])
+    for name in ("rows", "start", "exit", "exit_row"):
+        out = out.add(name, T.LongType())
+
+    def follow(key: tuple, piece: pa.Table) -> pa.Table:
+        times = np.sort(piece.column("__us").to_numpy())
+        first = int(np.searchsorted(times, times[0] + gap))
+        starts = np.unique(times[: first + 1])
+        at = np.searchsorted(times, starts)
+        while True:
+            following = np.searchsorted(times, times[at] + gap)
+            inside = following < len(times)
+            if not inside.any():
+                break
+            at = np.where(inside, following, at)
+        ends = np.append(at[1:] != at[:-1], True)
+        columns = [pa.array([value.as_py()] * int(ends.sum()), field.type) for value, field in zip(key, piece.select(keys).schema)]
+        columns.append(pa.array(np.full(int(ends.sum()), len(times)), pa.int64()))
+        columns += [pa.array(values[ends], pa.int64()) for values in (starts, times[at], at + 1)]
+        return pa.Table.from_arrays(columns, names=out.names)
+
+    return narrow.groupBy(*keys).applyInArrow(follow, out)
+
+
+def _entries_from_runs(runs: DataFrame, group: Sequence[str], gap_ms: int) -> DataFrame:
+    """Walk through the pieces of each group, looking up one run per piece."""
+    gap = gap_ms * 1000
+    out = _entry_schema(runs, group)
+
+    def walk(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([(PIECE, "ascending"), ("start", "ascending")])
+        piece, rows, start, end, end_row = (
+            table.column(name).to_numpy() for name in (PIECE, "rows", "start", "exit", "exit_row")
+        )
+        bounds = np.append(np.flatnonzero(np.append(True, piece[1:] != piece[:-1])), len(piece))
+        entries = []
+        last, since = None, 0
+        for begin, stop in zip(bounds[:-1], bounds[1:]):
+            entries.append((int(piece[begin]), last, since))
+            run = begin if last is None else begin + int(np.searchsorted(start[begin:stop], last + gap))
+            if run < stop:
+                last, since = int(end[run]), int(rows[begin] - end_row[run])
+            else:
+                since += int(rows[begin])
+        columns = [pa.array([value.as_py()] * len(entries), table.schema.field(name).type) for value, name in zip(key, group)]
+        columns += [
+            pa.array([entry[0] for entry in entries], pa.int32()),
+            pa.array([entry[1] for entry in entries], pa.int64()),
+            pa.array([entry[2] for entry in entries], pa.int64()),
+        ]
+        return pa.Table.from_arrays(columns, names=out.names)
+
+    return runs.groupBy(*group).applyInArrow(walk, out)
+
+
+def _entries_by_rounds(spanning, spans, schema, group, order, ts, gap_ms) -> DataFrame:
+    """The same for pieces that are short against the gap, whose runs do not merge.
+
+    Every piece starts with a guess, here that nothing was emitted before it, and the pieces are
+    passed again with what they then hand over, until that no longer changes. Each round settles
+    at least one more piece of every group.
+    """
     entries = None
     while True:
-        joined = _with_entry(numbered.join(spans.select(*group, PIECE), [*group, PIECE], "left_semi"), entries, group)
-        exits = _exits(joined, df.schema, group, order, ts, gap_ms, spans)
-        exits = stage(exits, "exits")
-        carried = stage(_entries_from(exits, group), "entries")
+        exits = _exits(_with_entry(spanning, entries, group), schema, group, order, ts, gap_ms, spans)
+        carried = stage(_entries_from_exits(stage(exits, "exits"), group), "entries")
         if entries is not None and carried.exceptAll(entries).isEmpty():
-            break
+            return carried
         entries = carried
-    return _scan(_with_entry(numbered, entries, group), df.schema, group, order, ts, gap_ms)
 
 
 _ENTRY = T.StructType(
@@ -108,7 +192,7 @@ def _with_entry(df: DataFrame, entries: DataFrame | None, group: Sequence[str])
     return df.join(entries, [*group, PIECE], "left")
 
 
-def _entries_from(exits: DataFrame, group: Sequence[str]) -> DataFrame:
+def _entries_from_exits(exits: DataFrame, group: Sequence[str]) -> DataFrame:
     """What each piece of a group receives: the last emission before it, and the rows since.
 
     There is one row per piece here, so the window is as small as the number of pieces.

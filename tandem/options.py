@@ -116,6 +116,7 @@ class LookupOptions:
 
     # how the lookup runs on Spark
     snapshot_bytes: int = 64 * 1024 * 1024
+    broadcast_bytes: int = 32 * 1024 * 1024
     max_in_keys: int = 1_000
 
     def __post_init__(self):
@@ -233,7 +234,10 @@ class LookupOptions:
         need(self.failover_log_interval_s >= 0, "lookup.failover.log-interval must not be negative (0 = all)")
         need(self.stats_interval_s >= 0, "lookup.stats.log-interval must not be negative (0 = off)")
         need(self.alert_threshold >= 0, "lookup.alert.threshold must not be negative (0 = off)")
-        need(self.snapshot_bytes >= 0 and self.max_in_keys >= 0, "snapshot_bytes, max_in_keys must not be negative")
+        need(
+            min(self.snapshot_bytes, self.broadcast_bytes, self.max_in_keys) >= 0,
+            "snapshot_bytes, broadcast_bytes and max_in_keys must not be negative",
+        )
         if self.alerts_on:
             self._check_alerts(need)
         check_template(self.alert_message)

@@ -10,6 +10,7 @@ from tandem.operators.sequence import PIECE_ROWS
 from tandem.options import LookupOptions
 from tandem.plans.episodes import alert_candidates, recovery_alerts, with_cooldown, with_streaks
 from tandem.plans.stats import simple_name
+from tandem.session import stage
 
 RECOVERY_REASON = "primary recovered"
 
@@ -64,12 +65,20 @@ _OUT = ("kind", "table_name", "subtask", "topic", "episode", "ts", "batch_id", "
 
 
 def alert_events(log: DataFrame, options: LookupOptions, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Every alert to deliver: failovers past the cooldown and, if wanted, their recoveries."""
-    streaks = with_streaks(log, piece_rows)
+    """Every alert to deliver: failovers past the cooldown and, if wanted, their recoveries.
+
+    The log is passed once. What it leaves behind, at most two rows per episode, is staged, and
+    the cooldown and the recoveries are worked out from that.
+    """
+    needed = ("table_name", "subtask", "ts", "batch_id", "n_keys", "failed_over", "primary_error", "primary_message")
+    streaks = with_streaks(log.select(*needed), piece_rows)
+    crossing = F.col("failed_over") & (F.col("streak") == options.alert_threshold)
+    ended = ~F.col("failed_over") & (F.col("streak") >= max(options.alert_threshold, 1))
+    turning = stage(streaks.filter(crossing | ended), "turning")
     sent = with_cooldown(
-        failover_candidates(streaks, options), options.alert_cooldown_min, piece_rows=piece_rows
+        failover_candidates(turning, options), options.alert_cooldown_min, piece_rows=piece_rows
     )
-    return render_events(sent, recovery_alerts(sent, streaks) if options.alert_recovery else None, options)
+    return render_events(sent, recovery_alerts(sent, turning) if options.alert_recovery else None, options)
 
 
 def render_events(sent: DataFrame, recovered: DataFrame | None, options: LookupOptions) -> DataFrame:

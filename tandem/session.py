@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_root: str | None = None
+_staged: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -43,7 +44,9 @@ def stage(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     there when executors are lost.
     """
     spark = df.sparkSession
-    path = path or new_staging_path(spark, purpose)
+    if path is None:
+        path = new_staging_path(spark, purpose)
+        _staged.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -54,6 +57,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def clear_staging(spark: SparkSession) -> None:
+    """Remove the tables this process has staged for results that are no longer read."""
+    while _staged:
+        delete_path(spark, _staged.pop())
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Summed size of the files in a folder; 0 when there is none."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
