@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -219,12 +222,32 @@ def a8_failover_primary_raises(spark, sf_dir):
 
 @query("a9_roles_swapped", orders_oracle("LEFT", "doris", STANDBY_SQL, "'S:' || c.c_name"))
 def a9_roles_swapped(spark, sf_dir):
-    from dataclasses import replace
-
     stores = {"hbase": down, "doris": standby_customer(sf_dir)}
     return enrich_orders(spark, sf_dir, stores, options=replace(OPTIONS, primary="doris")).df.select(*SHOWN)
 
 
+def slow_customer(sf_dir):
+    """A store whose rows take far longer than the deadline."""
+
+    def wait(batches):
+        for batch in batches:
+            time.sleep(600)
+            yield batch
+
+    def load(spark):
+        customer = table(spark, sf_dir, "customer")
+        return customer.mapInArrow(wait, customer.schema)
+
+    return load
+
+
+@query("a10_late_primary", orders_oracle("LEFT", "doris", STANDBY_SQL, "'S:' || c.c_name"))
+def a10_late_primary(spark, sf_dir):
+    """The slow primary is given 10 s, and so is the standby, which reads the same table."""
+    stores = {"hbase": slow_customer(sf_dir), "doris": standby_customer(sf_dir)}
+    return enrich_orders(spark, sf_dir, stores, options=replace(OPTIONS, deadline_ms=10_000)).df.select(*SHOWN)
+
+
 @query("a12_miss_no_failover", orders_oracle("LEFT", "hbase"))
 def a12_miss_no_failover(spark, sf_dir):
     stores = {"hbase": held_customer(sf_dir), "doris": standby_customer(sf_dir)}

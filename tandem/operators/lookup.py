@@ -122,7 +122,9 @@ def lookup_join(
         keyless = _any([value.isNull() for value in probe])
         spread = F.when(keyless, F.pmod(_row_hash(facts), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
         left = left.withColumn("__salt", spread)
-        right = right.withColumn("__slot", F.lit(0))
+        # Always 0, but not a literal: the optimizer would turn that into a filter and the join
+        # would again shuffle on the key alone.
+        right = right.withColumn("__slot", F.pmod(F.xxhash64("__key0"), F.lit(1)).cast("int"))
         on.append("__salt = __slot")
     if hint:
         right = right.hint(hint)
