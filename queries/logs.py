@@ -282,19 +282,19 @@ def line_sql() -> str:
     )
     return f"""
       '=' || window_s || 's business=' || primary_keys || ' processed=' || (primary_keys + standby_keys)
-      || ' rate=' || PRINTF('%.1f/s', (primary_keys + standby_keys) / window_s)
+      || ' rate=' || PRINTF('%.1f/s', ROUND(ROUND((primary_keys + standby_keys) / window_s, 6), 1))
       || ' avg.batch=' || (primary_keys // primary_batches)
       || ' overall.batch=' || ((primary_keys + standby_keys) // (primary_batches + standby_batches))
       || ' | primary(hbase)[batches=' || primary_batches || ' keys=' || primary_keys || ' failed='
       || CASE WHEN primary_fails = 0 THEN '0' ELSE primary_fails || '(' || CONCAT_WS(',', {kinds}) || ')' END
-      || ' avg=' || PRINTF('%.1fms', ROUND(primary_ms / primary_batches, 1)) || ' max=' || PRINTF('%.1fms', ROUND(primary_max_ms, 1))
-      || ' hit=' || COALESCE(PRINTF('%.1f%%', ROUND(100.0 * primary_hits / NULLIF(primary_hit_keys, 0), 1)), '-')
+      || ' avg=' || PRINTF('%.1fms', ROUND(ROUND(primary_ms / primary_batches, 6), 1)) || ' max=' || PRINTF('%.1fms', ROUND(ROUND(primary_max_ms, 6), 1))
+      || ' hit=' || COALESCE(PRINTF('%.1f%%', ROUND(ROUND(100.0 * primary_hits / NULLIF(primary_hit_keys, 0), 6), 1)), '-')
       || '] standby(doris)[batches=' || standby_batches || ' keys=' || standby_keys || ' failed=' || standby_fails
-      || ' avg=' || COALESCE(PRINTF('%.1fms', ROUND(standby_ms / NULLIF(standby_batches, 0), 1)), '-')
+      || ' avg=' || COALESCE(PRINTF('%.1fms', ROUND(ROUND(standby_ms / NULLIF(standby_batches, 0), 6), 1)), '-')
       || ' max=' || COALESCE(PRINTF('%.1fms', standby_max_ms), '-')
-      || ' hit=' || COALESCE(PRINTF('%.1f%%', ROUND(100.0 * standby_hits / NULLIF(standby_hit_keys, 0), 1)), '-')
+      || ' hit=' || COALESCE(PRINTF('%.1f%%', ROUND(ROUND(100.0 * standby_hits / NULLIF(standby_hit_keys, 0), 6), 1)), '-')
       || '] failover=' || CASE WHEN primary_fails = 0 THEN '0' ELSE primary_fails || ' (' || standby_keys || ' keys, '
-      || PRINTF('%.1f%%', ROUND(100.0 * standby_keys / primary_keys, 1)) || ')' END
+      || PRINTF('%.1f%%', ROUND(ROUND(100.0 * standby_keys / primary_keys, 6), 1)) || ')' END
     """
 
 

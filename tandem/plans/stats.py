@@ -180,7 +180,8 @@ def failure_kinds(counters: DataFrame) -> DataFrame:
 
 
 def _decimal1(value: Column, suffix: str) -> Column:
-    number = value.cast("double")
+    # Sums of doubles carry noise in the last digits, which must not decide a tie.
+    number = F.round(value.cast("double"), 6)
     text = F.format_string("%.1f" + suffix.replace("%", "%%"), number)
     return F.when(number.isNull(), F.lit("-")).otherwise(text)
 
