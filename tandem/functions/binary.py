@@ -6,8 +6,6 @@ wider decimals go through Arrow, since no built-in function yields their bits.
 
 from __future__ import annotations
 
-import decimal
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -49,17 +47,22 @@ def float_bytes(value: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.BinaryType())
 def _wide_decimal_bytes(value: pa.Array) -> pa.Array:
-    scale = value.type.scale
-    out = []
-    for number in value.to_pylist():
-        if number is None:
-            out.append(None)
-            continue
-        unscaled = int(number.scaleb(scale, decimal.Context(prec=80)))
-        magnitude = unscaled if unscaled >= 0 else ~unscaled
-        size = magnitude.bit_length() // 8 + 1
-        out.append(scale.to_bytes(4, "big", signed=True) + unscaled.to_bytes(size, "big", signed=True))
-    return pa.array(out, pa.binary())
+    n = len(value)
+    if n == 0:
+        return pa.array([], pa.binary())
+    # Arrow keeps a decimal as 16 little-endian bytes of its unscaled number.
+    raw = np.frombuffer(value.buffers()[1], np.uint8, n * 16, value.offset * 16).reshape(n, 16)[:, ::-1]
+    negative = raw[:, :1] >= 0x80
+    padding = np.logical_and.accumulate(raw == np.where(negative, 0xFF, 0), axis=1).sum(axis=1)
+    first = np.minimum(padding, 15)
+    lead_negative = raw[np.arange(n), first] >= 0x80
+    first -= (lead_negative != negative[:, 0]).astype(first.dtype)
+    scale = np.frombuffer(value.type.scale.to_bytes(4, "big", signed=True), np.uint8)
+    whole = np.concatenate([np.broadcast_to(scale, (n, 4)), raw], axis=1)
+    kept = (np.arange(20) < 4) | (np.arange(20) - 4 >= first[:, None])
+    ends = np.concatenate([[0], np.cumsum(20 - first)]).astype(np.int32)
+    out = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(whole[kept].tobytes())])
+    return pa.compute.if_else(value.is_valid(), out, pa.scalar(None, pa.binary()))
 
 
 def decimal_bytes(value: Column, kind: T.DecimalType) -> Column:
@@ -110,24 +113,33 @@ def bytes_float(value: pa.Array) -> pa.Array:
     return _from_fixed_width(value, ">f4", pa.float32())
 
 
-@F.arrow_udf(T.StringType())
-def _wide_decimal_text(value: pa.Array) -> pa.Array:
-    out = []
-    for raw in value.to_pylist():
-        if raw is None:
-            out.append(None)
-            continue
-        scale = int.from_bytes(raw[:4], "big", signed=True)
-        out.append(f"{int.from_bytes(raw[4:], 'big', signed=True)}E{-scale}")
-    return pa.array(out, pa.string())
+@F.arrow_udf(T.DecimalType(38, 0))
+def _wide_unscaled(value: pa.Array) -> pa.Array:
+    filled = value.fill_null(b"\0")
+    n = len(filled)
+    if n == 0:
+        return pa.array([], pa.decimal128(38, 0))
+    ends = np.frombuffer(filled.buffers()[1], np.int32, n + 1, filled.offset * 4)
+    data = np.frombuffer(filled.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    sizes = np.diff(ends)
+    starts = ends[:-1] - ends[0]
+    # Sign-extend every number to 16 bytes, then turn them into Arrow's byte order.
+    out = np.repeat(np.where(data[starts] >= 0x80, 0xFF, 0).astype(np.uint8)[:, None], 16, axis=1)
+    row = np.repeat(np.arange(n), sizes)
+    out[row, 16 - sizes[row] + np.arange(len(data)) - starts[row]] = data
+    little = np.ascontiguousarray(out[:, ::-1])
+    numbers = pa.Array.from_buffers(pa.decimal128(38, 0), n, [None, pa.py_buffer(little.tobytes())])
+    return pa.compute.if_else(value.is_valid(), numbers, pa.scalar(None, pa.decimal128(38, 0)))
 
 
 def bytes_decimal(value: Column, kind: T.DecimalType) -> Column:
     """Scale and unscaled bytes to the declared decimal."""
+    number = F.substring(value, 5, 2**31 - 1)
     if kind.precision > JVM_DECIMAL_DIGITS:
-        return _wide_decimal_text(value).cast(kind)
-    hexed = F.hex(F.substring(value, 5, 2**31 - 1))
-    fill = F.when(F.substring(hexed, 1, 1).rlike("[89A-F]"), F.lit("F")).otherwise(F.lit("0"))
-    unscaled = F.conv(F.lpad(hexed, 16, fill), 16, -10)
+        unscaled = _wide_unscaled(number).cast("string")
+    else:
+        hexed = F.hex(number)
+        fill = F.when(F.substring(hexed, 1, 1).rlike("[89A-F]"), F.lit("F")).otherwise(F.lit("0"))
+        unscaled = F.conv(F.lpad(hexed, 16, fill), 16, -10)
     scale = bytes_int(F.substring(value, 1, 4))
     return F.concat(unscaled, F.lit("E"), (-scale).cast("string")).cast(kind)

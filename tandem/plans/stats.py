@@ -28,12 +28,12 @@ CONNECT_ERRORS = (
     "ConnectionResetError",
     "ConnectionAbortedError",
 )
-DATABASE_ERRORS = "^(java[.]sql[.].*|SQL[A-Za-z]*Exception|BatchUpdateException)$"
+DATABASE_PACKAGE = "java.sql."
 
 
 def simple_name(error: Column) -> Column:
     """Class name without its package."""
-    return F.regexp_extract(error, r"([^.$]*)$", 1)
+    return F.substring_index(F.substring_index(error, ".", -1), "$", -1)
 
 
 def failure_kind(error: Column) -> Column:
@@ -44,16 +44,25 @@ def failure_kind(error: Column) -> Column:
         .when(name.isin(*TIMEOUT_ERRORS), "timeout")
         .when(name.isin(*REJECTED_ERRORS), "pool_full")
         .when(name.isin(*CONNECT_ERRORS), "connect")
-        .when(error.rlike(DATABASE_ERRORS) | name.rlike(DATABASE_ERRORS), "database")
+        .when(F.startswith(error, F.lit(DATABASE_PACKAGE)), "database")
+        .when(F.startswith(name, F.lit("SQL")) & F.endswith(name, F.lit("Exception")), "database")
         .when(F.contains(error, F.lit("ConnectTimeout")), "timeout")
         .when(F.contains(error, F.lit("ConnectionRefused")), "connect")
         .otherwise("other")
     )
 
 
+KIND = "__kind"
+
+
+def _with_kind(log: DataFrame) -> DataFrame:
+    """Add the failure kind once per batch; a primary that was only late timed out."""
+    error = F.when(F.col("failed_over"), F.coalesce(F.col("primary_error"), F.lit("TimeoutException")))
+    return log.withColumn(KIND, failure_kind(error))
+
+
 def _measures() -> list[Column]:
     over = F.col("failed_over")
-    kind = failure_kind(F.when(over, F.coalesce(F.col("primary_error"), F.lit("TimeoutException"))))
     standby_ok = over & F.col("standby_error").isNull()
     keys = F.col("n_keys").cast("bigint")
 
@@ -75,7 +84,7 @@ def _measures() -> list[Column]:
         F.max(F.when(over, F.col("standby_ms"))).alias("standby_max_ms"),
         total(F.col("standby_hits").cast("bigint"), standby_ok).alias("standby_hits"),
         total(keys, standby_ok).alias("standby_hit_keys"),
-        *[F.count_if(kind == name).alias(f"fail_{name}") for name in FAILURE_KINDS],
+        *[F.count_if(F.col(KIND) == name).alias(f"fail_{name}") for name in FAILURE_KINDS],
     ]
 
 
@@ -106,7 +115,7 @@ def interval_counters(log: DataFrame, interval_s: int = 360, start_s: int = 0) -
     if interval_s == 0:
         log, interval_s = log.filter(F.lit(False)), 1
     window = F.window("ts", f"{interval_s} seconds", startTime=f"{start_s} seconds")
-    grouped = log.groupBy(*GROUP, window.alias("w")).agg(*_measures())
+    grouped = _with_kind(log).groupBy(*GROUP, window.alias("w")).agg(*_measures())
     return grouped.select(
         *GROUP,
         F.col("w.start").alias("window_start"),
@@ -144,26 +153,27 @@ def _whole_quotient(part: Column, whole: Column) -> Column:
     )
 
 
+def _running_totals(prefix: str = "") -> dict[str, Column]:
+    so_far = W.partitionBy(*GROUP).orderBy("window_start").rowsBetween(W.unboundedPreceding, 0)
+    start = F.unix_seconds(F.col("window_start").cast("timestamp"))
+    return {
+        f"{prefix}window_s": start - F.min(start).over(so_far) + F.col("window_s"),
+        **{prefix + name: F.sum(name).over(so_far) for name in COUNTERS},
+        **{prefix + name: F.max(name).over(so_far) for name in MAXIMA},
+    }
+
+
 def cumulative_counters(counters: DataFrame) -> DataFrame:
     """Totals since the first interval, one row per interval.
 
     Maxima are running maxima and never differences. ``window_s`` becomes the time covered.
     """
-    so_far = W.partitionBy(*GROUP).orderBy("window_start").rowsBetween(W.unboundedPreceding, 0)
-    return counters.withColumns(
-        {
-            "window_s": F.unix_seconds(F.col("window_start").cast("timestamp"))
-            - F.unix_seconds(F.min("window_start").over(so_far).cast("timestamp"))
-            + F.col("window_s"),
-            **{name: F.sum(name).over(so_far) for name in COUNTERS},
-            **{name: F.max(name).over(so_far) for name in MAXIMA},
-        }
-    )
+    return counters.withColumns(_running_totals())
 
 
 def remaining_totals(log: DataFrame, reported_until) -> DataFrame:
     """Since-start totals of the groups with batches after the last reported window."""
-    totals = log.groupBy(*GROUP).agg(*_measures(), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    totals = _with_kind(log).groupBy(*GROUP).agg(*_measures(), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     covered = F.greatest(
         F.unix_seconds(F.col("last_ts").cast("timestamp")) - F.unix_seconds(F.col("first_ts").cast("timestamp")),
         F.lit(1),
@@ -190,20 +200,29 @@ def _percent(part: Column, whole: Column) -> Column:
     return _decimal1(F.try_divide(part * 100.0, whole), "%")
 
 
-def _kind_text() -> Column:
-    shown = [F.when(F.col(f"fail_{n}") > 0, F.concat(F.lit(f"{n}="), F.col(f"fail_{n}").cast("string"))) for n in FAILURE_KINDS]
+def _kind_text(name_of) -> Column:
+    shown = [
+        F.when(F.col(name_of(f"fail_{n}")) > 0, F.concat(F.lit(f"{n}="), F.col(name_of(f"fail_{n}")).cast("string")))
+        for n in FAILURE_KINDS
+    ]
     return F.concat_ws(",", *shown)
 
 
-def stats_text(label: str, primary: str, standby: str) -> Column:
-    """One line of statistics from the counters of a row.
+def stats_text(label: str, primary: str, standby: str, prefix: str = "") -> Column:
+    """One line of statistics from the counters of a row, whose names start with ``prefix``.
 
     A failed batch is shown with its kinds, a mean or rate without a sample as ``-``.
     """
-    c = F.col
+
+    def name_of(name: str) -> str:
+        return prefix + name
+
+    def c(name: str) -> Column:
+        return F.col(name_of(name))
+
     processed = c("primary_keys") + c("standby_keys")
     fails = F.when(c("primary_fails") == 0, F.lit("0")).otherwise(
-        F.concat(c("primary_fails").cast("string"), F.lit("("), _kind_text(), F.lit(")"))
+        F.concat(c("primary_fails").cast("string"), F.lit("("), _kind_text(name_of), F.lit(")"))
     )
     failovers = F.when(c("primary_fails") == 0, F.lit("0")).otherwise(
         F.format_string(
@@ -217,7 +236,7 @@ def stats_text(label: str, primary: str, standby: str) -> Column:
             c(f"{role}_batches"),
             c(f"{role}_keys"),
             failed,
-            _decimal1(F.try_divide(f"{role}_ms", f"{role}_batches"), "ms"),
+            _decimal1(F.try_divide(c(f"{role}_ms"), c(f"{role}_batches")), "ms"),
             F.when(c(f"{role}_batches") > 0, _decimal1(c(f"{role}_max_ms"), "ms")).otherwise("-"),
             _percent(c(f"{role}_hits"), c(f"{role}_hit_keys")),
         )
@@ -241,14 +260,11 @@ def stats_lines(counters: DataFrame, primary: str, standby: str) -> DataFrame:
 
     The first window of a group covers the same span twice, so it is printed once.
     """
-    first_of_group = W.partitionBy(*GROUP).orderBy("window_start")
-    here = counters.withColumns(
-        {"line": stats_text("window", primary, standby), "nth": F.row_number().over(first_of_group)}
-    )
-    since = cumulative_counters(counters).select(
-        *GROUP, "window_start", stats_text("since.start", primary, standby).alias("since")
-    )
-    return here.join(since, [*GROUP, "window_start"]).select(
+    in_order = W.partitionBy(*GROUP).orderBy("window_start")
+    both = counters.withColumns({**_running_totals("since_"), "nth": F.row_number().over(in_order)})
+    line = stats_text("window", primary, standby)
+    since = stats_text("since.start", primary, standby, "since_")
+    return both.select(
         *GROUP,
         "window_start",
         F.concat(
@@ -256,8 +272,8 @@ def stats_lines(counters: DataFrame, primary: str, standby: str) -> DataFrame:
             F.col("table_name"),
             F.when(F.col("subtask") != "", F.concat(F.lit(" subtask="), F.col("subtask"))).otherwise(""),
             F.lit(" | "),
-            F.when(F.col("nth") == 1, F.concat(F.lit("since.start="), F.col("line"))).otherwise(
-                F.concat(F.col("line"), F.lit(" || "), F.col("since"))
+            F.when(F.col("nth") == 1, F.concat(F.lit("since.start="), line)).otherwise(
+                F.concat(line, F.lit(" || "), since)
             ),
         ).alias("line"),
     )

@@ -22,7 +22,12 @@ from tandem.sinks.batches import BATCH_FOLDER, folder_sink
 
 
 def log_stream(spark, path: str, **options) -> DataFrame:
-    """The lookup log as a stream, as :func:`tandem.sinks.batches.folder_sink` writes it."""
+    """The lookup log as a stream, as :func:`tandem.sinks.batches.folder_sink` writes it.
+
+    A micro-batch takes at most 1,000 files unless told otherwise, so a backlog is worked off in
+    steps of bounded size.
+    """
+    options = {"maxFilesPerTrigger": "1000", **options}
     return spark.readStream.schema(LOG_SCHEMA).options(**options).parquet(f"{path}/{BATCH_FOLDER}=*")
 
 
