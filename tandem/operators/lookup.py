@@ -14,7 +14,8 @@ from tandem.session import broadcast_limit, estimated_bytes
 
 Keys = Sequence[str] | Mapping[str, str]
 
-NULL_SPREAD = 256
+# Keyless facts go to up to this many places.
+NULL_SPREAD = 16_384
 
 # A broadcast hint is followed up to this estimated size; beyond it the join shuffles.
 BROADCAST_HINT_BYTES = 512 * 1024 * 1024
@@ -62,10 +63,12 @@ def one_row_per_key(dim: DataFrame, keys: Sequence[str], dim_unique: str) -> Dat
     return grouped.select(*[F.col(n) if n in keys else F.col(f"row.{n}").alias(n) for n in dim.columns])
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """Repeatable hash of a row and its input partition, so that copies of one row also spread."""
-    hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(F.spark_partition_id(), *[df[name] for name in hashable])
+def _spread(facts: DataFrame, spread_by: Sequence[str] | None) -> Column:
+    """A number that differs between facts of one key and is the same when a task is run again.
+
+    Without columns to go by it is the number of the input partition, which reads no column.
+    """
+    return F.xxhash64(*spread_by) if spread_by else F.spark_partition_id()
 
 
 def lookup_join(
@@ -78,6 +81,8 @@ def lookup_join(
     hint: str | None = None,
     prefix: str = "",
     salt: int = 0,
+    spread_nulls: bool = True,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join each fact with the dimension rows of its key: fact columns, then dimension columns.
 
@@ -87,7 +92,9 @@ def lookup_join(
     The join strategy is Catalyst's: broadcast for a small dimension, otherwise a shuffle join
     whose hot keys AQE splits. ``salt=n`` splits every key over n tasks by itself, at the price of
     n copies of the dimension. In a shuffled left join, facts without a key are spread over the
-    tasks and do not meet in one of them.
+    tasks and do not meet in one of them; ``spread_nulls=False`` keeps the plain key for a
+    dimension that is bucketed by it. Both spread by input partition, or by the values of
+    ``spread_by``, which lets later filters through to the scan.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, got {how!r}")
@@ -115,12 +122,12 @@ def lookup_join(
     if hint == "broadcast" and size > BROADCAST_HINT_BYTES:
         hint = None
     if salt > 1:
-        left = left.withColumn("__salt", F.pmod(_row_hash(facts), F.lit(salt)).cast("int"))
+        left = left.withColumn("__salt", F.pmod(_spread(facts, spread_by), F.lit(salt)).cast("int"))
         right = right.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         on.append("__salt = __slot")
-    elif how == "left" and hint != "broadcast" and size > broadcast_limit(dim.sparkSession):
+    elif spread_nulls and how == "left" and hint != "broadcast" and size > broadcast_limit(dim.sparkSession):
         keyless = _any([value.isNull() for value in probe])
-        spread = F.when(keyless, F.pmod(_row_hash(facts), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
+        spread = F.when(keyless, F.pmod(_spread(facts, spread_by), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
         left = left.withColumn("__salt", spread)
         # Always 0, but not a literal: the optimizer would turn that into a filter and the join
         # would again shuffle on the key alone.

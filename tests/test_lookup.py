@@ -105,21 +105,40 @@ def test_many_rows_per_key(spark, facts):
 
 def test_facts_without_key_are_spread(spark, dim):
     """In a shuffled left join the keyless facts must not meet in one partition."""
-    facts = spark.range(2000).select("id", F.when(F.col("id") < 10, "a").alias("key"))
+    facts = spark.range(0, 2000, 1, 64).select("id", F.when(F.col("id") < 10, "a").alias("key"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = lookup_join(facts, dim, {"key": "pk"})
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert len(sizes) == 4 and max(sizes) < 1000
-        assert joined.filter("name = 'A'").count() == 10 and joined.count() == 2000
+        for how in ({}, {"spread_by": ["id"]}, {"salt": 64}):
+            joined = lookup_join(facts, dim, {"key": "pk"}, **how)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == 4 and max(sizes) < 1000
+            assert joined.filter("name = 'A'").count() == 10 and joined.count() == 2000
+        together = lookup_join(facts, dim, {"key": "pk"}, spread_nulls=False)
+        assert max(r["count"] for r in together.groupBy(F.spark_partition_id()).count().collect()) >= 1990
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_spreading_keeps_pruning_and_pushdown(spark, sf_dir):
+    orders, customer = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "customer"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = lookup_join(orders, customer, {"o_custkey": "c_custkey"}).select("o_orderkey", "c_name")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        by_id = lookup_join(orders, customer, {"o_custkey": "c_custkey"}, spread_by=["o_orderkey"])
+        filtered = by_id.filter("o_totalprice > 1000")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
+    assert "GreaterThan(o_totalprice,1000.0)" in filtered
+
+
 def test_arguments(facts, dim):
     for bad in ({"how": "outer"}, {"dim_unique": "some"}):
         with pytest.raises(ValueError):
