@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queries.common import OPTIONS, sql, table
+from tandem.functions.template import json_escape
 from tandem.plans.alerts import alert_events, failover_candidates, reason_of
 from tandem.plans.episodes import (
     alert_candidates,
@@ -484,6 +485,21 @@ def f6_render(spark, sf_dir):
     )
 
 
+def escaped_sql(text: str) -> str:
+    """JSON escape of a text, spelled as nested replacements."""
+    text = f"REPLACE(REPLACE({text}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"')"
+    short = {8: "b", 9: "t", 10: "n", 12: "f", 13: "r"}
+    for code in range(1, 32):
+        text = f"REPLACE({text}, chr({code}), chr(92) || '{short.get(code, f'u{code:04x}')}')"
+    return text
+
+
+@query("f7_json_escape", f"SELECT doc_id, MD5({escaped_sql('text')}) AS escaped FROM documents")
+def f7_json_escape(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return documents.select("doc_id", F.md5(json_escape(F.col("text")).cast("binary")).alias("escaped"))
+
+
 @query(
     "f10_alert_dedup",
     f"""

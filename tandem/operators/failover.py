@@ -36,6 +36,10 @@ class LookupFailed(RuntimeError):
         return self._count()
 
 
+class FactsFailed(RuntimeError):
+    """The facts themselves could not be read; no store is to blame."""
+
+
 @dataclass
 class Attempt:
     """One store asked for one batch."""
@@ -180,7 +184,10 @@ def failover_lookup(
         """The batch's keys, read from the facts once and shared by both attempts."""
         if not key_table:
             paths.append(new_staging_path(spark, "keys"))
-            key_table.append(stage(distinct_keys(facts, keys, business), "keys", paths[-1]))
+            try:
+                key_table.append(stage(distinct_keys(facts, keys, business), "keys", paths[-1]))
+            except Exception as error:
+                raise FactsFailed(f"keys of the facts could not be read: {error}") from error
         return key_table[0]
 
     def answer(raw: DataFrame, by_keys: bool) -> tuple[DataFrame, DataFrame | None, str]:
@@ -209,6 +216,8 @@ def failover_lookup(
         if hits is None:
             try:
                 raw, by_keys = _open(spark, loader, strategy, options, dim_keys, keys_once)
+            except FactsFailed:
+                raise
             except Exception as error:
                 attempt.error_class, attempt.error_message = error_of(error)
                 continue

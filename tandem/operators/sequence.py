@@ -261,37 +261,48 @@ class _Spacing:
         self.since = 0
         self.row = 0
 
-    def advance(self, batch: pa.RecordBatch) -> tuple[list[int], list[int], list[int]]:
+    def advance(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Emitted rows of a sorted batch: row number, rows merged into it, position in its piece."""
         if batch.num_rows == 0:
-            return [], [], []
+            return (np.zeros(0, np.int64),) * 3
         us = batch.column("__us").to_numpy(zero_copy_only=False)
         starts = self._group_starts(batch)
-        kept, merged, rows = [], [], []
-        for begin, end in zip(starts, [*starts[1:], batch.num_rows]):
-            key = tuple(batch.column(name)[begin].as_py() for name in self.keys)
+        ends = np.append(starts[1:], batch.num_rows)
+        # A group that lies within the batch and within one gap emits its first row and no other.
+        short = us[ends - 1] - us[starts] < self.gap
+        short &= batch.column("__last").is_null().to_numpy(zero_copy_only=False)[starts]
+        short[0] = short[-1] = False
+        found = [np.stack([starts[short], np.zeros_like(starts[short]), np.ones_like(starts[short])])]
+
+        heads = batch.take(pa.array(starts[~short]))
+        keys = zip(*[heads.column(name).to_pylist() for name in self.keys])
+        entries = zip(heads.column("__last").to_pylist(), heads.column("__since").to_pylist())
+        for begin, end, key, (last, since) in zip(starts[~short], ends[~short], keys, entries):
             if key != self.key:
-                self.key, self.row = key, 0
-                self.last = batch.column("__last")[begin].as_py()
-                self.since = batch.column("__since")[begin].as_py() or 0
-            times = us[begin:end]
-            at = 0 if self.last is None else int(np.searchsorted(times, self.last + self.gap))
-            passed = -1
-            while at < len(times):
-                kept.append(begin + at)
-                merged.append(self.since + at - passed - 1)
-                rows.append(self.row + at + 1)
-                self.last, self.since, passed = int(times[at]), 0, at
-                at = int(np.searchsorted(times, self.last + self.gap))
-            self.since += len(times) - passed - 1
-            self.row += len(times)
-        return kept, merged, rows
-
-    def _group_starts(self, batch: pa.RecordBatch) -> list[int]:
+                self.key, self.row, self.last, self.since = key, 0, last, since or 0
+            found.append(self._pass(us[begin:end]) + [[begin], [0], [0]])
+        kept, merged, rows = np.concatenate(found, axis=1)
+        in_order = np.argsort(kept)
+        return kept[in_order], merged[in_order], rows[in_order]
+
+    def _pass(self, times: np.ndarray) -> np.ndarray:
+        """Emissions within the rows of one group: offset, merged, position."""
+        emitted, at, passed = [], 0, -1
+        if self.last is not None:
+            at = int(np.searchsorted(times, self.last + self.gap))
+        while at < len(times):
+            emitted.append((at, self.since + at - passed - 1, self.row + at + 1))
+            self.last, self.since, passed = int(times[at]), 0, at
+            at = int(np.searchsorted(times, self.last + self.gap))
+        self.since += len(times) - passed - 1
+        self.row += len(times)
+        return np.array(emitted, np.int64).reshape(-1, 3).T
+
+    def _group_starts(self, batch: pa.RecordBatch) -> np.ndarray:
         """Row numbers at which a group begins within the batch."""
         changed = np.zeros(batch.num_rows, dtype=bool)
         changed[0] = True
         for name in self.keys:
             codes = batch.column(name).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
             changed[1:] |= codes[1:] != codes[:-1]
-        return np.flatnonzero(changed).tolist()
+        return np.flatnonzero(changed)

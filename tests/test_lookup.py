@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tandem.operators.failover import LookupFailed, error_of, failover_lookup
+from tandem.operators.failover import FactsFailed, LookupFailed, error_of, failover_lookup
 from tandem.operators.lookup import distinct_keys, in_predicate, lookup_join, probe
 from tandem.options import LookupOptions
 from tandem.session import DeadlineExceeded, run_with_deadline, stage, staging_root
@@ -260,6 +260,12 @@ def test_both_fail(facts):
     assert failed.value.n_keys == 4
 
 
+def test_broken_facts_blame_no_store(facts, dim):
+    broken = facts.withColumn("key", F.raise_error(F.lit("no facts")).cast("string"))
+    with pytest.raises(FactsFailed, match="no facts"):
+        look(broken, lambda s: dim, lambda s: dim, strategy="keys")
+
+
 def test_deadline_cancels_and_leads_to_standby(facts, dim):
     started = time.monotonic()
     result = look(facts, slow(dim, 60), lambda s: dim, LookupOptions(deadline_ms=3000))
