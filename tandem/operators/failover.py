@@ -6,11 +6,11 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tandem.functions.conform import conform, source_column, split_bad_rows
+from tandem.functions.conform import coerce, conform, source_column, split_bad_rows
 from tandem.operators.lookup import Keys, distinct_keys, key_pairs, lookup_join, one_row_per_key, probe
 from tandem.options import LookupOptions
 from tandem.plans.log import LOG_SCHEMA
@@ -136,6 +136,16 @@ def split_schema(schema: T.StructType) -> tuple[T.StructType, dict[str, str]]:
     return business, {f.name.lower(): f.name for f in schema if f.name.lower() in wanted}
 
 
+def stored_keys(raw: DataFrame, keys: list[str], schema: T.StructType) -> list[Column]:
+    """A store's key columns in the declared types; untouched, and so pushable, when they already are."""
+    names = [source_column(raw, name) for name in keys]
+    kinds = [raw.schema[name].dataType for name in names]
+    return [
+        raw[name] if kind == schema[key].dataType else coerce(raw[name], kind, schema[key], strict=False)
+        for key, name, kind in zip(keys, names, kinds)
+    ]
+
+
 def failover_lookup(
     facts: DataFrame,
     stores: Mapping[str, Loader],
@@ -192,7 +202,7 @@ def failover_lookup(
 
     def answer(raw: DataFrame, by_keys: bool) -> tuple[DataFrame, DataFrame | None, str]:
         if by_keys:
-            raw = probe(raw, keys_once(), dim_keys, options.max_in_keys)
+            raw = probe(raw, keys_once(), dim_keys, options.max_in_keys, stored_keys(raw, dim_keys, business))
         bad = None
         if on_bad_row == "quarantine":
             good, bad = split_bad_rows(raw, business)

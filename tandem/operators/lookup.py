@@ -159,13 +159,21 @@ def in_predicate(rows: Sequence[Sequence], columns: Sequence[Column]) -> Column:
     return _any([_all([column == value for column, value in zip(columns, row)]) for row in rows])
 
 
-def probe(dim: DataFrame, keys_df: DataFrame, keys: Sequence[str], max_in_keys: int = 0) -> DataFrame:
+def probe(
+    dim: DataFrame,
+    keys_df: DataFrame,
+    keys: Sequence[str],
+    max_in_keys: int = 0,
+    columns: Sequence[Column] | None = None,
+) -> DataFrame:
     """Rows of ``dim`` whose key is in ``keys_df``; each key is asked for once.
 
+    ``columns`` are the key's parts as expressions over ``dim``, by default its columns.
+
     Up to ``max_in_keys`` keys go into a predicate that the store evaluates itself. More than that
     never come to the driver: a semi join does the work. No key at all asks the store for nothing.
     """
-    columns = [dim[source_column(dim, name)] for name in keys]
+    columns = columns or [dim[source_column(dim, name)] for name in keys]
     if max_in_keys > 0:
         rows = keys_df.select(*keys).limit(max_in_keys + 1).collect()
         if not rows:

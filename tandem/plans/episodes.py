@@ -51,7 +51,7 @@ def with_streaks(log: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     if parts.whole:
         carry = {name: F.lit(0) for name in _CARRIED}
     else:
-        counted = counted.join(_carry(parts.df), [*GROUP, PIECE], "left")
+        counted = counted.join(_carry(counted), [*GROUP, PIECE])
         carry = {name: F.coalesce(F.col(name), F.lit(0)) for name in _CARRIED}
     fails_then = F.coalesce(F.col("__fails_then") + carry["__fails_in"], carry["__fails_then_in"])
     keys_then = F.coalesce(F.col("__keys_then") + carry["__keys_in"], carry["__keys_then_in"])
@@ -67,47 +67,25 @@ def with_streaks(log: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
 _CARRIED = ("__oks_in", "__fails_in", "__keys_in", "__fails_then_in", "__keys_then_in")
 
 
-def _carry(cut_log: DataFrame) -> DataFrame:
-    """Running totals at the start of each piece.
+def _carry(counted: DataFrame) -> DataFrame:
+    """Running totals at the start of each piece, and as they stood at the latest success before it.
 
-    A piece is summed up by its totals and by the totals up to its last success, both of which
-    are partial aggregates; what is left for the window is one row per piece.
+    Running totals never decrease, so those at the end of a piece, and at its last success, are
+    plain maxima. What is left for the window is one row per piece.
     """
-    over = F.col("failed_over")
-    last_ok = cut_log.groupBy(*GROUP, PIECE).agg(
-        F.max(F.when(~over, F.struct(*ORDER))).alias("last_ok")
-    )
-    after_ok = F.col("last_ok").isNull() | (F.struct(*ORDER) > F.col("last_ok"))
-    keys = F.col("n_keys").cast("bigint")
-    pieces = (
-        cut_log.join(last_ok, [*GROUP, PIECE])
-        .groupBy(*GROUP, PIECE)
-        .agg(
-            F.count_if(~over).alias("oks"),
-            F.count_if(over).alias("fails"),
-            F.coalesce(F.sum(F.when(over, keys)), F.lit(0)).alias("keys"),
-            F.count_if(over & after_ok).alias("fails_after"),
-            F.coalesce(F.sum(F.when(over & after_ok, keys)), F.lit(0)).alias("keys_after"),
-        )
+    ok = ~F.col("failed_over")
+    pieces = counted.groupBy(*GROUP, PIECE).agg(
+        *[F.max(f"__{name}").alias(name) for name in ("oks", "fails", "keys")],
+        *[F.max(F.when(ok, F.col(f"__{name}"))).alias(f"{name}_at_ok") for name in ("fails", "keys")],
     )
-    upto = W.partitionBy(*GROUP).orderBy(PIECE).rowsBetween(W.unboundedPreceding, 0)
     before = W.partitionBy(*GROUP).orderBy(PIECE).rowsBetween(W.unboundedPreceding, -1)
-    has_ok = F.col("oks") > 0
-    totals = pieces.withColumns(
-        {
-            "fails_then": F.when(has_ok, F.sum("fails").over(upto) - F.col("fails_after")),
-            "keys_then": F.when(has_ok, F.sum("keys").over(upto) - F.col("keys_after")),
-        }
-    )
-    return totals.select(
-        *GROUP,
-        PIECE,
-        F.sum("oks").over(before).alias("__oks_in"),
-        F.sum("fails").over(before).alias("__fails_in"),
-        F.sum("keys").over(before).alias("__keys_in"),
-        F.max("fails_then").over(before).alias("__fails_then_in"),
-        F.max("keys_then").over(before).alias("__keys_then_in"),
-    )
+    carried = {f"__{name}_in": F.coalesce(F.sum(name).over(before), F.lit(0)) for name in ("oks", "fails", "keys")}
+    pieces = pieces.withColumns(carried)
+    then = {
+        f"__{name}_then_in": F.max(F.col(f"{name}_at_ok") + F.col(f"__{name}_in")).over(before)
+        for name in ("fails", "keys")
+    }
+    return pieces.withColumns(then).select(*GROUP, PIECE, *_CARRIED)
 
 
 def throttled_failovers(streaks: DataFrame, interval_s: float, piece_rows: int = PIECE_ROWS) -> DataFrame:

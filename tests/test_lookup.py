@@ -307,6 +307,16 @@ def test_bad_rows(spark, facts):
     assert rows(kept.bad_rows, "pk", "v") == [("b", "x")]
 
 
+@pytest.mark.parametrize("max_in_keys", [0, 100])
+def test_stored_keys_of_another_type(spark, max_in_keys):
+    facts = spark.createDataFrame([(1, 10), (2, 11)], "id int, key long")
+    schema = T.StructType([T.StructField("pk", T.LongType()), T.StructField("name", T.StringType())])
+    store = spark.createDataFrame([("10", "ten"), ("x", "bad")], "PK string, name string")
+    options = LookupOptions(deadline_ms=60_000, max_in_keys=max_in_keys)
+    result = look(facts, lambda s: store, boom(), options, schema, strategy="keys", on_bad_row="null")
+    assert rows(result.df, "id", "name") == [(1, "ten"), (2, None)]
+
+
 def test_role_swap(facts, dim):
     result = look(facts, boom(), lambda s: dim, LookupOptions(primary="doris", deadline_ms=60_000))
     assert result.source == "doris" and not result.failed_over
