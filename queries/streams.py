@@ -11,7 +11,7 @@ from tandem.plans.log import LOG_SCHEMA
 from tandem.session import new_staging_path
 from tandem.sinks.batches import folder_sink
 from tandem.streaming.enrich import enrich_stream
-from tandem.streaming.monitor import EVENT_SCHEMA, episode_events, stats_stream
+from tandem.streaming.monitor import EVENT_SCHEMA, episode_stream, stats_stream
 
 QUERIES = {}
 ORACLES = {}
@@ -83,8 +83,13 @@ def collected(spark, stream, name, schema):
     """,
 )
 def s4_episode_events(spark, sf_dir):
-    events = episode_events(log_as_stream(spark, sf_dir), ALERT_OPTIONS)
-    out = collected(spark, events, "events", EVENT_SCHEMA).filter("event <> 'failover'")
+    paths = [new_staging_path(spark, name) for name in ("events", "state", "checkpoint")]
+    started = episode_stream(
+        log_as_stream(spark, sf_dir), ALERT_OPTIONS, folder_sink(paths[0]), state_path=paths[1], checkpoint=paths[2],
+        name="s4", trigger=ONCE,
+    )
+    started.awaitTermination()
+    out = spark.read.schema(EVENT_SCHEMA).parquet(paths[0]).filter("event <> 'failover'")
     return out.select("event", "table_name", "subtask", "episode", "batch_id", "streak", "affected_keys")
 
 

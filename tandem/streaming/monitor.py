@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tandem.operators.sequence import PIECE_ROWS, spaced
 from tandem.options import LookupOptions
 from tandem.plans.alerts import reason_of, render_events
-from tandem.plans.episodes import with_cooldown
+from tandem.plans.episodes import GROUP, ORDER, with_cooldown, with_streaks
 from tandem.plans.log import LOG_SCHEMA
 from tandem.plans.stats import interval_counters
-from tandem.session import folder_bytes, new_staging_path, delete_path, stage
+from tandem.session import clear_staging, delete_path, folder_bytes, stage
+from tandem.sinks.batches import BATCH_FOLDER, BatchSink, folder_sink
 from tandem.sinks.delivery import DELIVERY_SCHEMA, AlertSink, Delivery, deliver, delivery_rows
-from tandem.sinks.batches import BATCH_FOLDER, folder_sink
 
 
 def log_stream(spark, path: str, **options) -> DataFrame:
@@ -51,57 +50,147 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
-_STATE = "episode long, streak long, keys long, last_us long, merged long"
+STATE_SCHEMA = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("subtask", T.StringType()),
+        T.StructField("episode_in", T.LongType()),
+        T.StructField("streak_in", T.LongType()),
+        T.StructField("keys_in", T.LongType()),
+        T.StructField("emitted_ts", T.TimestampType()),
+        T.StructField("emitted_streak", T.LongType()),
+    ]
+)
 
+_LINE = ("episode", "ts", "batch_id", "streak", "affected_keys", "reason")
 
-def episode_events(log: DataFrame, options: LookupOptions) -> DataFrame:
-    """Events of every (table, subtask), as they happen: ``failover`` log lines after throttling,
-    ``candidate`` when an episode reaches the alert threshold, ``recovered`` when one ends.
 
-    State is five numbers per (table, subtask). A micro-batch of one of them is put in
-    (ts, batch_id) order first, since Spark hands it over in any order.
-    """
-    threshold = options.alert_threshold
-    gap_us = options.failover_log_interval_s * 1_000_000
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        episode, streak, keys, last_us, merged = state.get if state.exists else (0, 0, 0, -1, 0)
-        rows = pd.concat(list(frames)).sort_values(["ts", "batch_id"])
-        events = []
-
-        def add(event: str, row) -> None:
-            events.append((event, *key, episode, row.ts, row.batch_id, streak, keys, merged, row.reason))
-
-        for row in rows.itertuples(index=False):
-            if not row.failed_over:
-                if streak:
-                    add("recovered", row)
-                episode, streak, keys, last_us, merged = episode + 1, 0, 0, -1, 0
-                continue
-            streak, keys = streak + 1, keys + int(row.n_keys)
-            if last_us < 0 or row.us - last_us >= gap_us:
-                add("failover", row)
-                last_us, merged = row.us, 0
-            else:
-                merged += 1
-            if threshold and streak == threshold:
-                add("candidate", row)
-        state.update((episode, streak, keys, int(last_us), merged))
-        yield pd.DataFrame(events, columns=EVENT_SCHEMA.names)
+def episode_step(
+    log: DataFrame, state: DataFrame, options: LookupOptions, piece_rows: int = PIECE_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """(events, new state) of one micro-batch of the log, given the state after the one before.
 
+    Events are ``failover`` log lines after throttling, ``candidate`` when an episode reaches the
+    alert threshold, and ``recovered`` when one ends; ``merged`` is the number of failovers since
+    the last log line. State is one row per (table, subtask): the
+    open episode, its size so far, and its last log line. The batch goes through the same
+    operators as a whole log, so a busy (table, subtask) or a long backlog is cut into pieces.
+    """
     narrow = log.select(
-        "table_name",
-        "subtask",
-        "ts",
-        "batch_id",
-        "n_keys",
+        *GROUP, *ORDER, "n_keys", "failed_over", reason_of(F.col("primary_error"), F.col("primary_message")).alias("reason")
+    )
+    # Rows up to and including the first success of the batch belong to the episode left open.
+    first = F.col("episode") == 0
+    rows = with_streaks(narrow, piece_rows).join(state, [*GROUP], "left")
+    rows = rows.select(
+        *GROUP,
+        *ORDER,
         "failed_over",
-        F.unix_micros("ts").alias("us"),
-        reason_of(F.col("primary_error"), F.col("primary_message")).alias("reason"),
+        "reason",
+        (F.col("episode") + F.coalesce("episode_in", F.lit(0))).alias("episode"),
+        (F.col("streak") + F.when(first, F.coalesce("streak_in", F.lit(0))).otherwise(0)).alias("streak"),
+        (F.col("affected_keys") + F.when(first, F.coalesce("keys_in", F.lit(0))).otherwise(0)).alias("affected_keys"),
+        F.when(first, F.col("streak_in")).alias("streak_in"),
+        F.when(first, F.col("emitted_streak")).alias("line_in"),
     )
-    return narrow.groupBy("table_name", "subtask").applyInPandasWithState(
-        step, EVENT_SCHEMA, _STATE, "append", GroupStateTimeout.NoTimeout
+    rows = stage(rows, "streaks")
+    lines = stage(_log_lines(rows, state, options.failover_log_interval_s, piece_rows), "lines")
+
+    def event(name, found: DataFrame) -> DataFrame:
+        return found.select(name.alias("event"), *GROUP, *_LINE[:-1], "merged", "reason")
+
+    crossing = F.col("failed_over") & (F.col("streak") == options.alert_threshold) & F.lit(options.alerts_on)
+    ended = ~F.col("failed_over") & (F.col("streak") > 0)
+    threshold = F.when(F.col("streak") <= options.alert_threshold, F.col("streak"))
+    latest = lines.groupBy(*GROUP, "episode").agg(F.max("streak").alias("line"), F.max(threshold).alias("early_line"))
+    turning = rows.filter(crossing | ended).join(latest, [*GROUP, "episode"], "left")
+    line = F.coalesce(F.when(F.col("failed_over"), F.col("early_line")).otherwise(F.col("line")), "line_in", F.lit(0))
+    turning = turning.withColumn("merged", F.col("streak") - line)
+    events = event(F.lit("failover"), lines).unionByName(
+        event(F.when(F.col("failed_over"), "candidate").otherwise("recovered"), turning)
+    )
+    return events.select(*EVENT_SCHEMA.names), _next_state(rows, lines, state)
+
+
+def _log_lines(rows: DataFrame, state: DataFrame, interval_s: int, piece_rows: int) -> DataFrame:
+    """Throttled failovers; the last line of an open episode goes before its new rows."""
+    columns = [*GROUP, *_LINE, "streak_in", "line_in"]
+    failed = rows.filter("failed_over").select(*columns, F.lit(False).alias("old"))
+    old = state.filter("emitted_ts IS NOT NULL").select(
+        *GROUP,
+        F.col("episode_in").alias("episode"),
+        F.col("emitted_ts").alias("ts"),
+        F.lit(-1).cast("bigint").alias("batch_id"),
+        F.col("emitted_streak").alias("streak"),
+        F.lit(0).cast("bigint").alias("affected_keys"),
+        F.lit("").alias("reason"),
+        F.lit(None).cast("bigint").alias("streak_in"),
+        F.lit(None).cast("bigint").alias("line_in"),
+        F.lit(True).alias("old"),
     )
+    kept = spaced(failed.unionByName(old), [*GROUP, "episode"], ORDER, "ts", interval_s * 1000, piece_rows)
+    # The first line of the batch also stands for what was passed over before the batch.
+    first = (F.col("streak") - 1 - F.col("merged")) == F.col("streak_in")
+    earlier = F.when(first & (interval_s > 0), F.coalesce(F.col("streak_in") - F.col("line_in"), F.lit(0))).otherwise(0)
+    return kept.filter("NOT old").select(*GROUP, *_LINE, (F.col("merged") + earlier).alias("merged"))
+
+
+def _next_state(rows: DataFrame, lines: DataFrame, state: DataFrame) -> DataFrame:
+    """State after the batch; a (table, subtask) without rows keeps the one it had."""
+    failed = F.col("failed_over")
+    ends = rows.groupBy(*GROUP).agg(
+        F.count_if(~failed).alias("oks"), F.max(F.when(failed, F.struct("episode", "streak", "affected_keys"))).alias("tail")
+    )
+    last = lines.groupBy(*GROUP).agg(F.max(F.struct("episode", "streak", "ts")).alias("line"))
+    joined = state.join(ends, [*GROUP], "full").join(last, [*GROUP], "left")
+    episode = F.coalesce("episode_in", F.lit(0)) + F.coalesce("oks", F.lit(0))
+    is_open = F.col("tail.episode") == episode
+    has_line = F.col("line.episode") == episode
+    goes_on = F.coalesce("oks", F.lit(0)) == 0
+    return joined.select(
+        *GROUP,
+        episode.cast("bigint").alias("episode_in"),
+        F.when(is_open, F.col("tail.streak")).when(goes_on, F.col("streak_in")).otherwise(0).alias("streak_in"),
+        F.when(is_open, F.col("tail.affected_keys")).when(goes_on, F.col("keys_in")).otherwise(0).alias("keys_in"),
+        F.when(has_line, F.col("line.ts")).when(goes_on, F.col("emitted_ts")).alias("emitted_ts"),
+        F.when(has_line, F.col("line.streak")).when(goes_on, F.col("emitted_streak")).alias("emitted_streak"),
+    )
+
+
+def episode_stream(
+    log: DataFrame,
+    options: LookupOptions,
+    sink: BatchSink,
+    *,
+    state_path: str,
+    checkpoint: str,
+    name: str = "episodes",
+    trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Start a query that hands every micro-batch's episode events to ``sink``.
+
+    The state after each micro-batch is a small table under ``state_path``, numbered by batch: a
+    replayed batch starts from the same state again. The log is expected in time order from batch
+    to batch.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = f"{state_path}/{BATCH_FOLDER}={batch_id - 1}"
+        known = folder_bytes(spark, before) > 0
+        state = spark.read.schema(STATE_SCHEMA).parquet(before) if known else spark.createDataFrame([], STATE_SCHEMA)
+        batch.persist()
+        try:
+            events, following = episode_step(batch, state, options)
+            sink(events, batch_id)
+            folder_sink(state_path, files=1)(following, batch_id)
+        finally:
+            batch.unpersist()
+            clear_staging(spark)
+        delete_path(spark, f"{state_path}/{BATCH_FOLDER}={batch_id - 2}")
+
+    writer = log.writeStream.queryName(name).foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
 def alert_batch(
@@ -145,6 +234,7 @@ def alert_stream(
     sink: AlertSink,
     *,
     delivery_path: str,
+    state_path: str,
     checkpoint: str,
     name: str = "alerts",
     trigger: Mapping | None = None,
@@ -158,13 +248,11 @@ def alert_stream(
     pause = {"sleep": sleep} if sleep else {}
     write = folder_sink(delivery_path, files=1)
 
-    def on_batch(events: DataFrame, batch_id: int) -> None:
+    def on_events(events: DataFrame, batch_id: int) -> None:
         spark = events.sparkSession
-        path = new_staging_path(spark, "events")
-        staged = stage(events, "events", path)
-        alerts_path = new_staging_path(spark, "alerts")
-        alerts, suppressed = alert_batch(staged, deliveries_before(spark, delivery_path, batch_id), options)
-        alerts = stage(alerts, "alerts", alerts_path)
+        turning = stage(events.filter("event <> 'failover'"), "events")
+        alerts, suppressed = alert_batch(turning, deliveries_before(spark, delivery_path, batch_id), options)
+        alerts = stage(alerts, "alerts")
         if alerts.isEmpty():
             delivered = spark.createDataFrame([], DELIVERY_SCHEMA)
         else:
@@ -173,12 +261,10 @@ def alert_stream(
             {"kind": F.lit("failover"), "payload": F.lit(None).cast("string"), "status": F.lit("suppressed")}
         )
         write(delivered.unionByName(delivery_rows(held, Delivery(False, 0, 0))), batch_id)
-        delete_path(spark, path)
-        delete_path(spark, alerts_path)
 
-    events = episode_events(log, options)
-    writer = events.writeStream.queryName(name).foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    return episode_stream(
+        log, options, on_events, state_path=state_path, checkpoint=checkpoint, name=name, trigger=trigger
+    )
 
 
 def deliveries_before(spark, path: str, batch_id: int) -> DataFrame:

@@ -19,7 +19,14 @@ from tandem.sinks.kafka import kafka_write_options
 from tandem.sources.facts import json_facts, kafka_read_options, with_proc_time
 from tandem.sources.jdbc import jdbc_read_options, quote_table, wide_client_properties
 from tandem.streaming.enrich import enrich_stream
-from tandem.streaming.monitor import alert_stream, episode_events, log_stream, stats_stream
+from tandem.streaming.monitor import (
+    STATE_SCHEMA,
+    alert_stream,
+    episode_step,
+    episode_stream,
+    log_stream,
+    stats_stream,
+)
 
 ONCE = {"availableNow": True}
 OPTIONS = LookupOptions(table_name="dim_account", deadline_ms=60_000)
@@ -147,9 +154,9 @@ def test_episode_events_carry_state_over_batches(spark, tmp_path):
     )
     stream = log_stream(spark, path, maxFilesPerTrigger="1")
     out = str(tmp_path / "events")
-    episode_events(stream, ALERTS).writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", str(tmp_path / "c")
-    ).trigger(**ONCE).start().awaitTermination()
+    episode_stream(
+        stream, ALERTS, folder_sink(out), state_path=str(tmp_path / "state"), checkpoint=str(tmp_path / "c"), trigger=ONCE
+    ).awaitTermination()
     got = sorted((r.batch_id, r.event, r.episode, r.streak, r.affected_keys, r.merged) for r in spark.read.parquet(out).collect())
     assert got == [
         (0, "failover", 0, 1, 5, 0),
@@ -160,10 +167,33 @@ def test_episode_events_carry_state_over_batches(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("interval_s, piece_rows", [(1, 10_000), (1, 40), (0, 10_000)])
+def test_steps_give_the_events_of_the_whole_log(spark, interval_s, piece_rows):
+    """Micro-batches of any size lead to the same events as one pass over the log."""
+    from dataclasses import replace
+
+    from test_analytics import random_log
+
+    options = replace(ALERTS, failover_log_interval_s=interval_s)
+    log = log_rows(spark, random_log(spark, 300, 5, 0.8)).cache()
+
+    def events(*bounds):
+        state, found = spark.createDataFrame([], STATE_SCHEMA), set()
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            part = log.filter(f"batch_id >= {low} AND batch_id < {high}")
+            new, state = episode_step(part, state, options, piece_rows)
+            found |= {tuple(r) for r in new.collect()}
+        return found
+
+    whole = events(0, 300)
+    assert len([e for e in whole if e[0] == "failover"]) > 20
+    assert events(0, 90, 91, 250, 300) == whole
+
+
 def run_alerts(spark, tmp_path, path, sink, options=ALERTS):
     query = alert_stream(
         log_stream(spark, path, maxFilesPerTrigger="1"), options, sink, delivery_path=str(tmp_path / "delivery"),
-        checkpoint=str(tmp_path / "alerts"), trigger=ONCE, sleep=lambda s: None,
+        state_path=str(tmp_path / "state"), checkpoint=str(tmp_path / "alerts"), trigger=ONCE, sleep=lambda s: None,
     )
     query.awaitTermination()
     return spark.read.parquet(str(tmp_path / "delivery"))
