@@ -6,7 +6,8 @@ import tempfile
 import threading
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_root: str | None = None
 _staged: list[str] = []
+_scope = threading.local()
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -46,7 +48,7 @@ def stage(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     if path is None:
         path = new_staging_path(spark, purpose)
-        _staged.append(path)
+        getattr(_scope, "paths", _staged).append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -63,6 +65,23 @@ def clear_staging(spark: SparkSession) -> None:
         delete_path(spark, _staged.pop())
 
 
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what this thread stages inside the block when it ends, and nothing else."""
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        inner = _scope.paths
+        if outer is None:
+            del _scope.paths
+        else:
+            _scope.paths = outer
+        for path in inner:
+            delete_path(spark, path)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Summed size of the files in a folder; 0 when there is none."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -15,7 +15,7 @@ from tandem.plans.alerts import reason_of, render_events
 from tandem.plans.episodes import GROUP, ORDER, with_cooldown, with_streaks
 from tandem.plans.log import LOG_SCHEMA
 from tandem.plans.stats import interval_counters
-from tandem.session import clear_staging, delete_path, folder_bytes, stage
+from tandem.session import delete_path, folder_bytes, stage, staging_scope
 from tandem.sinks.batches import BATCH_FOLDER, BatchSink, folder_sink
 from tandem.sinks.delivery import DELIVERY_SCHEMA, AlertSink, Delivery, deliver, delivery_rows
 
@@ -181,12 +181,12 @@ def episode_stream(
         state = spark.read.schema(STATE_SCHEMA).parquet(before) if known else spark.createDataFrame([], STATE_SCHEMA)
         batch.persist()
         try:
-            events, following = episode_step(batch, state, options)
-            sink(events, batch_id)
-            folder_sink(state_path, files=1)(following, batch_id)
+            with staging_scope(spark):
+                events, following = episode_step(batch, state, options)
+                sink(events, batch_id)
+                folder_sink(state_path, files=1)(following, batch_id)
         finally:
             batch.unpersist()
-            clear_staging(spark)
         delete_path(spark, f"{state_path}/{BATCH_FOLDER}={batch_id - 2}")
 
     writer = log.writeStream.queryName(name).foreachBatch(on_batch).option("checkpointLocation", checkpoint)

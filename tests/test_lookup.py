@@ -1,5 +1,6 @@
 """Lookup join, probes and failover."""
 
+import os
 import time
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from tandem.operators.failover import FactsFailed, LookupFailed, error_of, failover_lookup
 from tandem.operators.lookup import distinct_keys, in_predicate, lookup_join, probe
 from tandem.options import LookupOptions
-from tandem.session import DeadlineExceeded, run_with_deadline, stage, staging_root
+from tandem.session import DeadlineExceeded, run_with_deadline, stage, staging_root, staging_scope
 from tandem.streaming.enrich import SnapshotCache
 
 SCHEMA = T.StructType(
@@ -376,3 +377,16 @@ def test_error_of_jvm_failures(spark):
         spark.read.format("jdbc").options(url="jdbc:nosuchstore:x", dbtable="t").load()
     except Exception as error:
         assert error_of(error)[0] == "java.sql.SQLException"
+
+
+def test_staging_scope_removes_only_its_own(spark, dim):
+    def file_of(df):
+        return df.inputFiles()[0].removeprefix("file:").replace("///", "/")
+
+    kept = file_of(stage(dim, "test"))
+    with staging_scope(spark):
+        gone = file_of(stage(dim, "test"))
+        with staging_scope(spark):
+            inner = file_of(stage(dim, "test"))
+        assert os.path.exists(gone) and not os.path.exists(inner)
+    assert os.path.exists(kept) and not os.path.exists(gone)
