@@ -184,7 +184,7 @@ def episode_stream(
             with staging_scope(spark):
                 events, following = episode_step(batch, state, options)
                 sink(events, batch_id)
-                folder_sink(state_path, files=1)(following, batch_id)
+                folder_sink(state_path)(following, batch_id)
         finally:
             batch.unpersist()
         delete_path(spark, f"{state_path}/{BATCH_FOLDER}={batch_id - 2}")
@@ -246,7 +246,7 @@ def alert_stream(
     A sink that keeps failing ends in dead letters; the query goes on.
     """
     pause = {"sleep": sleep} if sleep else {}
-    write = folder_sink(delivery_path, files=1)
+    write = folder_sink(delivery_path)
 
     def on_events(events: DataFrame, batch_id: int) -> None:
         spark = events.sparkSession
