@@ -82,6 +82,15 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             delete_path(spark, path)
 
 
+def stage_result(spark: SparkSession, purpose: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Stage what ``build`` returns, and free every table that was staged on the way to it."""
+    path = new_staging_path(spark, purpose)
+    with staging_scope(spark):
+        result = stage(build(), purpose, path)
+    getattr(_scope, "paths", _staged).append(path)
+    return result
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Summed size of the files in a folder; 0 when there is none."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
