@@ -9,8 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.llm.decontaminate import find_hits
+from tandem.llm.exact_dedup import mark_copies
+from tandem.llm.language import identify
+from tandem.llm.mixture import sample_repetitions
+from tandem.llm.near_dedup import near_duplicates
+from tandem.llm.secrets import scan_secrets
 from tandem.llm.token_counts import count_tokens
 from tandem.llm.token_files import read_token_files, write_token_files
+from tandem.llm.toxicity import score_documents
+from tandem.llm.warc import mark_revisits, read_archives, write_archives
 from tandem.session import new_staging_path
 
 TOKEN_LIMIT = 2048
@@ -39,14 +46,86 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return scan_secrets(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_copies(table(spark, sf_dir, "documents"))
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), TOKEN_LIMIT)
 
 
+def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = sample_repetitions(table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_staging_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return mark_revisits(read_archives(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_decontaminate": op2_decontaminate,
+    "op3_language": op3_language,
+    "op4_secrets": op4_secrets,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_near_dedup": op6_near_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_mixture": op9_mixture,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+_OP5 = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS normal
+  FROM documents
+)
+SELECT doc_id,
+       first_value(doc_id) OVER g AS keep_id,
+       count(*) OVER (PARTITION BY normal) AS group_size,
+       doc_id = first_value(doc_id) OVER g AS kept,
+       sha256(normal) AS text_sha256
+FROM d
+WINDOW g AS (PARTITION BY normal ORDER BY points DESC, doc_id)
+"""
+
+_OP10 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+m AS (SELECT payload, min(page_id) AS first FROM p GROUP BY payload),
+b AS (
+  SELECT page_id, first, strlen(payload) AS n,
+         list_transform(generate_series(0, 31), lambda i: CAST(('0x' || substr(sha1(payload) || '00', 1 + (5 * i) // 4, 2)) AS INTEGER)) AS two,
+         payload
+  FROM p JOIN m USING (payload)
+)
+SELECT page_id, n AS payload_bytes,
+       list_aggregate(list_transform(generate_series(0, 31),
+         lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((two[i + 1] >> (3 - (5 * i) % 4)) & 31), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
+ORACLES: dict[str, str] = {"op5_exact_dedup": _OP5.strip(), "op10_warc": _OP10.strip()}
