@@ -168,7 +168,7 @@ def _entries(placed: DataFrame) -> DataFrame:
     # Only what some chain jumps to, or what stands first in its file, can be an entry.
     targets = left.filter(F.col("exit") >= 0).select("file", F.col("exit").alias("pos")).distinct()
     first = F.col("pos") == len(MAGIC)
-    jumps = left.join(targets, ["file", "pos"], "left_semi").union(left.filter(first)).distinct()
+    jumps = left.join(targets, ["file", "pos"], "left_semi").unionByName(left.filter(first)).distinct()
     jumps = stage(jumps.select("file", "block", "pos", "exit"), "jumps")
     reached = jumps.filter(first).select("file", "block", "pos")
     hops = jumps.select("file", "pos", F.col("exit").alias("to"))
