@@ -20,7 +20,7 @@ from tandem.llm.common import worker_store
 
 # Fixed patterns: kind, expression, group that counts, least length of that group.
 PATTERNS = (
-    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+    ("assign", r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
 )
@@ -33,7 +33,7 @@ DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_CHARS)
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_KEYWORD = re.compile("password|passwd|secret|token|api_?key", re.IGNORECASE)
+_KEYWORD = re.compile("password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 # Words, numbers and single separators in turn: names of files, variables, pages.
 _IDENTIFIER = re.compile(r"[A-Z]?[a-z]+(?:[A-Z][a-z]+)*\d{0,4}(?:[-_/=+][A-Z]?[a-z]+(?:[A-Z][a-z]+)*\d{0,4}|[-_/=+]\d{1,8})*[-_/=+]?")
