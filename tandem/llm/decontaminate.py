@@ -160,12 +160,12 @@ def merged(spans: list[int]) -> list[int]:
     return out
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, windows_per_pass: int = WINDOWS_PER_PASS) -> DataFrame:
-    """``docs`` with one more column, ``contamination``: n_words, spans, items, n_hit, contaminated.
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, windows_per_pass: int = WINDOWS_PER_PASS, into: str = "contamination") -> DataFrame:
+    """``docs`` with one more column, ``into``: n_words, spans, items, n_hit, contaminated.
 
     ``spans`` are word positions [start, end), flat and merged; ``items`` are the item ids as sorted
     strings. NULL and empty texts have no words and no hits. Rows and other columns stay as they are;
-    a column named ``contamination`` would be replaced.
+    a column that is named like the new one is replaced.
     """
     sets = window_sets(benchmark, window, windows_per_pass)
 
@@ -191,7 +191,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, windo
 
     finish.__annotations__ = {"hits": pa.Array, "return": pa.Array}
     result = F.arrow_udf(finish, "n_words long, spans array<int>, items array<string>, n_hit long, contaminated boolean")
-    return docs.withColumn("contamination", result(F.array(*[_scanner(docs, s)(docs["text"]) for s in sets])))
+    return docs.withColumn(into, result(F.array(*[_scanner(docs, s)(docs["text"]) for s in sets])))
 
 
 def items_sha256(items: list[str]) -> str:
@@ -216,12 +216,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
-    hits = find_hits(docs, benchmark, window)
+    hits = find_hits(docs, benchmark, window, into="__hits")
     if remove == "documents":
-        return hits.filter(~F.col("contamination.contaminated")).select(*docs.columns)
+        return hits.filter(~F.col("__hits.contaminated")).select(*docs.columns)
 
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         return pa.array([without_spans(t, s) if s else t for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
 
     cut.__annotations__ = {"texts": pa.Array, "spans": pa.Array, "return": pa.Array}
-    return hits.withColumn("text", F.arrow_udf(cut, "string")("text", "contamination.spans")).select(*docs.columns)
+    return hits.withColumn("text", F.arrow_udf(cut, "string")("text", "__hits.spans")).select(*docs.columns)
