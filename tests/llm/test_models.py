@@ -1,0 +1,141 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tandem.llm import language, toxicity
+from tandem.llm.common import held_out
+from tandem.llm.toxicity import karlin_decay, maximal_segments, score_documents
+
+from .helpers import docs, odd_rows
+
+# Syllables of invented languages.
+SOUNDS = {"xa": ["ka", "lo", "mi", "tu", "re"], "xb": ["sch", "ung", "ein", "er", "pf"], "xc": ["ção", "ã", "os", "qué", "ña"]}
+BAD = ["zorg", "blurk", "fnord"]
+
+
+def text(rng, lang, words=60):
+    return " ".join("".join(rng.choices(SOUNDS[lang], k=rng.randint(1, 4))) for _ in range(words)).capitalize() + "."
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(500):
+        lang = rng.choice(list(SOUNDS))
+        words = text(rng, lang, rng.randint(5, 200)).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        rows.append((i, " ".join(words), lang, "s", 1, True, 1, "c"))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_fold_is_the_checksum_of_the_id(spark):
+    got = spark.range(-5, 300).select("id", held_out("id").alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in got)
+    assert spark.sql("SELECT CAST(NULL AS long) AS id").select(held_out("id")).first()[0] is False
+
+
+def test_languages_of_held_out_rows(spark, corpus):
+    rows, _ = corpus
+    extra = [(9_000, None, "xa", *[None] * 5), (9_001, "123 .", None, *[None] * 5), (None, text(random.Random(3), "xb"), "xb", *[None] * 5)]
+    got = language.identify(docs(spark, rows + extra)).collect()
+    truth = {r[0]: r[2] for r in rows}
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert len(held) > 80 and sum(truth[r.doc_id] == r.lang_pred for r in held) >= 0.98 * len(held)
+    assert all(0 <= r.score <= 1 for r in got)
+    by_id = {r.doc_id: r for r in got}
+    assert [by_id[i].lang_pred for i in (9_000, 9_001, None)] == ["und", "und", "xb"]
+    assert by_id[9_000].rejected and by_id[9_000].score == 0
+
+
+def test_language_model_never_sees_held_out_labels(spark, corpus):
+    rows, _ = corpus
+    sample = language.training_sample(docs(spark, rows), rows=10_000).collect()
+    used = {r.text for r in sample}
+    assert all((zlib.crc32(str(r[0]).encode()) % 4 != 2) == (r[1] in used) for r in rows)
+    assert 40 <= language.training_sample(docs(spark, rows), rows=90).count() <= 150
+
+
+def test_language_without_labels(spark):
+    assert {r.lang_pred for r in language.identify(docs(spark, [(1, "abc", None, *[None] * 5)])).collect()} == {"und"}
+    assert {r.lang_pred for r in language.identify(docs(spark, [(1, "abc", "xa", *[None] * 5)])).collect()} == {"xa"}
+    assert language.identify(docs(spark, [])).collect() == []
+
+
+def test_a_very_long_text_is_read_whole(corpus):
+    rows, _ = corpus
+    model = language.fit([r[1] for r in rows], [r[2] for r in rows])
+    rng = random.Random(4)
+    mixed = text(rng, "xa", 2_000) + " " + text(rng, "xb", 8_000)
+    whole = model.logits(mixed)
+    language.SLICE, kept = 1_000, language.SLICE
+    try:
+        assert np.allclose(model.logits(mixed), whole, atol=0.02)
+    finally:
+        language.SLICE = kept
+    assert model.predict(mixed)[0] == "xb"
+
+
+def brute_segments(scores):
+    """Split at the best segment, then both sides of it."""
+    if not len(scores) or max(scores) <= 0:
+        return []
+    total = np.concatenate(([0.0], np.cumsum(scores)))
+    best = max(((total[j] - total[i], i - j, -i, i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)))
+    value, _, _, i, j = best
+    right = [(a + j, b + j, s) for a, b, s in brute_segments(scores[j:])]
+    return brute_segments(scores[:i]) + [(i, j, value)] + right
+
+
+def test_maximal_segments():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5, 30, 30, 30, 60):
+        scores = np.round(rng.normal(-0.3, 1, n), 6)
+        got = maximal_segments(scores)
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in brute_segments(scores)]
+        assert all(s == pytest.approx(scores[a:b].sum()) for a, b, s in got)
+    assert len(maximal_segments(np.tile([1.0, -5.0], 50_000))) == 50_000
+
+
+def test_decay_solves_its_equation():
+    scores, shares = np.array([3.0, -0.5]), np.array([0.02, 0.98])
+    decay = karlin_decay(scores, shares)
+    assert (shares * np.exp(decay * scores)).sum() == pytest.approx(1)
+    assert karlin_decay(np.array([-1.0]), np.array([1.0])) == 1.0
+
+
+def test_toxicity_of_held_out_rows(spark, corpus):
+    rows, labels = corpus
+    extra = [(9_000, None, *[None] * 6), (9_001, "", *[None] * 6), (None, "ka lo zorg fnord blurk", *[None] * 6)]
+    marks = spark.createDataFrame([*labels, (None, 1), (3, None), (9_000, 0), *labels[:5]], "doc_id long, toxic int")
+    got = score_documents(docs(spark, rows + extra), marks).collect()
+    assert len(got) == len(rows) + 3
+    truth = dict(labels)
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert sum(truth[r.doc_id] == r.predicted for r in held) >= 0.98 * len(held)
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[9_001].predicted == 0 and by_id[9_000].score == by_id[9_001].score and by_id[None].predicted == 1
+    assert [(p.start, p.end) for p in by_id[None].passages] == [(2, 5)]
+    clean = toxicity.drop_toxic(docs(spark, rows + extra), marks)
+    assert clean.columns == docs(spark, []).columns
+    assert clean.count() == sum(r.predicted == 0 for r in got)
+
+
+def test_toxicity_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r.predicted for r in score_documents(docs(spark, odd_rows()), none).collect()} == {0}
+    assert score_documents(docs(spark, []), none).collect() == []
+
+
+def test_passages_apart_are_found_apart():
+    model = toxicity.ToxicityModel(words={b"bad": 5.0}, constant=1e-3)
+    kept = model.features(" ".join(["bad bad"] + ["word"] * 100 + ["bad"]))[3]
+    assert [(a, b) for a, b, _ in kept] == [(0, 2), (102, 103)]
+    assert model.features("")[0] == 0 and F is not None
