@@ -31,6 +31,7 @@ from tandem.session import stage
 SAMPLE_ROWS = 20_000
 PRIOR = 0.05
 LEAST_Z = 3.0
+DISCOUNT = 2.0
 LEAST_COUNT = 4
 STEM_BYTES = 5
 DRIFT = 0.5
@@ -155,7 +156,8 @@ def log_odds(counted: DataFrame, n_clean: int, n_toxic: int, prior: float = PRIO
 
     ``delta`` is the log-odds of toxic over clean documents under a Dirichlet prior that weighs as
     much as the share ``prior`` of all documents and is distributed as tokens are over all of them;
-    it is kept where it exceeds ``least_z`` times its error.
+    it is kept where it exceeds ``least_z`` times its error, less ``DISCOUNT`` errors, so that rare
+    words weigh what they are sure to.
     """
     weight = prior * (n_clean + n_toxic)
     alpha = F.lit(prior) * (F.col("clean") + F.col("toxic"))
@@ -167,7 +169,8 @@ def log_odds(counted: DataFrame, n_clean: int, n_toxic: int, prior: float = PRIO
     error = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
     scored = counted.withColumn("delta", log_odd("toxic", n_toxic) - log_odd("clean", n_clean)).withColumn("z", F.col("delta") / error)
     kept = (F.abs("z") >= least_z) & (F.col("clean") + F.col("toxic") >= least_count)
-    return scored.filter(kept).select("stem", "token", "clean", "delta")
+    sure = F.col("delta") - F.lit(DISCOUNT) * error * F.signum("delta")
+    return scored.filter(kept).select("stem", "token", "clean", sure.alias("delta"))
 
 
 def karlin_decay(scores: np.ndarray, shares: np.ndarray) -> float:
