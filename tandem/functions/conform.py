@@ -61,7 +61,7 @@ def to_boolean(value: Column, source: T.DataType) -> Column:
     if isinstance(source, _FRACTIONAL):
         return F.when(F.isnan(value), F.lit(False)).otherwise(F.abs(value) >= 1)
     if isinstance(source, T.DecimalType):
-        return F.abs(value) >= 1
+        return F.floor(F.abs(value)) % F.lit(2**32) != 0
     return F.lower(value.cast("string")) == "true"
 
 
@@ -72,13 +72,22 @@ def to_decimal(value: Column, source: T.DataType, target: T.DecimalType, strict:
     return _cast(F.trim(value.cast("string")), target, strict)
 
 
+def _shaped(value: Column, shape: str, what: str, strict: bool) -> Column:
+    """Trimmed text if the whole of it has the shape; otherwise an error, or NULL when not strict."""
+    text = F.trim(value.cast("string"))
+    shaped = F.when(text.rlike(shape), text)
+    if strict:
+        shaped = F.coalesce(shaped, F.when(value.isNotNull(), F.raise_error(F.concat(F.lit(f"not a {what}: "), text))))
+    return shaped
+
+
 def to_date(value: Column, source: T.DataType, strict: bool) -> Column:
-    """Numbers are days since the epoch, text is ISO."""
+    """Numbers are days since the epoch, text is ``yyyy-MM-dd`` and nothing else."""
     if isinstance(source, (T.DateType, *_TIMESTAMPS)):
         return value.cast("date")
     if isinstance(source, (*_INTEGRAL, *_FRACTIONAL, T.DecimalType)):
         return F.date_from_unix_date(_cast(value, T.IntegerType(), strict))
-    return _cast(F.trim(value.cast("string")), T.DateType(), strict)
+    return _cast(_shaped(value, r"^\d{4}-\d{2}-\d{2}$", "date", strict), T.DateType(), strict)
 
 
 def to_time_ms(value: Column, source: T.DataType, strict: bool) -> Column:
@@ -92,10 +101,7 @@ def to_time_ms(value: Column, source: T.DataType, strict: bool) -> Column:
             + F.floor(F.date_format(value, "s.SSSSSS").cast("decimal(9,6)") * 1000)
         ).cast("int")
     # A valid time of day on a fixed day is a valid timestamp, so Spark's parser does the checking.
-    text = F.trim(value.cast("string"))
-    shaped = F.when(text.rlike(r"^\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"), text)
-    if strict:
-        shaped = F.coalesce(shaped, F.when(value.isNotNull(), F.raise_error(F.concat(F.lit("not a time: "), text))))
+    shaped = _shaped(value, r"^\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$", "time", strict)
     whole = F.when(F.length(shaped) == 5, F.concat(shaped, F.lit(":00"))).otherwise(shaped)
     at = F.substring(F.concat(F.lit("1970-01-01 "), whole), 1, 26)
     micros = F.unix_micros(_cast(F.concat(at, F.lit("Z")), T.TimestampType(), strict))
@@ -103,7 +109,10 @@ def to_time_ms(value: Column, source: T.DataType, strict: bool) -> Column:
 
 
 def to_timestamp(value: Column, source: T.DataType, field: T.StructField, strict: bool) -> Column:
-    """Numbers by declared precision, text with ``T`` or a blank between date and time."""
+    """Numbers by declared precision, text with ``T`` or a blank between date and time.
+
+    Fraction digits beyond microseconds are dropped; text with a zone or anything else is bad.
+    """
     target = field.dataType
     if isinstance(source, (T.DateType, *_TIMESTAMPS)):
         return value.cast(target)
@@ -117,8 +126,9 @@ def to_timestamp(value: Column, source: T.DataType, field: T.StructField, strict
         else:
             instant = F.timestamp_micros(F.call_function("div", number - F.pmod(number, F.lit(1000)), F.lit(1000)))
         return instant.cast(target)
-    text = F.regexp_replace(F.trim(value.cast("string")), r"^(.{10})T", "$1 ")
-    return _cast(F.substring(text, 1, 26), target, strict)
+    text = _shaped(value, r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?$", "timestamp", strict)
+    text = F.regexp_replace(F.regexp_replace(text, "T", " "), r"(\.\d{6})\d+$", "$1")
+    return _cast(text, target, strict)
 
 
 def to_binary(value: Column, source: T.DataType) -> Column:
@@ -170,6 +180,24 @@ def split_bad_rows(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     return conform(df.filter(~broken), schema, "null"), df.filter(broken)
 
 
+def held_columns(df: DataFrame, schema: T.StructType, keys: dict[str, Column]) -> DataFrame:
+    """The declared columns as the store has them, under their declared names; ``keys`` already conform.
+
+    A column the store lacks, or has without a type, is NULL of the declared type.
+    """
+    columns = []
+    for field in schema:
+        name = source_column(df, field.name)
+        if field.name in keys:
+            value = keys[field.name]
+        elif name is None or isinstance(df.schema[name].dataType, T.NullType):
+            value = F.lit(None).cast(field.dataType)
+        else:
+            value = df[name]
+        columns.append(value.alias(field.name))
+    return df.select(*columns)
+
+
 def _columns(df: DataFrame, schema: T.StructType, strict: bool) -> list[Column]:
     columns = []
     for field in schema:

@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tandem.functions.conform import coerce, conform, source_column, split_bad_rows
+from tandem.functions.conform import coerce, conform, held_columns, source_column, split_bad_rows
 from tandem.operators.lookup import Keys, distinct_keys, key_pairs, lookup_join, one_row_per_key, probe
 from tandem.options import LookupOptions
 from tandem.plans.log import LOG_SCHEMA
-from tandem.session import delete_path, estimated_bytes, new_staging_path, run_with_deadline, stage
+from tandem.session import delete_path, estimated_bytes, new_staging_path, row_bytes, run_with_deadline, stage
 
 Loader = Callable[[SparkSession], DataFrame]
 
@@ -175,6 +175,10 @@ def failover_lookup(
 
     Only an error or the deadline leads to the standby; a miss never does. When both stores fail
     :class:`LookupFailed` is raised.
+
+    What the store holds is brought to the declared types after the route is decided, and only for
+    keys that occur: a value that does not convert belongs to its key, whatever the strategy, and
+    never sends the batch to the standby. ``on_bad_row="fail"`` raises when ``df`` is evaluated.
     """
     options = options or LookupOptions()
     spark = facts.sparkSession
@@ -200,29 +204,33 @@ def failover_lookup(
                 raise FactsFailed(f"keys of the facts could not be read: {error}") from error
         return key_table[0]
 
-    def answer(raw: DataFrame, by_keys: bool) -> tuple[DataFrame, DataFrame | None, str]:
+    def answer(raw: DataFrame, by_keys: bool) -> tuple[DataFrame, str]:
+        """The store's rows as it holds them, with the key in its declared type. Staged."""
+        typed = stored_keys(raw, dim_keys, business)
         if by_keys:
-            raw = probe(raw, keys_once(), dim_keys, options.max_in_keys, stored_keys(raw, dim_keys, business))
-        bad = None
-        if on_bad_row == "quarantine":
-            good, bad = split_bad_rows(raw, business)
-        else:
-            good = conform(raw, business, on_bad_row)
-        good = one_row_per_key(good.dropna(subset=dim_keys), dim_keys, dim_unique)
+            raw = probe(raw, keys_once(), dim_keys, options.max_in_keys, typed)
+        held = held_columns(raw, business, dict(zip(dim_keys, typed))).dropna(subset=dim_keys)
         path = new_staging_path(spark, "answer")
         paths.append(path)
-        staged = stage(good, "answer", path)
-        if bad is not None:
-            paths.append(new_staging_path(spark, "bad"))
-            bad = stage(bad, "bad", paths[-1])
-        return staged, bad, path
+        return stage(held, "answer", path), path
+
+    def conformed(hits: DataFrame, by_keys: bool) -> tuple[DataFrame, DataFrame | None]:
+        """Declared rows, one per key where asked for, and the rows put aside."""
+        if on_bad_row != "quarantine" and dim_unique == "all":
+            return hits, None  # conformed behind the join
+        asked = hits if by_keys else probe(hits, keys_once(), dim_keys)
+        if on_bad_row == "quarantine":
+            good, bad = split_bad_rows(asked, business)
+        else:
+            good, bad = conform(asked, business, on_bad_row), None
+        return one_row_per_key(good, dim_keys, dim_unique), bad
 
     attempts: list[Attempt] = []
     for source in (options.primary, options.standby):
         attempt = Attempt(source)
         attempts.append(attempt)
         loader = stores[source]
-        hits, bad = getattr(loader, "fresh", lambda: None)(), None
+        hits, by_keys = getattr(loader, "fresh", lambda: None)(), False
         if hits is None:
             try:
                 raw, by_keys = _open(spark, loader, strategy, options, dim_keys, keys_once)
@@ -237,18 +245,22 @@ def failover_lookup(
             if timed.error is not None:
                 attempt.error_class, attempt.error_message = error_of(timed.error)
                 continue
-            hits, bad, path = timed.result
+            hits, path = timed.result
             if hasattr(loader, "keep") and not by_keys:
                 loader.keep(hits, path)
                 paths.remove(path)
         cost_ms = int(sum(a.elapsed_ms for a in attempts))
         extra = {SOURCE_COLUMN: F.lit(source), COST_COLUMN: F.lit(cost_ms).cast("bigint")}
-        answered = hits.withColumns({name: extra[lower] for lower, name in metadata.items()})
+        declared, bad = conformed(hits, by_keys)
+        answered = declared.withColumns({name: extra[lower] for lower, name in metadata.items()})
         ordered = answered.select(*[field.name for field in schema])
-        # The answer lies in files by now, so its size is measured and not estimated.
-        if hint is None and salt <= 1 and estimated_bytes(hits) <= options.broadcast_bytes:
+        # The answer lies in files by now, so its rows are measured and not estimated; files that are
+        # too large compressed need no measuring.
+        if hint is None and salt <= 1 and estimated_bytes(hits) <= options.broadcast_bytes and row_bytes(hits) <= options.broadcast_bytes:
             hint = "broadcast"
         enriched = lookup_join(facts, ordered, keys, how, hint=hint, prefix=prefix, salt=salt)
+        if declared is hits:
+            enriched = conform_joined(enriched, hits, business, dim_keys, prefix, on_bad_row)
 
         def count() -> tuple[int, int]:
             counted = key_table[0] if key_table else distinct_keys(facts, keys, business)
@@ -260,6 +272,20 @@ def failover_lookup(
     raise LookupFailed(attempts, lambda: count_facts(distinct_keys(facts, keys, business)))
 
 
+def conform_joined(
+    enriched: DataFrame, held: DataFrame, schema: T.StructType, keys: list[str], prefix: str, on_bad_row: str
+) -> DataFrame:
+    """Bring the dimension columns of joined rows from the types the store holds to the declared ones."""
+    declared = {
+        prefix + f.name: coerce(enriched[f"`{prefix}{f.name}`"], held.schema[f.name].dataType, f, on_bad_row == "fail").alias(
+            prefix + f.name, metadata=dict(f.metadata or {})
+        )
+        for f in schema
+        if f.name not in keys
+    }
+    return enriched.select(*[declared.get(name, enriched[f"`{name}`"]) for name in enriched.columns])
+
+
 def _open(spark, loader, strategy, options, dim_keys, keys_once) -> tuple[DataFrame, bool]:
     """Connect to a store and decide how to ask it; not part of the timed query."""
     if hasattr(loader, "for_keys") and strategy != "snapshot":

@@ -20,6 +20,12 @@ NULL_SPREAD = 16_384
 # A broadcast hint is followed up to this estimated size; beyond it the join shuffles.
 BROADCAST_HINT_BYTES = 512 * 1024 * 1024
 
+# Types that narrow when one is cast to another.
+_ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+# Hints under which the sides are shuffled, whatever their size.
+_SHUFFLING = ("merge", "shuffle_hash", "shuffle_merge", "mergejoin", "shuffle_replicate_nl")
+
 
 def key_pairs(keys: Keys) -> list[tuple[str, str]]:
     """(fact column, dimension column) for every part of the key."""
@@ -41,8 +47,14 @@ def _any(conditions: Sequence[Column]) -> Column:
 
 
 def _typed_key(df: DataFrame, name: str, kind: T.DataType) -> Column:
-    """A fact's key in the dimension's type; text that does not convert can match nothing."""
-    return df[name] if df.schema[name].dataType == kind else df[name].try_cast(kind)
+    """A fact's key in the dimension's type; a value that does not convert without loss can match nothing."""
+    value, source = df[name], df.schema[name].dataType
+    if source == kind:
+        return value
+    typed = value.try_cast(kind)
+    if isinstance(source, _ORDERED) and isinstance(kind, _ORDERED):
+        return F.when(typed.try_cast(source) == value, typed)
+    return typed
 
 
 def one_row_per_key(dim: DataFrame, keys: Sequence[str], dim_unique: str) -> DataFrame:
@@ -125,7 +137,9 @@ def lookup_join(
         left = left.withColumn("__salt", F.pmod(_spread(facts, spread_by), F.lit(salt)).cast("int"))
         right = right.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         on.append("__salt = __slot")
-    elif spread_nulls and how == "left" and hint != "broadcast" and size > broadcast_limit(dim.sparkSession):
+    elif spread_nulls and how == "left" and hint != "broadcast" and (
+        (hint or "").lower() in _SHUFFLING or size > broadcast_limit(dim.sparkSession)
+    ):
         keyless = _any([value.isNull() for value in probe])
         spread = F.when(keyless, F.pmod(_spread(facts, spread_by), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
         left = left.withColumn("__salt", spread)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import math
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -21,6 +23,8 @@ CONNECT_TIMEOUT_MAX_MS = 300
 OPERATION_TIMEOUT_MIN_MS = 500
 CLIENT_SHARE_OF_DEADLINE = 0.8
 
+NAME_DIGEST = 16
+
 WIDE_PROPERTY_PREFIX = "properties."
 KAFKA_PROPERTY_PREFIX = "lookup.alert.kafka.properties."
 
@@ -29,8 +33,24 @@ class OptionError(ValueError):
     """An option is unknown, malformed, or contradicts another one."""
 
 
-def _option(key: str, default: Any, kind: type = str):
-    return field(default=default, metadata={"key": key, "kind": kind})
+# Fixed names of options that a table declaration may carry and that have nothing to act on here: pools,
+# queues and log-ins of client libraries. They are accepted and ignored.
+IGNORED = frozenset(
+    {
+        "lookup.alert.kafka.queue-capacity",
+        "lookup.alert.kafka.close-timeout-ms",
+        "doris.pool.min-idle",
+        "doris.pool.idle-timeout",
+        "doris.pool.max-lifetime",
+        "doris.pool.validation-timeout",
+        "hbase.kerberos.krb5.conf",
+    }
+)
+
+
+def _option(key: str, default: Any, kind: type = str, least: int | None = None):
+    """An option with its dotted name and, for numbers, the least value it may have."""
+    return field(default=default, metadata={"key": key, "kind": kind, "least": least})
 
 
 @dataclass(frozen=True)
@@ -44,38 +64,38 @@ class LookupOptions:
     table_name: str = "dim"
     stores: tuple[str, str] = ("hbase", "doris")
 
+    # Option names and defaults of a table declaration, down to the client properties.
+
     # routing, deadline, batching
     primary: str = _option("lookup.primary", "")
-    deadline_ms: int = _option("lookup.timeout", 30_000, int)
+    deadline_ms: int = _option("lookup.timeout", 30_000, int, least=1)
     operator_timeout_ms: int = _option("table.exec.async-lookup.timeout", 180_000, int)
-    batch_size: int = _option("lookup.batch.size", 50, int)
-    batch_max_wait_ms: int = _option("lookup.batch.max-wait", 5, int)
+    batch_size: int = _option("lookup.batch.size", 50, int, least=1)
+    batch_max_wait_ms: int = _option("lookup.batch.max-wait", 5, int, least=0)
 
     # statistics and log lines
-    stats_interval_s: int = _option("lookup.stats.log-interval", 360, int)
-    failover_log_interval_s: int = _option("lookup.failover.log-interval", 10, int)
+    stats_interval_s: int = _option("lookup.stats.log-interval", 360, int, least=0)
+    failover_log_interval_s: int = _option("lookup.failover.log-interval", 10, int, least=0)
 
     # alerts
-    alert_threshold: int = _option("lookup.alert.threshold", 0, int)
+    alert_threshold: int = _option("lookup.alert.threshold", 0, int, least=0)
     alert_bootstrap: str = _option("lookup.alert.kafka.bootstrap-servers", "")
     alert_topic: str = _option("lookup.alert.kafka.topic", "")
     alert_message: str = _option("lookup.alert.kafka.message", DEFAULT_FAILOVER_TEMPLATE)
     alert_recovery_message: str = _option("lookup.alert.recovery.message", DEFAULT_RECOVERY_TEMPLATE)
     alert_acks: str = _option("lookup.alert.kafka.acks", "1")
-    alert_cooldown_min: int = _option("lookup.alert.cooldown", 3, int)
+    alert_cooldown_min: int = _option("lookup.alert.cooldown", 3, int, least=0)
     alert_recovery: bool = _option("lookup.alert.recovery", True, bool)
-    alert_retry_max: int = _option("lookup.alert.retry.max", 2, int)
-    alert_backoff_ms: int = _option("lookup.alert.retry.backoff-ms", 500, int)
-    alert_backoff_max_ms: int = _option("lookup.alert.retry.backoff-max-ms", 5_000, int)
+    alert_retry_max: int = _option("lookup.alert.retry.max", 2, int, least=0)
+    alert_backoff_ms: int = _option("lookup.alert.retry.backoff-ms", 500, int, least=0)
+    alert_backoff_max_ms: int = _option("lookup.alert.retry.backoff-max-ms", 5_000, int, least=0)
     alert_spool_dir: str = _option("lookup.alert.spool.dir", "")
-    alert_spool_max_bytes: int = _option("lookup.alert.spool.max-bytes", 10 * 1024 * 1024, int)
+    alert_spool_max_bytes: int = _option("lookup.alert.spool.max-bytes", 0, int, least=0)  # 0 = no cap
     alert_client_id: str = _option("lookup.alert.kafka.client-id", "")
-    alert_queue_capacity: int = _option("lookup.alert.kafka.queue-capacity", 8, int)
-    alert_max_block_ms: int = _option("lookup.alert.kafka.max-block-ms", 5_000, int)
-    alert_request_timeout_ms: int = _option("lookup.alert.kafka.request-timeout-ms", 5_000, int)
-    alert_delivery_timeout_ms: int = _option("lookup.alert.kafka.delivery-timeout-ms", 15_000, int)
-    alert_client_retries: int = _option("lookup.alert.kafka.retries", 2, int)
-    alert_close_timeout_ms: int = _option("lookup.alert.kafka.close-timeout-ms", 5_000, int)
+    alert_max_block_ms: int = _option("lookup.alert.kafka.max-block-ms", 5_000, int, least=1)
+    alert_request_timeout_ms: int = _option("lookup.alert.kafka.request-timeout-ms", 5_000, int, least=1)
+    alert_delivery_timeout_ms: int = _option("lookup.alert.kafka.delivery-timeout-ms", 15_000, int, least=1)
+    alert_client_retries: int = _option("lookup.alert.kafka.retries", 2, int, least=0)
 
     # wide-column store
     wide_table: str = _option("hbase.table-name", "")
@@ -94,7 +114,6 @@ class LookupOptions:
     wide_principal: str = _option("hbase.client.kerberos.principal", "")
     wide_region_principal: str = _option("hbase.regionserver.kerberos.principal", "")
     wide_master_principal: str = _option("hbase.master.kerberos.principal", "")
-    wide_krb5: str = _option("hbase.kerberos.krb5.conf", "")
 
     # SQL store
     jdbc_url: str = _option("doris.jdbc-url", "")
@@ -102,13 +121,9 @@ class LookupOptions:
     jdbc_user: str = _option("doris.username", "root")
     jdbc_password: str = _option("doris.password", "")
     jdbc_driver: str = _option("doris.driver", "com.mysql.cj.jdbc.Driver")
-    jdbc_query_timeout_s: int = _option("doris.query.timeout", 0, int)
-    jdbc_connections: int = _option("doris.pool.size", 4, int)
-    jdbc_min_idle: int = _option("doris.pool.min-idle", 2, int)
-    jdbc_connect_timeout_ms: int = _option("doris.connect.timeout", 300, int)
-    jdbc_idle_timeout_ms: int = _option("doris.pool.idle-timeout", 600_000, int)
-    jdbc_max_lifetime_ms: int = _option("doris.pool.max-lifetime", 1_800_000, int)
-    jdbc_validation_timeout_ms: int = _option("doris.pool.validation-timeout", 250, int)
+    jdbc_query_timeout_s: int = _option("doris.query.timeout", 0, int, least=0)
+    jdbc_connections: int = _option("doris.pool.size", 4, int, least=1)
+    jdbc_connect_timeout_ms: int = _option("doris.connect.timeout", 300, int, least=CONNECT_TIMEOUT_MIN_MS)
 
     # client properties handed on unchanged
     wide_properties: Mapping[str, str] = field(default_factory=dict)
@@ -145,6 +160,8 @@ class LookupOptions:
                 kafka[key[len(KAFKA_PROPERTY_PREFIX):]] = str(raw)
             elif key.startswith(WIDE_PROPERTY_PREFIX):
                 wide[key[len(WIDE_PROPERTY_PREFIX):]] = str(raw)
+            elif key in IGNORED:
+                continue
             elif key in known:
                 values[known[key].name] = _parse(key, raw, known[key].metadata["kind"])
             else:
@@ -223,108 +240,62 @@ class LookupOptions:
     # ------------------------------------------------------------------ checks
 
     def _check(self) -> None:
-        def need(condition: bool, message: str) -> None:
-            if not condition:
-                raise OptionError(message)
-
-        need(self.deadline_ms > 0, "lookup.timeout must be greater than 0")
-        need(self.batch_size > 0, "lookup.batch.size must be greater than 0")
-        need(self.batch_max_wait_ms >= 0, "lookup.batch.max-wait must not be negative")
-        need(self.jdbc_query_timeout_s >= 0, "doris.query.timeout must not be negative (0 = unset)")
-        need(self.failover_log_interval_s >= 0, "lookup.failover.log-interval must not be negative (0 = all)")
-        need(self.stats_interval_s >= 0, "lookup.stats.log-interval must not be negative (0 = off)")
-        need(self.alert_threshold >= 0, "lookup.alert.threshold must not be negative (0 = off)")
-        need(
-            min(self.snapshot_bytes, self.broadcast_bytes, self.max_in_keys) >= 0,
-            "snapshot_bytes, broadcast_bytes and max_in_keys must not be negative",
-        )
-        if self.alerts_on:
-            self._check_alerts(need)
+        """Report every bound and every rule that does not hold, at once."""
+        wrong = []
+        for option in dataclasses.fields(self):
+            least = option.metadata.get("least")
+            if least is not None and getattr(self, option.name) < least:
+                wrong.append(f"{option.metadata['key']} must be at least {least}, got {getattr(self, option.name)}")
+        for name in ("snapshot_bytes", "broadcast_bytes", "max_in_keys"):
+            if getattr(self, name) < 0:
+                wrong.append(f"{name} must be at least 0, got {getattr(self, name)}")
+        rules = (*_RULES, *_ALERT_RULES) if self.alerts_on else _RULES
+        wrong += [text for holds, text in rules if not holds(self)]
+        if wrong:
+            raise OptionError("; ".join(wrong))
         check_template(self.alert_message)
         check_template(self.alert_recovery_message)
 
-        need(
-            self.batch_max_wait_ms < self.deadline_ms,
-            f"lookup.batch.max-wait ({self.batch_max_wait_ms}ms) must be below lookup.timeout ({self.deadline_ms}ms)",
-        )
-        need(
-            self.wide_rpc_timeout_ms < self.deadline_ms,
-            f"hbase.rpc.timeout ({self.wide_rpc_timeout_ms}ms) must be below lookup.timeout ({self.deadline_ms}ms)",
-        )
-        need(
-            self.jdbc_connect_timeout_ms >= CONNECT_TIMEOUT_MIN_MS,
-            f"doris.connect.timeout must be at least {CONNECT_TIMEOUT_MIN_MS}ms",
-        )
-        need(
-            self.jdbc_connect_timeout_ms < self.deadline_ms,
-            f"doris.connect.timeout ({self.jdbc_connect_timeout_ms}ms) must be below lookup.timeout "
-            f"({self.deadline_ms}ms); when it is not given it follows lookup.timeout, "
-            f"but not below {CONNECT_TIMEOUT_MIN_MS}ms",
-        )
-        need(
-            self.operator_timeout_ms > self.deadline_ms,
-            f"table.exec.async-lookup.timeout ({self.operator_timeout_ms}ms) must exceed "
-            f"lookup.timeout ({self.deadline_ms}ms)",
-        )
-        need(self.jdbc_min_idle <= self.jdbc_connections, "doris.pool.min-idle must not exceed doris.pool.size")
-        need(
-            self.jdbc_validation_timeout_ms <= self.jdbc_connect_timeout_ms,
-            "doris.pool.validation-timeout must not exceed doris.connect.timeout",
-        )
-        if self.wide_authentication == "kerberos":
-            need(
-                bool(self.wide_keytab.strip()) == bool(self.wide_principal.strip()),
-                "hbase.client.keytab.file and hbase.client.kerberos.principal go together",
-            )
-            need(
-                "_HOST" not in self.wide_principal,
-                "hbase.client.kerberos.principal must name an account, not the placeholder _HOST",
-            )
-
-    def _check_alerts(self, need) -> None:
-        need(bool(self.alert_bootstrap), "lookup.alert.threshold needs lookup.alert.kafka.bootstrap-servers")
-        need(bool(self.alert_topic), "lookup.alert.threshold needs lookup.alert.kafka.topic")
-        need(
-            self.alert_acks in ("0", "1", "-1", "all"),
-            f"lookup.alert.kafka.acks must be 0, 1, -1 or all, got {self.alert_acks}",
-        )
-        need(self.alert_cooldown_min >= 0, "lookup.alert.cooldown must not be negative (0 = off)")
-        need(self.alert_retry_max >= 0, "lookup.alert.retry.max must not be negative")
-        need(
-            self.alert_backoff_ms >= 0 and self.alert_backoff_max_ms >= 0,
-            "lookup.alert.retry.backoff-ms and backoff-max-ms must not be negative",
-        )
-        need(
-            self.alert_backoff_max_ms >= self.alert_backoff_ms,
-            "lookup.alert.retry.backoff-max-ms must not be below lookup.alert.retry.backoff-ms",
-        )
-        need(self.alert_queue_capacity > 0, "lookup.alert.kafka.queue-capacity must be greater than 0")
-        need(
-            min(
-                self.alert_max_block_ms,
-                self.alert_request_timeout_ms,
-                self.alert_delivery_timeout_ms,
-                self.alert_close_timeout_ms,
-            )
-            > 0,
-            "lookup.alert.kafka max-block-ms, request-timeout-ms, delivery-timeout-ms and close-timeout-ms "
-            "must be greater than 0",
-        )
-        need(
-            self.alert_delivery_timeout_ms >= self.alert_request_timeout_ms,
-            "lookup.alert.kafka.delivery-timeout-ms must not be below request-timeout-ms",
-        )
-        need(self.alert_client_retries >= 0, "lookup.alert.kafka.retries must not be negative")
-        need(
-            not self.alert_spool_dir or self.alert_spool_max_bytes > 0,
-            "lookup.alert.spool.max-bytes must be greater than 0",
-        )
+
+# What options have to be to each other, in terms of what goes wrong otherwise.
+_RULES = (
+    (lambda o: o.operator_timeout_ms > o.deadline_ms, "table.exec.async-lookup.timeout ends a lookup before lookup.timeout can lead to the standby"),
+    (lambda o: o.batch_max_wait_ms < o.deadline_ms, "lookup.batch.max-wait takes up the whole of lookup.timeout"),
+    (lambda o: o.wide_rpc_timeout_ms < o.deadline_ms, "hbase.rpc.timeout leaves lookup.timeout no time for a second try"),
+    (
+        lambda o: o.jdbc_connect_timeout_ms < o.deadline_ms,
+        f"doris.connect.timeout takes up the whole of lookup.timeout (derived, it is not below {CONNECT_TIMEOUT_MIN_MS}ms)",
+    ),
+    (
+        lambda o: o.wide_authentication != "kerberos" or bool(o.wide_keytab.strip()) == bool(o.wide_principal.strip()),
+        "hbase.client.keytab.file and hbase.client.kerberos.principal are of use only together",
+    ),
+    (
+        lambda o: o.wide_authentication != "kerberos" or "_HOST" not in o.wide_principal,
+        "hbase.client.kerberos.principal names no account while it holds _HOST",
+    ),
+)
+_ALERT_RULES = (
+    (lambda o: o.alert_bootstrap, "lookup.alert.threshold is set without lookup.alert.kafka.bootstrap-servers"),
+    (lambda o: o.alert_topic, "lookup.alert.threshold is set without lookup.alert.kafka.topic"),
+    (lambda o: o.alert_acks in ("0", "1", "-1", "all"), "lookup.alert.kafka.acks is none of 0, 1, -1, all"),
+    (lambda o: o.alert_backoff_ms <= o.alert_backoff_max_ms, "lookup.alert.retry.backoff-max-ms is below the first pause"),
+    (
+        lambda o: o.alert_request_timeout_ms <= o.alert_delivery_timeout_ms,
+        "lookup.alert.kafka.delivery-timeout-ms ends before a single request does",
+    ),
+)
 
 
 def safe_name(text: str, length: int) -> str:
-    """``text`` with everything but letters, digits, dot, underscore and dash replaced, cut to ``length``."""
-    kept = "".join(ch if ch.isascii() and (ch.isalnum() or ch in "._-") else "_" for ch in text)
-    return kept[:length]
+    """``text`` with everything but letters, digits, dot, underscore and dash replaced.
+
+    A name beyond ``length`` ends in a digest of the whole of it, so that long names stay apart.
+    """
+    kept = re.sub(r"[^A-Za-z0-9._-]", "_", text)
+    if len(kept) <= length:
+        return kept
+    return f"{kept[: length - NAME_DIGEST - 1]}-{hashlib.sha256(text.encode()).hexdigest()[:NAME_DIGEST]}"
 
 
 def _parse(key: str, raw: Any, kind: type) -> Any:

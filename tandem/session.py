@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_root: str | None = None
@@ -103,6 +104,18 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of a table as they are in memory: fixed widths, and what text and bytes measure."""
+    fixed, variable = 8 * len(df.columns), []
+    for column, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            variable.append(F.coalesce(F.octet_length(df[f"`{column}`"]), F.lit(0)))
+        elif kind.startswith(("array", "map", "struct")):
+            variable.append(F.octet_length(F.coalesce(F.to_json(F.struct(df[f"`{column}`"])), F.lit(""))))
+    width = sum(variable, F.lit(fixed))
+    return int(df.agg(F.sum(width.cast("long"))).first()[0] or 0)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """Size in bytes below which Spark broadcasts a join side by itself."""
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
@@ -139,6 +152,7 @@ def run_with_deadline(spark: SparkSession, action: Callable[[], Any], deadline_m
             done.wait(0.1)
 
     watcher = threading.Thread(target=watch, daemon=True)
+    interrupted = sc.getLocalProperty("spark.job.interruptOnCancel")
     sc.addJobTag(tag)
     sc.setInterruptOnCancel(True)
     result, error = None, None
@@ -153,7 +167,7 @@ def run_with_deadline(spark: SparkSession, action: Callable[[], Any], deadline_m
         done.set()
         watcher.join()
         sc.removeJobTag(tag)
-        sc.setInterruptOnCancel(False)
+        sc.setInterruptOnCancel(interrupted == "true")
     if elapsed_ms > deadline_ms:
         late = DeadlineExceeded(f"lookup took {int(elapsed_ms)}ms, deadline is {deadline_ms}ms")
         late.__cause__ = error

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -21,11 +22,12 @@ def folder_sink(path: str, files: int | None = None) -> BatchSink:
     return write
 
 
-def print_sink(rows: int = 20) -> BatchSink:
-    """Show the first rows of every micro-batch."""
+def print_sink() -> BatchSink:
+    """Print every row of every micro-batch as JSON; the driver holds one partition at a time."""
 
     def show(df: DataFrame, batch_id: int) -> None:
         print(f"batch {batch_id}")
-        df.show(rows, truncate=False)
+        for row in df.select(F.to_json(F.struct("*"))).toLocalIterator():
+            print(row[0])
 
     return show

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tandem.functions import binary
 from tandem.functions.conform import coerce, is_time
 from tandem.functions.keys import rowkey
+from tandem.operators.lookup import probe
 
 
 def decode_cell(value: Column, field: T.StructField) -> Column:
@@ -69,7 +70,8 @@ class WideStore:
     """Loader of a wide-column dimension that can be asked for single keys.
 
     ``cells`` returns the cells table. A full load reads key columns from their own qualifiers, as
-    every other column. Asked for keys, it encodes them as rowkeys and reads only those rows.
+    every other column. Asked for keys, it encodes them as rowkeys and reads only those rows: up to
+    ``max_in_keys`` of them as a predicate that the scan evaluates, more as a semi join.
     """
 
     def __init__(
@@ -80,6 +82,7 @@ class WideStore:
         family: str = "info",
         encoding: str = "string",
         delimiter: str = "|",
+        max_in_keys: int = 1_000,
     ):
         self.cells = cells
         self.schema = schema
@@ -87,6 +90,7 @@ class WideStore:
         self.family = family
         self.encoding = encoding
         self.delimiter = delimiter
+        self.max_in_keys = max_in_keys
 
     def __call__(self, spark: SparkSession) -> DataFrame:
         return cells_dim(self.cells(spark), self.schema, self.family).drop("rowkey")
@@ -95,5 +99,5 @@ class WideStore:
         parts = [(keys_df[name], self.schema[name]) for name in self.keys]
         wanted = keys_df.select(*self.keys, rowkey(parts, self.encoding, self.delimiter).alias("rowkey"))
         cells = self.cells(spark)
-        asked = cells.join(wanted.select("rowkey"), "rowkey", "left_semi")
+        asked = probe(cells, wanted, ["rowkey"], self.max_in_keys)
         return cells_dim(asked, self.schema, self.family).drop(*self.keys).join(wanted, "rowkey").drop("rowkey")

@@ -72,6 +72,32 @@ def test_left_and_inner(facts, dim, how):
     assert rows(lookup_join(facts, dim, {"key": "pk"}, "inner", **how), "id", "name") == [(1, "A"), (2, "B"), (3, "A")]
 
 
+@pytest.mark.parametrize(
+    "kind, values, dim_kind, held, matched",
+    [
+        ("double", [12.7, 12.0, float("nan"), None], "long", [12], [1]),
+        ("decimal(10,2)", ["12.70", "12.00"], "int", [12], [1]),
+        ("long", [2**40, 7], "int", [7, 0], [1]),
+        ("timestamp_ntz", ["2024-05-06 07:00:00", "2024-05-06 00:00:00"], "date", ["2024-05-06"], [1]),
+        ("string", ["12.7", "12", "x"], "long", [12], [1]),
+    ],
+)
+def test_keys_match_only_without_loss(spark, kind, values, dim_kind, held, matched):
+    facts = spark.createDataFrame([(i, None if v is None else str(v)) for i, v in enumerate(values)], "id int, key string")
+    facts = facts.select("id", F.col("key").cast(kind).alias("key"))
+    dim = spark.createDataFrame([(str(h),) for h in held], "pk string").select(F.col("pk").cast(dim_kind).alias("pk"), F.lit(1).alias("name"))
+    found = lookup_join(facts, dim, {"key": "pk"}, "inner")
+    assert [r.id for r in found.orderBy("id").collect()] == matched
+    schema = T.StructType([dim.schema["pk"]])
+    assert distinct_keys(facts, {"key": "pk"}, schema).join(dim, "pk").count() == len(matched)
+
+
+@pytest.mark.parametrize("hint", ["merge", "shuffle_hash"])
+def test_keyless_facts_are_spread_under_a_shuffling_hint(facts, dim, hint):
+    plan = lookup_join(facts, dim, {"key": "pk"}, hint=hint)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan
+
+
 def test_same_key_name_and_prefix(spark, dim):
     facts = spark.createDataFrame([("a", "mine")], "pk string, name string")
     with pytest.raises(ValueError, match="prefix"):
@@ -301,13 +327,29 @@ def test_answer_survives_the_store_going_down(spark, facts, dim, tmp_path):
 def test_bad_rows(spark, facts):
     schema = T.StructType([T.StructField("pk", T.StringType()), T.StructField("v", T.IntegerType())])
     store = spark.createDataFrame([("a", "1"), ("b", "x")], "pk string, v string")
-    assert look(facts, lambda s: store, lambda s: store.filter("pk = 'a'"), schema=schema).source == "doris"
+    failing = look(facts, lambda s: store, boom(), schema=schema)
+    assert failing.source == "hbase" and not failing.failed_over
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        failing.df.collect()
     assert rows(look(facts, lambda s: store, boom(), schema=schema, on_bad_row="null").df, "id", "v")[:3] == [(1, 1), (2, None), (3, 1)]
     kept = look(facts, lambda s: store, boom(), schema=schema, on_bad_row="quarantine")
     assert rows(kept.df, "id", "v")[:3] == [(1, 1), (2, None), (3, 1)]
     assert rows(kept.bad_rows, "pk", "v") == [("b", "x")]
 
 
+@pytest.mark.parametrize("strategy", ["snapshot", "keys"])
+@pytest.mark.parametrize("on_bad_row", ["fail", "null", "quarantine"])
+@pytest.mark.parametrize("dim_unique", ["all", "first", "error"])
+def test_bad_row_of_a_key_nobody_asks_for(spark, facts, strategy, on_bad_row, dim_unique):
+    schema = T.StructType([T.StructField("pk", T.StringType()), T.StructField("v", T.IntegerType())])
+    store = spark.createDataFrame([("a", "1"), ("b", "2"), ("zz", "oops"), ("zz", "7")], "pk string, v string")
+    found = look(facts, lambda s: store, boom(), schema=schema, strategy=strategy, on_bad_row=on_bad_row, dim_unique=dim_unique)
+    assert found.source == "hbase" and not found.failed_over
+    assert rows(found.df, "id", "v")[:3] == [(1, 1), (2, 2), (3, 1)]
+    assert found.df.schema["v"].dataType == T.IntegerType()
+    assert found.bad_rows is None or found.bad_rows.count() == 0
+
+
 @pytest.mark.parametrize("max_in_keys", [0, 100])
 def test_stored_keys_of_another_type(spark, max_in_keys):
     facts = spark.createDataFrame([(1, 10), (2, 11)], "id int, key long")

@@ -64,8 +64,8 @@ def test_primary_choice_gives_the_other_as_standby():
         ({"lookup.alert.threshold": -1}, "alert.threshold"),
         ({"lookup.alert.threshold": 10}, "bootstrap-servers"),
         ({"lookup.alert.threshold": 10, "lookup.alert.kafka.bootstrap-servers": "a:1"}, "topic"),
-        ({"doris.pool.size": 1}, "min-idle"),
-        ({"doris.pool.validation-timeout": 301}, "validation-timeout"),
+        ({"doris.pool.size": 0}, "pool.size"),
+        ({"doris.query.timeout": -1, "lookup.batch.size": 0}, "batch.size.*; .*query.timeout|query.timeout.*; .*batch.size|batch.size"),
         ({"no.such.option": 1}, "no.such.option"),
         ({"doris.jdbc-url": " "}, "jdbc-url"),
         ({"hbase.security.authentication": "kerberos", "hbase.client.keytab.file": "/k"}, "keytab"),
@@ -92,11 +92,10 @@ def test_rejected(options, text):
         ({"lookup.alert.retry.max": -1}, "retry.max"),
         ({"lookup.alert.retry.backoff-ms": -1}, "backoff"),
         ({"lookup.alert.retry.backoff-ms": 900, "lookup.alert.retry.backoff-max-ms": 800}, "backoff-max"),
-        ({"lookup.alert.kafka.queue-capacity": 0}, "queue-capacity"),
         ({"lookup.alert.kafka.max-block-ms": 0}, "max-block-ms"),
         ({"lookup.alert.kafka.delivery-timeout-ms": 4000}, "delivery-timeout"),
         ({"lookup.alert.kafka.retries": -1}, "retries"),
-        ({"lookup.alert.spool.dir": "/d", "lookup.alert.spool.max-bytes": 0}, "max-bytes"),
+        ({"lookup.alert.spool.dir": "/d", "lookup.alert.spool.max-bytes": -1}, "max-bytes"),
     ],
 )
 def test_rejected_alert_options(options, text):
@@ -148,6 +147,21 @@ def test_kafka_properties_are_kept():
     assert o.kafka_properties == {"security.protocol": "SASL_SSL"}
 
 
+def test_options_without_effect_are_ignored():
+    assert LookupOptions.from_dict({**BASE, "doris.pool.min-idle": 99, "lookup.alert.kafka.queue-capacity": 0}) == LookupOptions.from_dict(BASE)
+
+
+def test_every_violation_is_reported():
+    with pytest.raises(OptionError) as error:
+        LookupOptions(batch_size=0, jdbc_query_timeout_s=-1, wide_rpc_timeout_ms=10**9)
+    assert all(part in str(error.value) for part in ("lookup.batch.size", "doris.query.timeout", "hbase.rpc.timeout"))
+
+
+def test_long_names_stay_apart():
+    one, other = (LookupOptions(table_name="t" * 300 + end).client_id() for end in "ab")
+    assert one != other and len(one) == len(other) == 180
+
+
 def test_client_id_is_safe():
     assert LookupOptions(table_name="a b").client_id("1/4") == "lookup-alert-a_b-1_4"
     assert LookupOptions(alert_client_id=" mine ").client_id("1/4") == "mine"

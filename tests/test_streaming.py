@@ -124,8 +124,9 @@ def test_stream_sees_the_dimension_as_it_is(spark, tmp_path, folder, accounts):
 
 
 def test_print_sink(spark, capsys):
-    print_sink()(spark.range(2), 7)
-    assert "batch 7" in capsys.readouterr().out
+    print_sink()(spark.range(50), 7)
+    out = capsys.readouterr().out
+    assert "batch 7" in out and all(f'{{"id":{i}}}' in out for i in range(50))
 
 
 # ------------------------------------------------------------------ monitoring

@@ -268,3 +268,25 @@ def test_render_keeps_unknown_names(spark):
     assert spark.range(1).select(render_template(template, values)).first()[0] == '{"t":"dim_account","n":1,"x":"${nope}"}'
     assert spark.range(1).select(render_template("{plain}", values)).first()[0] == "{plain}"
     assert spark.range(1).select(render_template("{a ${open", values)).first()[0] == "{a ${open"
+
+
+MALFORMED = ["2024", "2024-01", "2024-01-01 10:00:00.123456 garbage", "2024-01-01T10:00:00+08:00", "2024-01-01 10:00:00.123456+08:00", "garbage", ""]
+
+
+@pytest.mark.parametrize("field", [timestamp_field("v", 6), T.StructField("v", T.TimestampType()), T.StructField("v", T.DateType())])
+def test_malformed_text_is_bad(spark, field):
+    schema = T.StructType([field])
+    good = "2024-01-01" if isinstance(field.dataType, T.DateType) else "2024-1-01T10:00:00.123456789"
+    bad = MALFORMED + (["2024-01-01 10:00:00", "2024-1-1"] if isinstance(field.dataType, T.DateType) else ["2024-01-01"])
+    raw = spark.createDataFrame([(v,) for v in [*bad, good, None]], "v string")
+    kept, aside = split_bad_rows(raw, schema)
+    assert sorted(r.v for r in aside.collect()) == sorted(bad)
+    assert kept.count() == 2 and conform(raw, schema, "null").filter("v IS NOT NULL").count() == 1
+    with pytest.raises(Exception, match="not a"):
+        conform(raw.filter("v = '2024'"), schema).collect()
+
+
+def test_decimal_booleans_are_cut_to_32_bits(spark):
+    schema = T.StructType([T.StructField("v", T.BooleanType())])
+    raw = spark.sql("SELECT * FROM VALUES (4294967296BD), (0.9BD), (-1.5BD), (4294967297BD) AS t(v)")
+    assert [r.v for r in conform(raw, schema).collect()] == [False, False, True, True]
