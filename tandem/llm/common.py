@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows up to which a table of ids or keys is broadcast; a few MB per column.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 _SEPARATORS = bytes(
     b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20

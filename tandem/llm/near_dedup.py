@@ -14,8 +14,11 @@ Links are found in two steps, so that a group of n copies costs about n and not
   distance are confirmed on the full sets, and links are joined to components.
 * *Rest.* Only keys that still hold several components are gone through in full: all pairs of
   different components are compared by signature, in arrays, large keys in blocks that different
-  tasks hold. Pairs within the distance are confirmed on the full sets. Pairs inside a component
-  need no comparison, as they cannot change the components.
+  tasks hold. Of the pairs within the distance a task reports a spanning forest, which is enough to
+  gather what belongs together in *clusters*. A cluster's pairs within the distance are confirmed on
+  the full sets, again in blocks, so a set goes to as many tasks as its cluster has blocks and not
+  to as many as it has pairs. Pairs inside a component need no comparison, as they cannot change the
+  components.
 
 Documents with equal sets are one node from the start. Sets hold 64-bit hashes of shingles.
 """
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.common import partitions_for, small, worker_store
+from tandem.llm.common import small, worker_store
 from tandem.session import stage, stage_result
 
 SHINGLE = 2
@@ -40,6 +43,7 @@ CHUNK = 5
 ERRORS = 1
 BITS = 14
 BLOCK_ROWS = 1_024
+SET_BLOCK_ROWS = 128
 CACHE_WORDS = 500_000
 
 COMPONENTS = CHUNKS * CHUNK
@@ -171,15 +175,20 @@ _confirmed.__annotations__ = {"a": pa.Array, "b": pa.Array, "return": pa.Array}
 # ------------------------------------------------------------------ pairs and components
 
 
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and full set of the texts whose id is a ``wanted`` node. Staged."""
+    wanted = stage(wanted, "wanted")
+    held = docs.join(small(wanted, wanted.count()), docs["__id"] == wanted["node"], "left_semi")
+    return stage(held.select(F.col("__id").alias("node"), F.arrow_udf(_set_bytes, "binary")("__text").alias("set")), "sets")
+
+
 def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) that are links by their full sets. Staged."""
     sig = nodes.select("node", "sig")
     near = pairs.join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a").join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b")
     near = near.filter(F.arrow_udf(_close, "boolean")("sig_a", "sig_b")).select("a", "b").distinct()
     near = stage(near, "close")
-    wanted = stage(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    held = docs.join(small(wanted, wanted.count()), docs["__id"] == wanted["node"], "left_semi")
-    sets = stage(held.select(F.col("__id").alias("node"), F.arrow_udf(_set_bytes, "binary")("__text").alias("set")), "sets")
+    sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     full = near.join(sets.withColumnsRenamed({"node": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"node": "b", "set": "set_b"}), "b")
     return stage(full.filter(F.arrow_udf(_confirmed, "boolean")("set_a", "set_b")).select("a", "b").distinct(), "links")
 
@@ -206,68 +215,130 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
-def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of different components that share a key and are within the distance.
+def _block_pairs(df: DataFrame, group: str, rows: int) -> DataFrame:
+    """Deal every row to all pairs of blocks of its ``group`` that its own block is part of.
+
+    ``df`` has the size of the group in ``size``. Adds own, one and two, and brings together what has
+    the same group, one and two, next to each other.
+    """
+    dealt = df.withColumn("blocks", F.ceil(F.col("size") / F.lit(rows))).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(partitions, group, "one", "two").sortWithinPartitions(group, "one", "two")
+
+
+def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between different components that share a key and are within the distance. Staged.
 
     ``keyed`` holds (key, node) of keys with several nodes.
     """
     placed = keyed.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     placed = stage(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows"))
-    mixed = stage(mixed.filter("low < high").select("key", "rows"), "mixed")
-    blocks = F.ceil(F.col("rows") / F.lit(BLOCK_ROWS))
-    open_ = placed.join(small(mixed, mixed.count()), "key").join(nodes.select("node", "sig"), "node")
-    open_ = open_.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    # A row goes to every pair of blocks that its own block is part of.
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = open_.select("key", "node", "component", "sig", "own", other).select(
-        "key", "node", "component", "sig", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own"
-    )
-    n = dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    sorted_ = dealt.repartition(int(n), "key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return sorted_.select("key", "one", "two", "own", "node", "component", "sig").mapInArrow(_pairs, "a long, b long").distinct()
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    mixed = stage(mixed.filter("low < high").select("key", "size"), "mixed")
+    sig = nodes.select("node", "sig")
+    open_ = placed.join(small(mixed, mixed.count()), "key").join(sig, "node").withColumnRenamed("key", "group")
+    blocks = _block_pairs(open_, "group", BLOCK_ROWS).select(*_COLUMNS)
+    forest = stage(blocks.mapInArrow(_forest, "a long, b long").distinct(), "forest")
+    clusters = components(forest).withColumnRenamed("component", "group")
+    clusters = stage(clusters, "clusters")
+    sets = _sets(docs, clusters.select("node"))
+    sizes = stage(clusters.groupBy("group").agg(F.count("*").alias("size")), "sizes")
+    members = clusters.join(small(sizes, sizes.count()), "group").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = members.join(sig, "node").join(sets, "node")
+    return stage(_block_pairs(members, "group", SET_BLOCK_ROWS).select(*_COLUMNS, "set").mapInArrow(_linked, "a long, b long").distinct(), "links")
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare rows of equal (key, one, two) that lie next to each other."""
-    held: list[pa.RecordBatch] = []
+_COLUMNS = ["group", "one", "two", "own", "node", "component", "sig"]
 
-    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, one, two, own, node, component = (table.column(c).to_numpy() for c in ("key", "one", "two", "own", "node", "component"))
-        sig = _as_signatures(table.column("sig").combine_chunks())
-        start = np.append(True, (key[1:] != key[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
-        group = np.cumsum(start)
-        step = 1
-        active = np.flatnonzero(group[step:] == group[:-step])
-        while len(active):
-            for at in range(0, len(active), 1 << 16):
-                left = active[at : at + (1 << 16)]
-                right = left + step
-                # A pair of rows of one block belongs to the task of that block alone.
-                fit = (component[left] != component[right]) & ((one[left] == two[left]) | (own[left] != own[right]))
-                left, right = left[fit], right[fit]
-                close = (sig[left] != sig[right]).sum(axis=1) <= DISTANCE
-                a, b = node[left[close]], node[right[close]]
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-            step += 1
-            active = active[active + step < len(group)]
-            active = active[group[active + step] == group[active]]
 
+def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of whole (group, one, two), of about ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        rows = sum(b.num_rows for b in held)
-        if rows < 50_000:
+        count = sum(b.num_rows for b in held)
+        if count < rows:
             continue
         table = pa.Table.from_batches(held)
-        last = table.slice(rows - 1, 1).select(["key", "one", "two"]).to_pylist()[0]
-        same = np.logical_and.reduce([table.column(c).to_numpy() == last[c] for c in ("key", "one", "two")])
+        last = table.slice(count - 1, 1).select(["group", "one", "two"]).to_pylist()[0]
+        same = np.logical_and.reduce([table.column(c).to_numpy() == last[c] for c in ("group", "one", "two")])
         cut = int(np.argmax(same))
         if cut:
-            yield from compare(table.slice(0, cut))
+            yield table.slice(0, cut)
             held = table.slice(cut).combine_chunks().to_batches()
-    if held and sum(b.num_rows for b in held):
-        yield from compare(pa.Table.from_batches(held))
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)
+
+
+def _close_pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of rows of one (group, one, two) and different components within the distance."""
+    group, one, two, own, component = (table.column(c).to_numpy() for c in ("group", "one", "two", "own", "component"))
+    sig = _as_signatures(table.column("sig").combine_chunks())
+    start = np.append(True, (group[1:] != group[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+    run = np.cumsum(start)
+    step = 1
+    active = np.flatnonzero(run[step:] == run[:-step])
+    while len(active):
+        for at in range(0, len(active), 1 << 16):
+            left = active[at : at + (1 << 16)]
+            right = left + step
+            # A pair of rows of one block belongs to the task of that block alone.
+            fit = (component[left] != component[right]) & ((one[left] == two[left]) | (own[left] != own[right]))
+            left, right = left[fit], right[fit]
+            close = (sig[left] != sig[right]).sum(axis=1) <= DISTANCE
+            if close.any():
+                yield left[close], right[close]
+        step += 1
+        active = active[active + step < len(run)]
+        active = active[run[active + step] == run[active]]
+
+
+def _pair_batch(table: pa.Table, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    node = table.column("node").to_numpy()
+    ends = node[np.array(pairs, np.int64).reshape(-1, 2)]
+    return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the close pairs of every (group, one, two)."""
+    for table in _groups(batches, 50_000):
+        parent = np.arange(table.num_rows)
+        kept: list[tuple[int, int]] = []
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        for left, right in _close_pairs(table):
+            while not (parent[parent] == parent).all():
+                parent[:] = parent[parent]
+            apart = parent[left] != parent[right]
+            for i, j in zip(left[apart].tolist(), right[apart].tolist()):
+                a, b = root(i), root(j)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    kept.append((i, j))
+        yield _pair_batch(table, kept)
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The close pairs that are links by their full sets."""
+    for table in _groups(batches, 2_000):
+        sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("set")]
+        sizes = np.array([len(s) for s in sets])
+        kept: list[tuple[int, int]] = []
+        for left, right in _close_pairs(table):
+            # Close pairs whose sizes alone rule a link out need no look at the sets.
+            fit = 100 * np.minimum(sizes[left], sizes[right]) >= round(100 * SIMILARITY) * np.maximum(sizes[left], sizes[right])
+            for i, j in zip(left[fit].tolist(), right[fit].tolist()):
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= round(100 * SIMILARITY) * (len(sets[i]) + len(sets[j]) - common):
+                    kept.append((i, j))
+        yield _pair_batch(table, kept)
 
 
 # ------------------------------------------------------------------ documents
@@ -307,7 +378,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = keyed.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
         links = stage(_confirm(pairs, nodes, read).union(_same_id(rows, nodes)), "links")
         labels = stage(components(links), "components")
-        more = _confirm(_rest(keyed.select("key", "node"), nodes, labels), nodes, read)
+        more = _rest(keyed.select("key", "node"), nodes, labels, read)
         if not more.isEmpty():
             labels = stage(components(links.union(more)), "components")
         # Copies by set follow their node; only sets that several rows have need looking up.
