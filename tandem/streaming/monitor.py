@@ -30,9 +30,25 @@ def log_stream(spark, path: str, **options) -> DataFrame:
     return spark.readStream.schema(LOG_SCHEMA).options(**options).parquet(f"{path}/{BATCH_FOLDER}=*")
 
 
-def stats_stream(log: DataFrame, interval_s: int = 360, lateness: str = "1 minute") -> DataFrame:
-    """Interval counters of a log stream, each interval once it is complete."""
-    return interval_counters(log.withWatermark("ts", lateness), interval_s)
+_BATCH = [*GROUP, "batch_id"]
+
+
+def stats_stream(log: DataFrame, interval_s: int = 360, lateness: str | None = None) -> DataFrame:
+    """Interval counters of a log stream, each interval once it is complete.
+
+    ``lateness`` is how far tables that write to one log may be apart, by default an interval and at
+    least a minute. A batch that was replayed counts once. What a stream that ends has not
+    emitted, and what came later still, :func:`remaining_intervals` gives.
+    """
+    waiting = log.withWatermark("ts", lateness or f"{max(60, interval_s)} seconds")
+    return interval_counters(waiting.dropDuplicatesWithinWatermark(_BATCH), interval_s)
+
+
+def remaining_intervals(log: DataFrame, emitted: DataFrame, interval_s: int = 360) -> DataFrame:
+    """Counters of the intervals of a written log whose rows the stream has not, or not all, emitted."""
+    counters = interval_counters(log.dropDuplicates(_BATCH), interval_s)
+    same = [*GROUP, "window_start", "primary_batches"]
+    return counters.join(emitted.select(*same), same, "left_anti")
 
 
 EVENT_SCHEMA = T.StructType(
@@ -59,9 +75,13 @@ STATE_SCHEMA = T.StructType(
         T.StructField("keys_in", T.LongType()),
         T.StructField("emitted_ts", T.TimestampType()),
         T.StructField("emitted_streak", T.LongType()),
+        T.StructField("last_batch", T.LongType()),
     ]
 )
 
+# Alerts that later micro-batches still need; ``ended`` ones only for the cooldown.
+ALERTED_SCHEMA = T.StructType([*DELIVERY_SCHEMA.fields, T.StructField("ended", T.BooleanType())])
+
 _LINE = ("episode", "ts", "batch_id", "streak", "affected_keys", "reason")
 
 
@@ -73,9 +93,15 @@ def episode_step(
     Events are ``failover`` log lines after throttling, ``candidate`` when an episode reaches the
     alert threshold, and ``recovered`` when one ends; ``merged`` is the number of failovers since
     the last log line. State is one row per (table, subtask): the
-    open episode, its size so far, and its last log line. The batch goes through the same
-    operators as a whole log, so a busy (table, subtask) or a long backlog is cut into pieces.
+    open episode, its size so far, its last log line, and the last batch it has seen. The batch goes
+    through the same operators as a whole log, so a busy (table, subtask) or a long backlog is cut
+    into pieces.
+
+    The batch ids of a (table, subtask) only rise, so a row at or below the last one seen is a
+    replay and is passed over, and so is a second row of a batch.
     """
+    seen = state.select(*GROUP, "last_batch")
+    log = log.join(seen, [*GROUP], "left").filter("last_batch IS NULL OR batch_id > last_batch").dropDuplicates(_BATCH)
     narrow = log.select(
         *GROUP, *ORDER, "n_keys", "failed_over", reason_of(F.col("primary_error"), F.col("primary_message")).alias("reason")
     )
@@ -139,7 +165,7 @@ def _next_state(rows: DataFrame, lines: DataFrame, state: DataFrame) -> DataFram
     """State after the batch; a (table, subtask) without rows keeps the one it had."""
     failed = F.col("failed_over")
     ends = rows.groupBy(*GROUP).agg(
-        F.count_if(~failed).alias("oks"), F.max(F.when(failed, F.struct("episode", "streak", "affected_keys"))).alias("tail")
+        F.max("batch_id").alias("newest"), F.count_if(~failed).alias("oks"), F.max(F.when(failed, F.struct("episode", "streak", "affected_keys"))).alias("tail")
     )
     last = lines.groupBy(*GROUP).agg(F.max(F.struct("episode", "streak", "ts")).alias("line"))
     joined = state.join(ends, [*GROUP], "full").join(last, [*GROUP], "left")
@@ -154,9 +180,20 @@ def _next_state(rows: DataFrame, lines: DataFrame, state: DataFrame) -> DataFram
         F.when(is_open, F.col("tail.affected_keys")).when(goes_on, F.col("keys_in")).otherwise(0).alias("keys_in"),
         F.when(has_line, F.col("line.ts")).when(goes_on, F.col("emitted_ts")).alias("emitted_ts"),
         F.when(has_line, F.col("line.streak")).when(goes_on, F.col("emitted_streak")).alias("emitted_streak"),
+        F.greatest("last_batch", "newest").alias("last_batch"),
     )
 
 
+def numbered_state(spark, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """State after the micro-batch before ``batch_id``; only the very first one starts from nothing."""
+    before = f"{path}/{BATCH_FOLDER}={batch_id - 1}"
+    if folder_bytes(spark, before) > 0:
+        return spark.read.schema(schema).parquet(before)
+    if batch_id > 0:
+        raise FileNotFoundError(f"{before} is missing: without it episodes would be numbered anew; restore it or start with a new checkpoint")
+    return spark.createDataFrame([], schema)
+
+
 def episode_stream(
     log: DataFrame,
     options: LookupOptions,
@@ -176,17 +213,11 @@ def episode_stream(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = f"{state_path}/{BATCH_FOLDER}={batch_id - 1}"
-        known = folder_bytes(spark, before) > 0
-        state = spark.read.schema(STATE_SCHEMA).parquet(before) if known else spark.createDataFrame([], STATE_SCHEMA)
-        batch.persist()
-        try:
-            with staging_scope(spark):
-                events, following = episode_step(batch, state, options)
-                sink(events, batch_id)
-                folder_sink(state_path)(following, batch_id)
-        finally:
-            batch.unpersist()
+        state = numbered_state(spark, state_path, batch_id, STATE_SCHEMA)
+        with staging_scope(spark):
+            events, following = episode_step(batch, state, options)
+            sink(events, batch_id)
+            folder_sink(state_path)(following, batch_id)
         delete_path(spark, f"{state_path}/{BATCH_FOLDER}={batch_id - 2}")
 
     writer = log.writeStream.queryName(name).foreachBatch(on_batch).option("checkpointLocation", checkpoint)
@@ -198,7 +229,7 @@ def alert_batch(
 ) -> tuple[DataFrame, DataFrame]:
     """(alerts to deliver, alerts the cooldown suppressed) of one micro-batch of events.
 
-    ``history`` is the delivery log so far. The last alert of each table and topic in it goes
+    ``history`` is the delivery log so far, or what :func:`alerted_after` keeps of it. The last alert of each table and topic in it goes
     before the new candidates, so the cooldown runs on across batches.
     """
     gone = history.filter("status <> 'suppressed'")
@@ -228,6 +259,18 @@ def alert_batch(
     return render_events(sent, recovered, options), suppressed
 
 
+def alerted_after(history: DataFrame, delivered: DataFrame, events: DataFrame) -> DataFrame:
+    """What later micro-batches need of the delivery log: alerted episodes that go on, and the last alert per table and topic."""
+    gone = "kind = 'failover' AND status <> 'suppressed'"
+    fresh = delivered.filter(gone).select(*DELIVERY_SCHEMA.names, F.lit(False).alias("ended"))
+    alerts = history.unionByName(fresh)
+    over = events.filter("event = 'recovered'").select(*GROUP, "episode").distinct().withColumn("over", F.lit(True))
+    latest = alerts.groupBy("table_name", "topic").agg(F.max(F.struct("ts", "batch_id", "subtask", "episode")).alias("last"))
+    marked = alerts.join(over, [*GROUP, "episode"], "left").join(latest, ["table_name", "topic"])
+    marked = marked.withColumn("ended", F.col("ended") | F.col("over").isNotNull())
+    return marked.filter(~F.col("ended") | (F.struct("ts", "batch_id", "subtask", "episode") == F.col("last"))).select(*ALERTED_SCHEMA.names)
+
+
 def alert_stream(
     log: DataFrame,
     options: LookupOptions,
@@ -243,33 +286,31 @@ def alert_stream(
     """Start the alert query: episodes, threshold, cooldown, render, deliver, delivery log.
 
     It reads the lookup log and not the lookups, so nothing here can slow or fail an enrichment.
-    A sink that keeps failing ends in dead letters; the query goes on.
+    A sink that keeps failing ends in dead letters; the query goes on. What cooldown and recovery
+    need of earlier alerts is kept as numbered state next to the episodes', so a micro-batch reads
+    no more of the delivery log the longer that gets.
     """
     pause = {"sleep": sleep} if sleep else {}
     write = folder_sink(delivery_path)
+    alerted_path = f"{state_path.rstrip('/')}-alerted"
 
     def on_events(events: DataFrame, batch_id: int) -> None:
         spark = events.sparkSession
         turning = stage(events.filter("event <> 'failover'"), "events")
-        alerts, suppressed = alert_batch(turning, deliveries_before(spark, delivery_path, batch_id), options)
+        history = numbered_state(spark, alerted_path, batch_id, ALERTED_SCHEMA)
+        alerts, suppressed = alert_batch(turning, history, options)
         alerts = stage(alerts, "alerts")
         if alerts.isEmpty():
             delivered = spark.createDataFrame([], DELIVERY_SCHEMA)
         else:
-            delivered = deliver(alerts, sink, options, **pause)
+            delivered = stage(deliver(alerts, sink, options, **pause), "delivered")
         held = suppressed.withColumns(
             {"kind": F.lit("failover"), "payload": F.lit(None).cast("string"), "status": F.lit("suppressed")}
         )
         write(delivered.unionByName(delivery_rows(held, Delivery(False, 0, 0))), batch_id)
+        folder_sink(alerted_path)(alerted_after(history, delivered, turning), batch_id)
+        delete_path(spark, f"{alerted_path}/{BATCH_FOLDER}={batch_id - 2}")
 
     return episode_stream(
         log, options, on_events, state_path=state_path, checkpoint=checkpoint, name=name, trigger=trigger
     )
-
-
-def deliveries_before(spark, path: str, batch_id: int) -> DataFrame:
-    """Delivery log of earlier micro-batches; a replayed batch does not see its own rows."""
-    if folder_bytes(spark, path) == 0:
-        return spark.createDataFrame([], DELIVERY_SCHEMA)
-    schema = T.StructType([*DELIVERY_SCHEMA.fields, T.StructField(BATCH_FOLDER, T.LongType())])
-    return spark.read.schema(schema).parquet(path).filter(F.col(BATCH_FOLDER) < batch_id).drop(BATCH_FOLDER)

@@ -19,7 +19,9 @@ from tandem.sinks.kafka import kafka_write_options
 from tandem.sources.facts import json_facts, kafka_read_options, with_proc_time
 from tandem.sources.jdbc import jdbc_read_options, quote_table, wide_client_properties
 from tandem.streaming.enrich import enrich_stream
+from tandem.plans.stats import interval_counters
 from tandem.streaming.monitor import (
+    remaining_intervals,
     STATE_SCHEMA,
     alert_stream,
     episode_step,
@@ -200,6 +202,44 @@ def run_alerts(spark, tmp_path, path, sink, options=ALERTS):
     return spark.read.parquet(str(tmp_path / "delivery"))
 
 
+def test_replayed_batches_count_once(spark, tmp_path):
+    """A batch that is written, read, written again and read again; and one that is there twice at once."""
+    first, again = steps(spark, (0, 0, 5, True)), steps(spark, (0, 9, 5, True))
+    both = steps(spark, (1, 20, 3, False), (1, 21, 3, False), (2, 22, 4, True))
+    path = written_log(spark, tmp_path, first, again, both)
+    paths = {"state_path": str(tmp_path / "state"), "checkpoint": str(tmp_path / "c")}
+    out = str(tmp_path / "events")
+    episode_stream(log_stream(spark, path, maxFilesPerTrigger="1"), ALERTS, folder_sink(out), trigger=ONCE, **paths).awaitTermination()
+    got = sorted((r.batch_id, r.event, r.episode, r.streak, r.affected_keys) for r in spark.read.parquet(out).collect())
+    assert got == [(0, "failover", 0, 1, 5), (1, "recovered", 0, 1, 5), (2, "failover", 1, 1, 4)]
+    stats = str(tmp_path / "stats")
+    stats_stream(log_stream(spark, path, maxFilesPerTrigger="1"), 60).writeStream.format("parquet").option("path", stats).option(
+        "checkpointLocation", str(tmp_path / "s")
+    ).trigger(**ONCE).start().awaitTermination()
+    log = spark.read.schema(LOG_SCHEMA).parquet(path)
+    rest = remaining_intervals(log, spark.read.schema(interval_counters(log, 60).schema).parquet(stats), 60)
+    assert [(r.primary_batches, r.primary_keys, r.primary_fails) for r in rest.collect()] == [(3, 12, 2)]
+
+
+def test_lost_state_is_not_an_empty_one(spark, tmp_path):
+    path = written_log(spark, tmp_path, steps(spark, (0, 0, 5, True)))
+    paths = {"state_path": str(tmp_path / "state"), "checkpoint": str(tmp_path / "c")}
+    run = lambda: episode_stream(log_stream(spark, path), ALERTS, folder_sink(str(tmp_path / "e")), trigger=ONCE, **paths).awaitTermination()
+    run()
+    folder_sink(path, files=1)(steps(spark, (1, 5, 5, True)), 1)
+    paths["state_path"] = str(tmp_path / "elsewhere")
+    with pytest.raises(Exception, match="is missing"):
+        run()
+
+
+def test_alert_state_does_not_grow_with_the_history(spark, tmp_path):
+    batches = [steps(spark, (3 * i, 900 * i, 1, True), (3 * i + 1, 900 * i + 1, 1, True), (3 * i + 2, 900 * i + 2, 1, False)) for i in range(5)]
+    path = written_log(spark, tmp_path, *batches)
+    log = run_alerts(spark, tmp_path, path, lambda df: df.collect())
+    assert sorted((r.kind, r.status) for r in log.collect()) == [("failover", "sent")] * 5 + [("recovery", "sent")] * 5
+    assert spark.read.parquet(f"{tmp_path}/state-alerted/batch=4").count() == 1
+
+
 def test_alert_stream_cooldown_and_recovery(spark, tmp_path):
     from dataclasses import replace
 
@@ -250,11 +290,14 @@ def test_stats_stream_emits_complete_intervals(spark, tmp_path):
         steps(spark, (2, 70, 7, True), (3, 400, 1, True)),
     )
     out = str(tmp_path / "stats")
-    stats_stream(log_stream(spark, path), 60, "10 seconds").writeStream.format("parquet").option("path", out).option(
+    log = log_stream(spark, path)
+    stats_stream(log, 60, "10 seconds").writeStream.format("parquet").option("path", out).option(
         "checkpointLocation", str(tmp_path / "c")
     ).trigger(**ONCE).start().awaitTermination()
     got = sorted((r.window_start.minute, r.primary_batches, r.primary_keys, r.primary_fails) for r in spark.read.parquet(out).collect())
     assert got == [(0, 2, 11, 1), (1, 1, 7, 1)]
+    rest = remaining_intervals(spark.read.schema(LOG_SCHEMA).parquet(path), spark.read.parquet(out), 60).collect()
+    assert [(r.window_start.minute, r.primary_keys) for r in rest] == [(6, 1)]
 
 
 # ------------------------------------------------------------------ sinks and connector options
