@@ -23,17 +23,22 @@ CUSTOMER = T.StructType(
     ]
 )
 
-# The foreign keys of the tables have no misses, so the dimension lacks one market segment.
-HELD_SQL = "(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')"
+# The foreign keys of the tables have no misses, so every fifth order carries a key of no customer.
+ORDERS_SQL = "(SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey) FROM orders)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def held_customer(sf_dir: str):
-    """Loader of the customer dimension with misses."""
-    return lambda spark: table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "BUILDING")
+def with_misses(orders: DataFrame) -> DataFrame:
+    """Orders of which every fifth has a key of no customer."""
+    return orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 5 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")))
+
+
+def customers(sf_dir: str):
+    """Loader of the customer dimension."""
+    return lambda spark: table(spark, sf_dir, "customer")
 
 
 def down(_spark):

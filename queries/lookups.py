@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from queries.common import CUSTOMER, HELD_SQL, META, OPTIONS, down, held_customer, sql, table
+from queries.common import CUSTOMER, META, OPTIONS, ORDERS_SQL, customers, down, sql, table, with_misses
 from tandem.operators.failover import failover_lookup
 from tandem.operators.lookup import distinct_keys, lookup_join, probe
 
@@ -31,27 +31,27 @@ SHOWN = ["o_orderkey", "o_custkey", "o_totalprice", "c_name", "c_nationkey", "c_
 
 
 def enrich_orders(spark, sf_dir, stores, schema=CUSTOMER, options=OPTIONS, **lookup):
-    orders = table(spark, sf_dir, "orders")
+    orders = with_misses(table(spark, sf_dir, "orders"))
     return failover_lookup(orders, stores, KEY, schema, options, **lookup)
 
 
-def orders_oracle(join: str, source: str, dim: str = HELD_SQL, name: str = "c.c_name") -> str:
+def orders_oracle(join: str, source: str, dim: str = "customer", name: str = "c.c_name") -> str:
     return f"""
         SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, {name} AS c_name, c.c_nationkey, c.c_acctbal,
                c.c_mktsegment, CASE WHEN c.c_custkey IS NOT NULL THEN '{source}' END AS lookup_source
-        FROM orders o {join} JOIN {dim} c ON o.o_custkey = c.c_custkey
+        FROM {ORDERS_SQL} o {join} JOIN {dim} c ON o.o_custkey = c.c_custkey
     """
 
 
 @query("a1_lookup_left", orders_oracle("LEFT", "hbase"))
 def a1_lookup_left(spark, sf_dir):
-    held = held_customer(sf_dir)
+    held = customers(sf_dir)
     return enrich_orders(spark, sf_dir, {"hbase": held, "doris": held}).df.select(*SHOWN)
 
 
 @query("a2_lookup_inner", orders_oracle("INNER", "hbase"))
 def a2_lookup_inner(spark, sf_dir):
-    held = held_customer(sf_dir)
+    held = customers(sf_dir)
     return enrich_orders(spark, sf_dir, {"hbase": held, "doris": held}, how="inner").df.select(*SHOWN)
 
 
@@ -59,15 +59,15 @@ def a2_lookup_inner(spark, sf_dir):
     "a3_null_key_miss",
     f"""
     SELECT o.o_orderkey, o.buyer, c.c_name
-    FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS buyer FROM orders) o
-    LEFT JOIN {HELD_SQL} c ON o.buyer = c.c_custkey
+    FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS buyer FROM {ORDERS_SQL}) o
+    LEFT JOIN customer c ON o.buyer = c.c_custkey
     """,
 )
 def a3_null_key_miss(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(
+    orders = with_misses(table(spark, sf_dir, "orders")).select(
         "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("buyer")
     )
-    held = held_customer(sf_dir)(spark)
+    held = customers(sf_dir)(spark)
     return lookup_join(orders, held, {"buyer": "c_custkey"}).select("o_orderkey", "buyer", "c_name")
 
 
@@ -85,8 +85,7 @@ def supply(sf_dir: str):
     """Loader of a dimension keyed by (part, supplier)."""
 
     def load(spark):
-        returned = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-        return returned.groupBy(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")).agg(
+        return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")).agg(
             F.count(F.lit(1)).alias("ps_lines"), F.sum("l_quantity").alias("ps_quantity")
         )
 
@@ -98,15 +97,15 @@ def supply(sf_dir: str):
     """
     SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, d.ps_lines,
            ROUND(d.ps_quantity, 6) AS ps_quantity
-    FROM lineitem l
+    FROM (SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN l_suppkey ELSE -l_suppkey END AS l_suppkey) FROM lineitem) l
     LEFT JOIN (SELECT l_partkey, l_suppkey, COUNT(*) AS ps_lines, SUM(l_quantity) AS ps_quantity
-               FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey, l_suppkey) d
+               FROM lineitem GROUP BY l_partkey, l_suppkey) d
       ON l.l_partkey = d.l_partkey AND l.l_suppkey = d.l_suppkey
     """,
 )
 def a4_composite_key(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
+        "l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_returnflag") == "R", F.col("l_suppkey")).otherwise(-F.col("l_suppkey")).alias("l_suppkey"), "l_extendedprice"
     )
     keys = {"l_partkey": "ps_partkey", "l_suppkey": "ps_suppkey"}
     stores = {"hbase": supply(sf_dir), "doris": supply(sf_dir)}
@@ -250,19 +249,20 @@ def a10_late_primary(spark, sf_dir):
 
 @query("a12_miss_no_failover", orders_oracle("LEFT", "hbase"))
 def a12_miss_no_failover(spark, sf_dir):
-    stores = {"hbase": held_customer(sf_dir), "doris": standby_customer(sf_dir)}
+    stores = {"hbase": customers(sf_dir), "doris": standby_customer(sf_dir)}
     return enrich_orders(spark, sf_dir, stores, strategy="keys").df.select(*SHOWN)
 
 
 @query("a14_store_lacks_key", orders_oracle("LEFT", "doris", STANDBY_SQL, "'S:' || c.c_name"))
 def a14_store_lacks_key(spark, sf_dir):
-    stores = {"hbase": lambda s: held_customer(sf_dir)(s).drop("c_custkey"), "doris": standby_customer(sf_dir)}
+    stores = {"hbase": lambda s: customers(sf_dir)(s).drop("c_custkey"), "doris": standby_customer(sf_dir)}
     return enrich_orders(spark, sf_dir, stores).df.select(*SHOWN)
 
 
 BALANCE_TEXT = T.StructType(
     [T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()), T.StructField("balance", T.DecimalType(6, 2))]
 )
+BALANCE_SOURCE = T.StructType([*BALANCE_TEXT, T.StructField("lookup_source", T.StringType())])
 AS_TEXT_SQL = """
     SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'n/a' ELSE ' ' || CAST(CAST(c_acctbal AS DECIMAL(10,2)) AS VARCHAR) END AS balance
     FROM customer
@@ -281,7 +281,7 @@ def balance_as_text(sf_dir):
     "a16_bad_rows_null",
     f"""
     SELECT o.o_orderkey, c.c_name, TRY_CAST(TRIM(c.balance) AS DECIMAL(6,2)) AS balance
-    FROM orders o LEFT JOIN ({AS_TEXT_SQL}) c ON o.o_custkey = c.c_custkey
+    FROM {ORDERS_SQL} o LEFT JOIN ({AS_TEXT_SQL}) c ON o.o_custkey = c.c_custkey
     """,
 )
 def a16_bad_rows_null(spark, sf_dir):
@@ -290,25 +290,68 @@ def a16_bad_rows_null(spark, sf_dir):
     return found.select("o_orderkey", "c_name", "balance")
 
 
-@query("a16_bad_rows_quarantined", f"SELECT c_custkey, balance FROM ({AS_TEXT_SQL}) c WHERE TRY_CAST(TRIM(balance) AS DECIMAL(6,2)) IS NULL")
+@query(
+    "a16_bad_rows_quarantined",
+    f"""
+    SELECT c_custkey, balance FROM ({AS_TEXT_SQL}) c
+    WHERE TRY_CAST(TRIM(balance) AS DECIMAL(6,2)) IS NULL AND c_custkey IN (SELECT o_custkey FROM {ORDERS_SQL})
+    """,
+)
 def a16_bad_rows_quarantined(spark, sf_dir):
     stores = {"hbase": balance_as_text(sf_dir), "doris": balance_as_text(sf_dir)}
     found = enrich_orders(spark, sf_dir, stores, BALANCE_TEXT, on_bad_row="quarantine")
     return found.bad_rows.select("c_custkey", "balance")
 
 
+@query(
+    "a16_bad_row_other_key",
+    f"""
+    SELECT o.o_orderkey, strategy, c.c_name, CASE WHEN c.c_custkey IS NOT NULL THEN 'hbase' END AS lookup_source
+    FROM {ORDERS_SQL} o LEFT JOIN customer c ON o.o_custkey = c.c_custkey, (VALUES ('snapshot'), ('keys')) s(strategy)
+    """,
+)
+def a16_bad_row_other_key(spark, sf_dir):
+    """A balance that is no number, of a customer without orders, is nobody's business, whatever the strategy."""
+
+    def store(spark):
+        held = balance_as_text(sf_dir)(spark)
+        asked = with_misses(table(spark, sf_dir, "orders")).select(F.col("o_custkey").alias("c_custkey"), F.lit("0").alias("asked")).distinct()
+        return held.join(asked, "c_custkey", "left").withColumn("balance", F.coalesce("asked", "balance")).drop("asked")
+
+    found = None
+    for strategy in ("snapshot", "keys"):
+        one = enrich_orders(spark, sf_dir, {"hbase": store, "doris": down}, BALANCE_SOURCE, strategy=strategy).df
+        one = one.select("o_orderkey", F.lit(strategy).alias("strategy"), "c_name", "lookup_source")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query(
+    "b17_lossy_keys",
+    """
+    SELECT l.l_orderkey, l.l_linenumber, l.half, p.p_name
+    FROM (SELECT l_orderkey, l_linenumber, l_quantity / 2 AS half FROM lineitem) l LEFT JOIN part p ON p.p_partkey = l.half
+    """,
+)
+def b17_lossy_keys(spark, sf_dir):
+    """A key of 12.5 matches no whole number."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 2).alias("half"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return lookup_join(lines, parts, {"half": "p_partkey"})
+
+
 @query(
     "a17_log_row",
     f"""
     SELECT 'dim_customer' AS table_name, '1/1' AS subtask, 7 AS batch_id,
            (SELECT COUNT(*) FROM orders) AS n_keys, 'ConnectionError' AS primary_error,
            'store is down' AS primary_message, TRUE AS failed_over,
-           (SELECT COUNT(*) FROM orders WHERE o_custkey IN (SELECT c_custkey FROM {HELD_SQL} h)) AS standby_hits,
+           (SELECT COUNT(*) FROM {ORDERS_SQL} WHERE o_custkey IN (SELECT c_custkey FROM customer)) AS standby_hits,
            'doris' AS lookup_source
     """,
 )
 def a17_log_row(spark, sf_dir):
-    row = enrich_orders(spark, sf_dir, {"hbase": down, "doris": held_customer(sf_dir)}).log_row(batch_id=7)
+    row = enrich_orders(spark, sf_dir, {"hbase": down, "doris": customers(sf_dir)}).log_row(batch_id=7)
     return row.select(
         "table_name", "subtask", "batch_id", "n_keys", "primary_error", "primary_message", "failed_over",
         "standby_hits", "lookup_source",
@@ -323,13 +366,13 @@ NATION = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructFi
     f"""
     SELECT o.o_orderkey, c.c_name, CASE WHEN c.c_custkey IS NOT NULL THEN 'hbase' END AS lookup_source,
            n.n_name AS nation_n_name, CASE WHEN n.n_nationkey IS NOT NULL THEN 'doris' END AS nation_lookup_source
-    FROM orders o
-    LEFT JOIN {HELD_SQL} c ON o.o_custkey = c.c_custkey
+    FROM {ORDERS_SQL} o
+    LEFT JOIN customer c ON o.o_custkey = c.c_custkey
     LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
     """,
 )
 def a19_two_dims(spark, sf_dir):
-    held = held_customer(sf_dir)
+    held = customers(sf_dir)
     first = enrich_orders(spark, sf_dir, {"hbase": held, "doris": held}).df
     nations = {"hbase": down, "doris": lambda s: table(s, sf_dir, "nation")}
     both = failover_lookup(first, nations, {"c_nationkey": "n_nationkey"}, NATION, OPTIONS, prefix="nation_").df

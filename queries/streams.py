@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queries.common import CUSTOMER, OPTIONS, down, held_customer, sql, table
+from queries.common import CUSTOMER, OPTIONS, down, sql, table, with_misses
 from queries.logs import ALERT_OPTIONS, DAY_S, STREAKS_CTE, lookup_log, ntz
 from queries.lookups import orders_oracle, standby_customer, STANDBY_SQL
 from tandem.plans.log import LOG_SCHEMA
 from tandem.session import new_staging_path
 from tandem.sinks.batches import folder_sink
 from tandem.streaming.enrich import enrich_stream
-from tandem.streaming.monitor import EVENT_SCHEMA, episode_stream, stats_stream
+from tandem.streaming.monitor import EVENT_SCHEMA, episode_stream, log_stream, remaining_intervals, stats_stream
 
 QUERIES = {}
 ORACLES = {}
@@ -39,7 +39,7 @@ def table_stream(spark, sf_dir, name):
 def s2_enrich_stream(spark, sf_dir):
     out, checkpoint = new_staging_path(spark, "enriched"), new_staging_path(spark, "checkpoint")
     started = enrich_stream(
-        table_stream(spark, sf_dir, "orders"),
+        with_misses(table_stream(spark, sf_dir, "orders")),
         {"hbase": down, "doris": standby_customer(sf_dir)},
         {"o_custkey": "c_custkey"},
         CUSTOMER,
@@ -55,12 +55,14 @@ def s2_enrich_stream(spark, sf_dir):
     )
 
 
-def log_as_stream(spark, sf_dir):
-    """The derived lookup log, written once and read as a file stream."""
+def written_log(spark, sf_dir, copies=1):
+    """The derived lookup log, written ``copies`` times, and read as a file stream, a copy per micro-batch."""
     path = new_staging_path(spark, "log")
     log = lookup_log(spark, sf_dir)
-    log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA]).write.parquet(path)
-    return spark.readStream.schema(LOG_SCHEMA).parquet(path)
+    log = log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
+    for copy in range(copies):
+        folder_sink(path, files=1)(log, copy)
+    return path, log_stream(spark, path, maxFilesPerTrigger="1")
 
 
 def collected(spark, stream, name, schema):
@@ -85,7 +87,7 @@ def collected(spark, stream, name, schema):
 def s4_episode_events(spark, sf_dir):
     paths = [new_staging_path(spark, name) for name in ("events", "state", "checkpoint")]
     started = episode_stream(
-        log_as_stream(spark, sf_dir), ALERT_OPTIONS, folder_sink(paths[0]), state_path=paths[1], checkpoint=paths[2],
+        written_log(spark, sf_dir)[1], ALERT_OPTIONS, folder_sink(paths[0]), state_path=paths[1], checkpoint=paths[2],
         name="s4", trigger=ONCE,
     )
     started.awaitTermination()
@@ -93,6 +95,29 @@ def s4_episode_events(spark, sf_dir):
     return out.select("event", "table_name", "subtask", "episode", "batch_id", "streak", "affected_keys")
 
 
+@query(
+    "s5_replayed_episodes",
+    f"""
+    WITH {STREAKS_CTE}
+    SELECT 'candidate' AS event, table_name, subtask, CAST(episode AS BIGINT) AS episode, batch_id, streak, affected_keys
+    FROM streaks WHERE failed_over AND streak = 2
+    UNION ALL
+    SELECT 'recovered', table_name, subtask, CAST(episode AS BIGINT), batch_id, streak, affected_keys
+    FROM streaks WHERE NOT failed_over AND streak > 0
+    """,
+)
+def s5_replayed_episodes(spark, sf_dir):
+    """Every batch of the log arrives twice and counts once."""
+    paths = [new_staging_path(spark, name) for name in ("events", "state", "checkpoint")]
+    started = episode_stream(
+        written_log(spark, sf_dir, copies=2)[1], ALERT_OPTIONS, folder_sink(paths[0]), state_path=paths[1], checkpoint=paths[2],
+        name="s5", trigger=ONCE,
+    )
+    started.awaitTermination()
+    out = spark.read.schema(EVENT_SCHEMA).parquet(paths[0]).filter("event <> 'failover'")
+    return out.select("event", "table_name", "subtask", "episode", "batch_id", "streak", "affected_keys")
+
+
 @query(
     "s4_stats_stream",
     f"""
@@ -102,12 +127,14 @@ def s4_episode_events(spark, sf_dir):
            CAST(SUM(1 + event_id % 50) AS BIGINT) AS primary_keys,
            COUNT(*) FILTER (event_type = 'error' OR value * 10 > 500) AS primary_fails
     FROM log
-    WHERE DATE_TRUNC('day', ts) + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 MINUTE FROM events)
     GROUP BY ALL
     """,
 )
 def s4_stats_stream(spark, sf_dir):
-    stats = stats_stream(log_as_stream(spark, sf_dir), DAY_S)
+    """Intervals as the stream emits them, and those it leaves open when it ends."""
+    path, log = written_log(spark, sf_dir)
+    stats = stats_stream(log, DAY_S)
     out = collected(spark, stats, "stats", stats.schema)
-    shown = out.select("table_name", "subtask", "window_start", "primary_batches", "primary_keys", "primary_fails")
+    rest = remaining_intervals(spark.read.schema(LOG_SCHEMA).parquet(path), out, DAY_S)
+    shown = out.unionByName(rest).select("table_name", "subtask", "window_start", "primary_batches", "primary_keys", "primary_fails")
     return ntz(shown, "window_start")

@@ -299,13 +299,17 @@ def a7_rowkey_multi_get(spark, sf_dir):
     return found.df.drop("o_custkey")
 
 
-@query("c1_json_facts", "SELECT event_id, user_id, event_type, value, props FROM events")
+MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+@query("c1_json_facts", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def c1_json_facts(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    messages = events.select(F.to_json(F.struct("event_id", "user_id", "event_type", "value", "props")).alias("value"))
+    messages = events.select(F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value", "props"), MICROS).alias("value"))
     schema = T.StructType(
         [
             field("event_id", T.LongType()),
+            field("ts", events.schema["ts"].dataType),
             field("user_id", T.LongType()),
             field("event_type", T.StringType()),
             field("value", T.DoubleType()),
@@ -333,3 +337,37 @@ def c6_dead_letter_lines(spark, sf_dir):
     )
     at = datetime.fromtimestamp(1_700_000_000, timezone.utc)
     return alerts.select("event_id", dead_letter_line(client_column(OPTIONS), "boom\nreason", at).alias("line"))
+
+
+@query(
+    "b8_malformed_dates",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (0, 1) THEN CAST(o_orderdate AS DATE) END AS day
+    FROM orders
+    """,
+)
+def b8_malformed_dates(spark, sf_dir):
+    """Text that only begins with a date, or is only a year, is no date."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.element_at(
+        F.array(day, F.concat(F.lit(" "), day, F.lit(" ")), F.substring(day, 1, 4), F.concat(day, F.lit(" 10:00:00")), F.concat(day, F.lit(" x"))),
+        (F.col("o_orderkey") % 5 + 1).cast("int"),
+    )
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("day"))
+    return conform(raw, T.StructType([field("o_orderkey", T.LongType()), field("day", T.DateType())]), "null")
+
+
+@query(
+    "b11_malformed_text",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 6 IN (0, 1, 2) THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL '10 hours' + INTERVAL '123456 microseconds' END AS at
+    FROM orders
+    """,
+)
+def b11_malformed_text(spark, sf_dir):
+    """Digits beyond microseconds are dropped; a zone or anything else behind a timestamp makes it bad."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    ends = ["T10:00:00.123456", " 10:00:00.123456789", " 10:00:00.1234567891234", " 10:00:00.123456 garbage", "T10:00:00.123456+08:00", ""]
+    text = F.concat(day, F.element_at(F.array(*map(F.lit, ends)), (F.col("o_orderkey") % 6 + 1).cast("int")))
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("at"))
+    return conform(raw, T.StructType([field("o_orderkey", T.LongType()), timestamp_field("at", 6)]), "null")
