@@ -29,7 +29,8 @@ from tandem.plans.stats import (
     stats_lines,
     with_rates,
 )
-from tandem.sinks.delivery import Delivery, delivery_counters, delivery_rows
+from tandem.session import new_staging_path, stage
+from tandem.sinks.delivery import Delivery, deliver, delivery_counters, delivery_rows
 
 QUERIES = {}
 ORACLES = {}
@@ -538,3 +539,39 @@ def d14_delivery_counters(spark, sf_dir):
         delivery_rows(held.withColumn("status", F.lit("suppressed")), Delivery(False, 0, 0))
     )
     return delivery_counters(log)
+
+
+@query(
+    "f9_delivery_outcomes",
+    f"""
+    WITH RECURSIVE {SENT_CTE},
+    a AS (SELECT table_name, 'failover' AS kind FROM sent UNION ALL SELECT table_name, 'recovery' FROM ({RECOVERED_SQL}) r),
+    n AS (SELECT table_name, COUNT(*) AS n, COUNT(*) FILTER (kind = 'failover') AS f FROM a GROUP BY table_name)
+    SELECT table_name, f AS triggered, CASE table_name WHEN 'dim_customer' THEN n ELSE 0 END AS sent,
+           CAST(CASE table_name WHEN 'dim_customer' THEN n ELSE 3 * n END AS BIGINT) AS failed,
+           CASE table_name WHEN 'dim_supplier' THEN n ELSE 0 END AS dropped,
+           CAST(CASE table_name WHEN 'dim_customer' THEN n ELSE 2 * n END AS BIGINT) AS retries,
+           CAST(0 AS BIGINT) AS suppressed, n - f AS recovery, CASE table_name WHEN 'dim_part' THEN n ELSE 0 END AS spooled
+    FROM n
+    """,
+)
+def f9_delivery_outcomes(spark, sf_dir):
+    """One table's sink works at the second try, one's never and its alerts are spooled, one's never and they are dropped."""
+    alerts = stage(alert_events(lookup_log(spark, sf_dir), ALERT_OPTIONS), "alerts")
+    tries = []
+
+    def second_try(rows):
+        tries.append(rows.count())
+        if len(tries) < 2:
+            raise OSError("broker is away")
+
+    def never(rows):
+        raise OSError("broker is away")
+
+    spooling = replace(ALERT_OPTIONS, alert_spool_dir=new_staging_path(spark, "spool"))
+    plans = {"dim_customer": (second_try, ALERT_OPTIONS), "dim_part": (never, spooling), "dim_supplier": (never, ALERT_OPTIONS)}
+    log = None
+    for name, (sink, options) in plans.items():
+        rows = deliver(alerts.filter(F.col("table_name") == name), sink, options, sleep=lambda seconds: None)
+        log = rows if log is None else log.unionByName(rows)
+    return delivery_counters(log)

@@ -14,7 +14,7 @@ from tandem.functions.conform import coerce, conform, held_columns, source_colum
 from tandem.operators.lookup import Keys, distinct_keys, key_pairs, lookup_join, one_row_per_key, probe
 from tandem.options import LookupOptions
 from tandem.plans.log import LOG_SCHEMA
-from tandem.session import delete_path, estimated_bytes, new_staging_path, row_bytes, run_with_deadline, stage
+from tandem.session import delete_path, estimated_bytes, new_staging_path, row_bytes, run_with_deadline, stage, within
 
 Loader = Callable[[SparkSession], DataFrame]
 
@@ -287,11 +287,12 @@ def conform_joined(
 
 
 def _open(spark, loader, strategy, options, dim_keys, keys_once) -> tuple[DataFrame, bool]:
-    """Connect to a store and decide how to ask it; not part of the timed query."""
+    """Connect to a store and decide how to ask it; not part of the timed query, but bounded as that is."""
     if hasattr(loader, "for_keys") and strategy != "snapshot":
-        raw, by_keys = loader.for_keys(spark, keys_once()), True
+        wanted = keys_once()
+        raw, by_keys = within(lambda: loader.for_keys(spark, wanted), options.deadline_ms), True
     else:
-        raw = loader(spark)
+        raw = within(lambda: loader(spark), options.deadline_ms)
         if not isinstance(raw, DataFrame):
             raise TypeError(f"loader returned {type(raw).__name__}, not a DataFrame")
         by_keys = strategy == "keys" or (strategy == "auto" and estimated_bytes(raw) > options.snapshot_bytes)

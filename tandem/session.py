@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,6 +135,30 @@ class Timed:
     elapsed_ms: float
 
 
+def within(action: Callable[[], Any], deadline_ms: int) -> Any:
+    """What ``action`` returns or raises, or :class:`DeadlineExceeded` if it has not come back by then.
+
+    For calls that wait outside Spark, such as connecting: the thread that waits is left behind.
+    """
+    box: dict[str, Any] = {}
+
+    def run() -> None:
+        try:
+            box["result"] = action()
+        except BaseException as error:  # handed over to the caller
+            box["error"] = error
+
+    waiting = InheritableThread(target=run)
+    waiting.daemon = True
+    waiting.start()
+    waiting.join(deadline_ms / 1000)
+    if waiting.is_alive():
+        raise DeadlineExceeded(f"opening the store took over {deadline_ms}ms")
+    if "error" in box:
+        raise box["error"]
+    return box["result"]
+
+
 def run_with_deadline(spark: SparkSession, action: Callable[[], Any], deadline_ms: int) -> Timed:
     """Run ``action`` and cancel its Spark jobs at the deadline.
 

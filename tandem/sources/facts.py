@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tandem.options import LookupOptions
+
 # How the start-up modes of a topic scan are spelled on both sides.
 START_MODES = {"latest-offset": "latest", "earliest-offset": "earliest"}
 
@@ -28,12 +30,14 @@ def kafka_read_options(
     group_id: str | None = None,
     batch_size: int | None = None,
     max_wait_ms: int | None = None,
+    max_batch: int = 1_000_000,
     properties: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Options of Spark's Kafka source.
 
     ``batch_size`` and ``max_wait_ms`` are the count-or-time rule of a micro-batch (S1): a batch
-    starts once that many messages wait, or once that long has passed since the last one.
+    starts once that many messages wait, or once that long has passed since the last one. It takes
+    at most ``max_batch``, so a backlog is worked off in steps.
     """
     if start not in START_MODES:
         raise ValueError(f"start must be one of {sorted(START_MODES)}, got {start!r}")
@@ -41,6 +45,7 @@ def kafka_read_options(
     options.update(
         {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": START_MODES[start]}
     )
+    options["maxOffsetsPerTrigger"] = str(max(max_batch, batch_size or 0))
     if group_id:
         options["kafka.group.id"] = group_id
     if batch_size:
@@ -49,7 +54,16 @@ def kafka_read_options(
     return options
 
 
-def kafka_facts(spark: SparkSession, schema: T.StructType, **options) -> DataFrame:
-    """JSON facts of a Kafka topic as a stream; needs Spark's Kafka package on the class path."""
+def batch_rule(lookup: LookupOptions) -> dict[str, int]:
+    """The count-or-time rule as a table declaration states it."""
+    return {"batch_size": lookup.batch_size, "max_wait_ms": lookup.batch_max_wait_ms}
+
+
+def kafka_facts(spark: SparkSession, schema: T.StructType, lookup: LookupOptions | None = None, **options) -> DataFrame:
+    """JSON facts of a Kafka topic as a stream; needs Spark's Kafka package on the class path.
+
+    The rule of a micro-batch comes from ``lookup`` unless it is given.
+    """
+    options = {**(batch_rule(lookup) if lookup else {}), **options}
     reader = spark.readStream.format("kafka").options(**kafka_read_options(**options))
     return json_facts(reader.load(), schema)

@@ -324,6 +324,11 @@ def test_answer_survives_the_store_going_down(spark, facts, dim, tmp_path):
     assert rows(result.df, "id", "name")[0] == (1, "A")
 
 
+def test_a_store_that_never_opens(facts, dim):
+    result = look(facts, lambda s: time.sleep(600), lambda s: dim, LookupOptions(deadline_ms=9_000, operator_timeout_ms=60_000))
+    assert result.source == "doris" and result.attempts[0].error_class == "DeadlineExceeded"
+
+
 def test_bad_rows(spark, facts):
     schema = T.StructType([T.StructField("pk", T.StringType()), T.StructField("v", T.IntegerType())])
     store = spark.createDataFrame([("a", "1"), ("b", "x")], "pk string, v string")

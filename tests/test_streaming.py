@@ -16,8 +16,8 @@ from tandem.sinks.batches import folder_sink, print_sink
 from tandem.sinks.deadletter import dead_letter, with_status
 from tandem.sinks.delivery import backoff_ms, deliver, delivery_counters, send_with_retries
 from tandem.sinks.kafka import kafka_write_options
-from tandem.sources.facts import json_facts, kafka_read_options, with_proc_time
-from tandem.sources.jdbc import jdbc_read_options, quote_table, wide_client_properties
+from tandem.sources.facts import batch_rule, json_facts, kafka_read_options, with_proc_time
+from tandem.sources.jdbc import JdbcStore, jdbc_read_options, quote_table, wide_client_properties
 from tandem.streaming.enrich import enrich_stream
 from tandem.plans.stats import interval_counters
 from tandem.streaming.monitor import (
@@ -365,8 +365,9 @@ def test_kafka_source_options():
     got = kafka_read_options("b:1", "facts", group_id="g", batch_size=50, max_wait_ms=5, properties={"a": "b"})
     assert got == {
         "kafka.a": "b", "kafka.bootstrap.servers": "b:1", "subscribe": "facts", "startingOffsets": "latest",
-        "kafka.group.id": "g", "minOffsetsPerTrigger": "50", "maxTriggerDelay": "5ms",
+        "kafka.group.id": "g", "minOffsetsPerTrigger": "50", "maxTriggerDelay": "5ms", "maxOffsetsPerTrigger": "1000000",
     }
+    assert batch_rule(LookupOptions(batch_size=7, batch_max_wait_ms=9)) == {"batch_size": 7, "max_wait_ms": 9}
     assert kafka_read_options("b:1", "f", "earliest-offset")["startingOffsets"] == "earliest"
     with pytest.raises(ValueError):
         kafka_read_options("b:1", "f", "yesterday")
@@ -381,6 +382,27 @@ def test_jdbc_options():
     assert quote_table("a.b", "jdbc:postgresql://h/db") == '"a"."b"'
 
 
+def test_connect_timeout_reaches_the_driver():
+    read = lambda url: jdbc_read_options(LookupOptions.from_dict({"doris.jdbc-url": url, "lookup.timeout": 1000}))
+    assert read("jdbc:mysql://h/db")["connectTimeout"] == "300"
+    assert read("jdbc:postgresql://h/db")["connectTimeout"] == "1"
+    assert "connectTimeout" not in read("jdbc:other://h/db")
+
+
+@pytest.mark.parametrize("kind", ["long", "date"])
+def test_keys_are_read_in_ranges(spark, kind):
+    options = LookupOptions(jdbc_url="jdbc:mysql://h/db", max_in_keys=10, jdbc_connections=3)
+    keys = spark.range(5, 1005, 5).select(F.col("id").cast("int").alias("pk"))
+    keys = keys.select(F.date_from_unix_date("pk").alias("pk")) if kind == "date" else keys.select(F.col("pk").cast("long"))
+    store = JdbcStore(options, ["pk"])
+    ranges = store.predicates(keys)
+    assert len(ranges) == 12 and all(r.startswith("`pk` >= ") for r in ranges)
+    held = [keys.filter(r).count() for r in ranges]
+    assert sum(held) == 200 and max(held) <= 40
+    assert store.predicates(keys.limit(10)) == []
+    assert JdbcStore(options, ["pk"]).predicates(keys.select(F.col("pk").cast("string"))) == []
+
+
 def test_wide_client_properties_prefer_explicit_options():
     options = LookupOptions.from_dict(
         {"doris.jdbc-url": "jdbc:x", "properties.hbase.rpc.timeout": "9", "properties.custom": "1", "hbase.rpc.timeout": 200}
