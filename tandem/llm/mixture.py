@@ -7,14 +7,13 @@ A source's factor is target over size: its documents are repeated the whole part
 once more. Which ones is decided in *lanes*, random sets of about ``lane_docs`` documents of one
 source, so that a hot source is many lanes. A lane goes through its documents from the largest to
 the smallest and carries what is still due: a document is taken once more when that passes a seeded
-random part of its size. The error of a lane therefore ends below the size of its smallest documents,
-and every document of a source can be drawn.
+random part of its size. What is still due at the end is made up for by taking or leaving one document,
+or exchanging two, a few times. Every document of a source can be drawn.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,6 +27,7 @@ SHARE = 1.5
 MAX_EPOCHS = 2.0
 LANE_DOCS = 1_000
 SEED = 20
+SETTLING = 5
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -104,15 +104,45 @@ def lane_repeats(group: pa.Table) -> list[int]:
     total, target = group.column("source_size")[0].as_py(), group.column("target")[0].as_py()
     factor = target / total if total else 0.0
     whole, part = int(factor), factor - int(factor)
-    repeats, due = [whole] * len(sizes), 0.0
-    for row in sorted(range(len(sizes)), key=lambda r: (-sizes[r], marks[r], ids[r] is None, ids[r] or 0)):
+    # In an order of their own, so that it does not matter how the rows arrive.
+    order = sorted(range(len(sizes)), key=lambda r: (-sizes[r], marks[r], ids[r] is None, ids[r] or 0))
+    extra, due = np.zeros(len(order), bool), 0.0
+    for i, row in enumerate(order):
         due += part * sizes[row]
         if part and due >= marks[row] * sizes[row] and sizes[row]:
-            repeats[row] += 1
+            extra[i] = True
             due -= sizes[row]
+    if part:
+        settle(np.array([sizes[row] for row in order], float), extra, due)
+    repeats = [whole] * len(sizes)
+    for i in np.flatnonzero(extra):
+        repeats[order[i]] += 1
     return repeats
 
 
+def settle(sizes: np.ndarray, extra: np.ndarray, due: float) -> None:
+    """Change which documents are taken once more so that less is due, one flip or exchange at a time."""
+    change = np.where(extra, sizes, -sizes)  # of what is due, when a document is flipped
+    for _ in range(SETTLING):
+        one = int(np.abs(due + change).argmin())
+        taken, left = np.flatnonzero(extra), np.flatnonzero(~extra)
+        best, flips = abs(due + change[one]), [one]
+        if len(taken) and len(left):
+            order = left[np.argsort(sizes[left], kind="stable")]
+            # Exchanging a for b changes what is due by size(a) - size(b): look for size(b) near due + size(a).
+            at = np.searchsorted(sizes[order], due + sizes[taken])
+            for near in (np.clip(at, 0, len(order) - 1), np.clip(at - 1, 0, len(order) - 1)):
+                rest = np.abs(due + sizes[taken] - sizes[order[near]])
+                i = int(rest.argmin())
+                if rest[i] < best:
+                    best, flips = rest[i], [int(taken[i]), int(order[near[i]])]
+        if best >= abs(due):
+            return
+        for row in flips:
+            due += change[row]
+            change[row], extra[row] = -change[row], not extra[row]
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; columns stay as they are.
 
