@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from types import ModuleType
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,24 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id) % 4 == 2, F.lit(False))
 
 
-def worker_store() -> dict[str, Any]:
+def worker_store(owner: str) -> dict[str, Any]:
     """State that outlives a task in its Python worker, for caches only.
 
-    Functions reach the workers by value, so a module's own globals are new in every task.
+    Functions reach the workers by value, so a module's own globals are new in every task. A worker
+    serves one operator after the other: the state of the last one goes when another asks.
     """
     name = "tandem_worker_store"
-    return vars(sys.modules.setdefault(name, ModuleType(name)))
+    store = vars(sys.modules.setdefault(name, ModuleType(name)))
+    if store.get("owner") != owner:
+        store.clear()
+        store["owner"] = owner
+    return store
+
+
+def release() -> None:
+    """Give back what a task has needed; its Python worker may wait for the next one for long."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def partitions_for(df: DataFrame, size: int, bytes_each: int = 64 << 20) -> int:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tandem.llm.common import word_list
+from tandem.llm.common import word_list, worker_store
 
 WINDOW = 13
 WINDOWS_PER_PASS = 1_000_000
@@ -133,6 +133,7 @@ def _scanner(docs: DataFrame, windows: WindowSet):
     sent = docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(texts: pa.Array) -> pa.Array:
+        worker_store("decontaminate")
         n_words, spans, items = [], [], []
         for value in texts:
             words = word_list(value.as_py())

@@ -18,7 +18,7 @@ import numpy as np
 
 from tandem.llm.common import worker_store
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 300_000
 
 # A piece the splitting rules of both vocabularies leave whole but for one mark at its end.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
@@ -62,7 +62,7 @@ def _specials(tokenizer) -> re.Pattern[str]:
 
 
 def _library(path: str):
-    store = worker_store()
+    store = worker_store("encoding")
     if path not in store:
         from tokenizers import Tokenizer
 
@@ -82,7 +82,7 @@ class SpacedEncoder:
         self.tokenizer = _library(path)
         self.model = self.tokenizer.model
         self.special = _specials(self.tokenizer)
-        store = worker_store()
+        store = worker_store("encoding")
         self.bare, self.spaced, self.loose = (store.setdefault((kind, path), _Pieces(None)) for kind in ("bare", "spaced", "loose"))
         self.bare.encode = lambda piece: self._encode("", piece, self.bare)
         self.spaced.encode = lambda piece: self._encode(" ", piece, self.spaced)
@@ -126,7 +126,7 @@ class BlankFreeCounter:
     def __init__(self, path: str) -> None:
         self.tokenizer = _library(path)
         self.model = self.tokenizer.model
-        self.pieces = worker_store().setdefault(("counts", path), _Pieces(None))
+        self.pieces = worker_store("encoding").setdefault(("counts", path), _Pieces(None))
         self.pieces.encode = self._encode
 
     def _encode(self, piece: str) -> int:

@@ -11,7 +11,6 @@ text itself, with partial aggregation, so a hot group of copies shrinks to a row
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,12 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.common import partitions_for, small
+from tandem.llm.common import partitions_for, small, worker_store
 from tandem.session import stage, stage_result
 
 QUOTIENT_BITS = 16
 MAX_RANGES = 1 << QUOTIENT_BITS
-_BLANKS = " \t\n\v\f\r"
 _BLANK = r"[\x20\x09-\x0D]"
 
 
@@ -163,6 +161,7 @@ def digests(texts: pa.Array) -> pa.Array:
     """Fingerprint and SHA-256 of every normalised text."""
     import xxhash
 
+    worker_store("exact_dedup")
     fps, hashes = np.empty(len(texts), np.uint64), []
     for i, value in enumerate(texts):
         normal = _normal(value.as_py())

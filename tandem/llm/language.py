@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.common import held_out
+from tandem.llm.common import held_out, worker_store
 
 SAMPLE_ROWS = 4_000
 BUCKETS = 1 << 15
@@ -182,6 +182,7 @@ def predicted(text: str | Column, model: LanguageModel, spark) -> Column:
     sent = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_store("language")
         for batch in batches:
             rows = [sent.value.predict(t.as_py()) for t in batch]
             langs, scores, rejected = zip(*rows) if rows else ((), (), ())

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.common import small, worker_store
+from tandem.llm.common import release, small, worker_store
 from tandem.session import stage, stage_result
 
 SHINGLE = 2
@@ -44,7 +44,7 @@ ERRORS = 1
 BITS = 14
 BLOCK_ROWS = 1_024
 SET_BLOCK_ROWS = 128
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 COMPONENTS = CHUNKS * CHUNK
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
@@ -70,15 +70,16 @@ class _WordHashes(dict):
         return value
 
 
-def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, size: int = SHINGLE, hashes: dict[bytes, int] | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text; ASCII letters in lower case.
 
-    A text of fewer words than ``size``, but not none, is one shingle.
+    A text of fewer words than ``size``, but not none, is one shingle. ``hashes`` keeps those of words
+    from text to text.
     """
     words = text.encode().lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    hashes = worker_store().setdefault("word_hashes", _WordHashes())
+    hashes = _WordHashes() if hashes is None else hashes
     if len(hashes) > CACHE_WORDS:
         hashes.clear()
     values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
@@ -116,21 +117,26 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
     return ((slots << (BITS * (CHUNK - ERRORS))) | keys).reshape(len(signatures), -1)
 
 
-def _digest(texts: pa.Array) -> pa.Array:
+def _digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     import xxhash
 
-    sizes, prints, signatures = [], [], []
-    for value in texts:
-        shingles = shingle_set(value.as_py())
-        sizes.append(len(shingles))
-        prints.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-        signatures.append(signature(shingles).astype("<u2").tobytes() if len(shingles) else None)
-    return pa.StructArray.from_arrays(
-        [pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())], ["n", "print", "sig"]
-    )
+    worker_store("near_dedup")
+    hashes = _WordHashes()
+    for texts in batches:
+        sizes, prints, signatures = [], [], []
+        for value in texts:
+            shingles = shingle_set(value.as_py(), hashes=hashes)
+            sizes.append(len(shingles))
+            prints.append(xxhash.xxh3_128_digest(shingles.tobytes()))
+            signatures.append(signature(shingles).astype("<u2").tobytes() if len(shingles) else None)
+        yield pa.StructArray.from_arrays(
+            [pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())], ["n", "print", "sig"]
+        )
+    hashes.clear()
+    release()
 
 
-_digest.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+_digest.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
 
 
 def _as_signatures(column: pa.Array) -> np.ndarray:
@@ -153,11 +159,15 @@ def _close(a: pa.Array, b: pa.Array) -> pa.Array:
 _close.__annotations__ = {"a": pa.Array, "b": pa.Array, "return": pa.Array}
 
 
-def _set_bytes(texts: pa.Array) -> pa.Array:
-    return pa.array([shingle_set(t.as_py()).tobytes() for t in texts], pa.binary())
+def _set_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    hashes = _WordHashes()
+    for texts in batches:
+        yield pa.array([shingle_set(t.as_py(), hashes=hashes).tobytes() for t in texts], pa.binary())
+    hashes.clear()
+    release()
 
 
-_set_bytes.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+_set_bytes.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
 
 
 def _confirmed(a: pa.Array, b: pa.Array) -> pa.Array:

@@ -42,7 +42,7 @@ _RUN = re.compile(r"(.)\1{7}")
 
 
 def _encoding(path: str, pattern: str):
-    store = worker_store()
+    store = worker_store("encoding")
     if ("tiktoken", path) not in store:
         import tiktoken
 

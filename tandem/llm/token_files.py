@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tandem.llm.common import partitions_for
+from tandem.llm.common import partitions_for, release
 from tandem.llm.encoding import SpacedEncoder
 from tandem.session import estimated_bytes
 
 BLOCK = 128
 PERCENTILE = 90
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 18
 MAX_PARTITIONS = 1_000_000
 
 _HEADER = "<4sIIQ"
@@ -214,6 +214,7 @@ def write_token_files(
                     yield close()
         if doc_ids:
             yield close()
+        release()
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.common import held_out, word_list
+from tandem.llm.common import held_out, release, word_list, worker_store
 from tandem.session import stage
 
 SAMPLE_ROWS = 20_000
@@ -127,6 +127,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_store("toxicity")
     counts: dict[tuple[bool, bytes], list[int]] = {}
 
     def flush() -> pa.RecordBatch:
@@ -146,7 +147,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             stems = {word[:STEM_BYTES] for word in words if len(word) > STEM_BYTES}
             for key in (*((False, w) for w in words), *((True, w) for w in stems)):
                 counts.setdefault(key, [0, 0])[toxic] += 1
-            if len(counts) > 500_000:
+            if len(counts) > 200_000:
                 yield flush()
     yield flush()
 
@@ -270,6 +271,7 @@ def toxicity(text: str | Column, model: ToxicityModel, spark) -> Column:
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_store("toxicity")
         for batch in batches:
             scores, passages = [], []
             for value in batch:
@@ -278,6 +280,7 @@ def toxicity(text: str | Column, model: ToxicityModel, spark) -> Column:
                 passages.append([{"start": a, "end": b, "score": s} for a, b, s in kept])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(passages, kind)], ["score", "passages"])
+        release()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     kind = "score double, passages array<struct<start: int, end: int, score: double>>"
