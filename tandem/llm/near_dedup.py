@@ -5,17 +5,19 @@ components of ``BITS`` bits. Two signatures at component distance up to ``CHUNKS
 have, by the pigeonhole principle, a chunk with at most ``ERRORS`` differing components. Enumerating
 the components that may be wrong gives each document ``CHUNKS * C(CHUNK, ERRORS)`` keys, each the
 other components of one chunk; every pair within the distance shares a key. With 8 chunks of 5 and
-one error that distance is 15 of 40, and a pair of Jaccard similarity 0.8 shares no key with
+one error that distance is 15 of 40. Most pairs beyond it share a key too, and every pair that shares
+one is a candidate, whatever its distance: only sizes of sets that rule a link out and the full sets
+decide. So a link is missed only if its documents share no key, which at Jaccard similarity 0.8 has
 probability 2.3e-5 (5e-7 at 0.85).
 
 Links are found in two steps, so that a group of n copies costs about n and not n * n:
 
-* *Stars.* Every document of a key is compared with the key's smallest document. Pairs within the
-  distance are confirmed on the full sets, and links are joined to components.
+* *Stars.* Every document of a key is compared with the key's smallest document. Pairs whose sizes
+  allow it are confirmed on the full sets, and links are joined to components.
 * *Rest.* Only keys that still hold several components are gone through in full: all pairs of
-  different components are compared by signature, in arrays, large keys in blocks that different
-  tasks hold. Of the pairs within the distance a task reports a spanning forest, which is enough to
-  gather what belongs together in *clusters*. A cluster's pairs within the distance are confirmed on
+  different components are compared by size, in arrays, large keys in blocks that different
+  tasks hold. Of the candidates a task reports a spanning forest, which is enough to
+  gather what belongs together in *clusters*. A cluster's pairs that share a key are confirmed on
   the full sets, again in blocks, so a set goes to as many tasks as its cluster has blocks and not
   to as many as it has pairs. Pairs inside a component need no comparison, as they cannot change the
   components.
@@ -152,11 +154,14 @@ def _keys_of(signatures: pa.Array) -> pa.Array:
 _keys_of.__annotations__ = {"signatures": pa.Array, "return": pa.Array}
 
 
-def _close(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array((_as_signatures(a) != _as_signatures(b)).sum(axis=1) <= DISTANCE)
+def _share_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether signatures have a key in common: a chunk with at most ``ERRORS`` differing components."""
+    return ((a != b).reshape(-1, CHUNKS, CHUNK).sum(axis=2) <= ERRORS).any(axis=1)
 
 
-_close.__annotations__ = {"a": pa.Array, "b": pa.Array, "return": pa.Array}
+def _fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be links at all."""
+    return 100 * np.minimum(a, b) >= round(100 * SIMILARITY) * np.maximum(a, b)
 
 
 def _set_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -194,10 +199,10 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) that are links by their full sets. Staged."""
-    sig = nodes.select("node", "sig")
-    near = pairs.join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a").join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b")
-    near = near.filter(F.arrow_udf(_close, "boolean")("sig_a", "sig_b")).select("a", "b").distinct()
-    near = stage(near, "close")
+    size = nodes.select("node", "n")
+    near = pairs.join(size.withColumnsRenamed({"node": "a", "n": "n_a"}), "a").join(size.withColumnsRenamed({"node": "b", "n": "n_b"}), "b")
+    near = near.filter(100 * F.least("n_a", "n_b") >= round(100 * SIMILARITY) * F.greatest("n_a", "n_b")).select("a", "b").distinct()
+    near = stage(near, "candidates")
     sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     full = near.join(sets.withColumnsRenamed({"node": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"node": "b", "set": "set_b"}), "b")
     return stage(full.filter(F.arrow_udf(_confirmed, "boolean")("set_a", "set_b")).select("a", "b").distinct(), "links")
@@ -239,7 +244,7 @@ def _block_pairs(df: DataFrame, group: str, rows: int) -> DataFrame:
 
 
 def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) between different components that share a key and are within the distance. Staged.
+    """Links (a, b) between different components that share a key. Staged.
 
     ``keyed`` holds (key, node) of keys with several nodes.
     """
@@ -247,8 +252,7 @@ def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame
     placed = stage(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
     mixed = stage(mixed.filter("low < high").select("key", "size"), "mixed")
-    sig = nodes.select("node", "sig")
-    open_ = placed.join(small(mixed, mixed.count()), "key").join(sig, "node").withColumnRenamed("key", "group")
+    open_ = placed.join(small(mixed, mixed.count()), "key").join(nodes.select("node", "n"), "node").withColumnRenamed("key", "group")
     blocks = _block_pairs(open_, "group", BLOCK_ROWS).select(*_COLUMNS)
     forest = stage(blocks.mapInArrow(_forest, "a long, b long").distinct(), "forest")
     clusters = components(forest).withColumnRenamed("component", "group")
@@ -256,11 +260,11 @@ def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame
     sets = _sets(docs, clusters.select("node"))
     sizes = stage(clusters.groupBy("group").agg(F.count("*").alias("size")), "sizes")
     members = clusters.join(small(sizes, sizes.count()), "group").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    members = members.join(sig, "node").join(sets, "node")
-    return stage(_block_pairs(members, "group", SET_BLOCK_ROWS).select(*_COLUMNS, "set").mapInArrow(_linked, "a long, b long").distinct(), "links")
+    members = members.join(nodes.select("node", "sig"), "node").join(sets, "node").withColumn("n", (F.octet_length("set") / 8).cast("long"))
+    return stage(_block_pairs(members, "group", SET_BLOCK_ROWS).select(*_COLUMNS, "sig", "set").mapInArrow(_linked, "a long, b long").distinct(), "links")
 
 
-_COLUMNS = ["group", "one", "two", "own", "node", "component", "sig"]
+_COLUMNS = ["group", "one", "two", "own", "node", "component", "n"]
 
 
 def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -282,10 +286,9 @@ def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _close_pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of rows of one (group, one, two) and different components within the distance."""
-    group, one, two, own, component = (table.column(c).to_numpy() for c in ("group", "one", "two", "own", "component"))
-    sig = _as_signatures(table.column("sig").combine_chunks())
+def _candidates(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of rows of one (group, one, two) and different components whose sizes allow a link."""
+    group, one, two, own, component, n = (table.column(c).to_numpy() for c in ("group", "one", "two", "own", "component", "n"))
     start = np.append(True, (group[1:] != group[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
     run = np.cumsum(start)
     step = 1
@@ -296,10 +299,9 @@ def _close_pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             right = left + step
             # A pair of rows of one block belongs to the task of that block alone.
             fit = (component[left] != component[right]) & ((one[left] == two[left]) | (own[left] != own[right]))
-            left, right = left[fit], right[fit]
-            close = (sig[left] != sig[right]).sum(axis=1) <= DISTANCE
-            if close.any():
-                yield left[close], right[close]
+            fit &= _fit(n[left], n[right])
+            if fit.any():
+                yield left[fit], right[fit]
         step += 1
         active = active[active + step < len(run)]
         active = active[run[active + step] == run[active]]
@@ -312,7 +314,7 @@ def _pair_batch(table: pa.Table, pairs: list[tuple[int, int]]) -> pa.RecordBatch
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the close pairs of every (group, one, two)."""
+    """A spanning forest of the candidates of every (group, one, two), whose rows share a key."""
     for table in _groups(batches, 50_000):
         parent = np.arange(table.num_rows)
         kept: list[tuple[int, int]] = []
@@ -323,7 +325,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 i = parent[i]
             return i
 
-        for left, right in _close_pairs(table):
+        for left, right in _candidates(table):
             while not (parent[parent] == parent).all():
                 parent[:] = parent[parent]
             apart = parent[left] != parent[right]
@@ -336,15 +338,14 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The close pairs that are links by their full sets."""
+    """The candidates that share a key and are links by their full sets."""
     for table in _groups(batches, 2_000):
         sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("set")]
-        sizes = np.array([len(s) for s in sets])
+        sig = _as_signatures(table.column("sig").combine_chunks())
         kept: list[tuple[int, int]] = []
-        for left, right in _close_pairs(table):
-            # Close pairs whose sizes alone rule a link out need no look at the sets.
-            fit = 100 * np.minimum(sizes[left], sizes[right]) >= round(100 * SIMILARITY) * np.maximum(sizes[left], sizes[right])
-            for i, j in zip(left[fit].tolist(), right[fit].tolist()):
+        for left, right in _candidates(table):
+            shared = _share_key(sig[left], sig[right])
+            for i, j in zip(left[shared].tolist(), right[shared].tolist()):
                 common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if 100 * common >= round(100 * SIMILARITY) * (len(sets[i]) + len(sets[j]) - common):
                     kept.append((i, j))
@@ -379,7 +380,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         d = F.arrow_udf(_digest, "n long, print binary, sig binary")("__text")
         rows = stage(read.select(F.col("__id").alias("doc_id"), d.alias("d")).select("doc_id", "d.*"), "digests")
         # Equal sets are one node, named by its smallest id.
-        nodes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.count("*").alias("rows"))
+        nodes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n").alias("n"), F.count("*").alias("rows"))
         nodes = stage(nodes, "nodes")
         keys = nodes.select("node", F.explode(F.arrow_udf(_keys_of, "array<long>")("sig")).alias("key"))
         stars = keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last").select("key", "first")

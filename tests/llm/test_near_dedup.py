@@ -120,3 +120,21 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(900, 901), (901, 900)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(201)}, 900: 900, 901: 900}
+
+
+def test_links_beyond_the_distance_are_found_by_a_shared_key(spark):
+    """Pairs of similarity just above 0.8 whose signatures differ in more than 15 components: each stands alone."""
+    rng, rows = random.Random(41), []
+    while len(rows) < 8:
+        base = [f"u{rng.randrange(10**9)}" for _ in range(150)]
+        other = list(base)
+        for at in rng.sample(range(75), 8):
+            other[2 * at + 1 - (at == 74)] = f"v{rng.randrange(10**9)}"
+        a, b = shingle_set(" ".join(base)), shingle_set(" ".join(other))
+        common = len(np.intersect1d(a, b))
+        one, two = signature(a), signature(b)
+        shared = set(index_keys(one[None])[0]) & set(index_keys(two[None])[0])
+        if 100 * common >= 80 * (len(a) + len(b) - common) and (one != two).sum() > DISTANCE and shared:
+            rows += [(len(rows), " ".join(base), *[None] * 6), (len(rows) + 1, " ".join(other), *[None] * 6)]
+    check(spark, rows)
+    assert near_duplicates(docs(spark, rows)).filter("NOT kept").count() == 4
