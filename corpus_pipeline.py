@@ -18,6 +18,8 @@ from tandem.llm.toxicity import drop_toxic
 from tandem.session import new_staging_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
+# Words of a shingle of near duplicates; op6_near_dedup alone takes two.
+SHINGLE = 5
 
 # Tokenising, sampling and a trained model are beyond SQL.
 ORACLE_SQL = None
@@ -32,7 +34,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

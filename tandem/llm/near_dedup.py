@@ -119,26 +119,27 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
     return ((slots << (BITS * (CHUNK - ERRORS))) | keys).reshape(len(signatures), -1)
 
 
-def _digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    import xxhash
-
-    worker_store("near_dedup")
-    hashes = _WordHashes()
-    for texts in batches:
-        sizes, prints, signatures = [], [], []
-        for value in texts:
-            shingles = shingle_set(value.as_py(), hashes=hashes)
-            sizes.append(len(shingles))
-            prints.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-            signatures.append(signature(shingles).astype("<u2").tobytes() if len(shingles) else None)
-        yield pa.StructArray.from_arrays(
-            [pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())], ["n", "print", "sig"]
-        )
-    hashes.clear()
-    release()
+def _digest(size: int):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import xxhash
 
+        worker_store("near_dedup")
+        hashes = _WordHashes()
+        for texts in batches:
+            sizes, prints, signatures = [], [], []
+            for value in texts:
+                shingles = shingle_set(value.as_py(), size, hashes)
+                sizes.append(len(shingles))
+                prints.append(xxhash.xxh3_128_digest(shingles.tobytes()))
+                signatures.append(signature(shingles).astype("<u2").tobytes() if len(shingles) else None)
+            yield pa.StructArray.from_arrays(
+                [pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())], ["n", "print", "sig"]
+            )
+        hashes.clear()
+        release()
 
-_digest.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return run
 
 
 def _as_signatures(column: pa.Array) -> np.ndarray:
@@ -159,53 +160,55 @@ def _share_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a != b).reshape(-1, CHUNKS, CHUNK).sum(axis=2) <= ERRORS).any(axis=1)
 
 
-def _fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _fit(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of these sizes can be links at all."""
-    return 100 * np.minimum(a, b) >= round(100 * SIMILARITY) * np.maximum(a, b)
+    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def _set_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    hashes = _WordHashes()
-    for texts in batches:
-        yield pa.array([shingle_set(t.as_py(), hashes=hashes).tobytes() for t in texts], pa.binary())
-    hashes.clear()
-    release()
-
-
-_set_bytes.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+def _set_bytes(size: int):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hashes = _WordHashes()
+        for texts in batches:
+            yield pa.array([shingle_set(t.as_py(), size, hashes).tobytes() for t in texts], pa.binary())
+        hashes.clear()
+        release()
 
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return run
 
-def _confirmed(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for left, right in zip(a, b):
-        x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (left, right))
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(100 * common >= round(100 * SIMILARITY) * (len(x) + len(y) - common))
-    return pa.array(out, pa.bool_())
 
+def _confirmed(percent: int):
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for left, right in zip(a, b):
+            x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (left, right))
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(100 * common >= percent * (len(x) + len(y) - common))
+        return pa.array(out, pa.bool_())
 
-_confirmed.__annotations__ = {"a": pa.Array, "b": pa.Array, "return": pa.Array}
+    run.__annotations__ = {"a": pa.Array, "b": pa.Array, "return": pa.Array}
+    return run
 
 
 # ------------------------------------------------------------------ pairs and components
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """node and full set of the texts whose id is a ``wanted`` node. Staged."""
     wanted = stage(wanted, "wanted")
     held = docs.join(small(wanted, wanted.count()), docs["__id"] == wanted["node"], "left_semi")
-    return stage(held.select(F.col("__id").alias("node"), F.arrow_udf(_set_bytes, "binary")("__text").alias("set")), "sets")
+    return stage(held.select(F.col("__id").alias("node"), F.arrow_udf(_set_bytes(size), "binary")("__text").alias("set")), "sets")
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) that are links by their full sets. Staged."""
-    size = nodes.select("node", "n")
-    near = pairs.join(size.withColumnsRenamed({"node": "a", "n": "n_a"}), "a").join(size.withColumnsRenamed({"node": "b", "n": "n_b"}), "b")
-    near = near.filter(100 * F.least("n_a", "n_b") >= round(100 * SIMILARITY) * F.greatest("n_a", "n_b")).select("a", "b").distinct()
+    n = nodes.select("node", "n")
+    near = pairs.join(n.withColumnsRenamed({"node": "a", "n": "n_a"}), "a").join(n.withColumnsRenamed({"node": "b", "n": "n_b"}), "b")
+    near = near.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
     near = stage(near, "candidates")
-    sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), size)
     full = near.join(sets.withColumnsRenamed({"node": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"node": "b", "set": "set_b"}), "b")
-    return stage(full.filter(F.arrow_udf(_confirmed, "boolean")("set_a", "set_b")).select("a", "b").distinct(), "links")
+    return stage(full.filter(F.arrow_udf(_confirmed(percent), "boolean")("set_a", "set_b")).select("a", "b").distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -243,7 +246,7 @@ def _block_pairs(df: DataFrame, group: str, rows: int) -> DataFrame:
     return dealt.repartition(partitions, group, "one", "two").sortWithinPartitions(group, "one", "two")
 
 
-def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between different components that share a key. Staged.
 
     ``keyed`` holds (key, node) of keys with several nodes.
@@ -254,14 +257,14 @@ def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame
     mixed = stage(mixed.filter("low < high").select("key", "size"), "mixed")
     open_ = placed.join(small(mixed, mixed.count()), "key").join(nodes.select("node", "n"), "node").withColumnRenamed("key", "group")
     blocks = _block_pairs(open_, "group", BLOCK_ROWS).select(*_COLUMNS)
-    forest = stage(blocks.mapInArrow(_forest, "a long, b long").distinct(), "forest")
+    forest = stage(blocks.mapInArrow(_forest(percent), "a long, b long").distinct(), "forest")
     clusters = components(forest).withColumnRenamed("component", "group")
     clusters = stage(clusters, "clusters")
-    sets = _sets(docs, clusters.select("node"))
+    sets = _sets(docs, clusters.select("node"), size)
     sizes = stage(clusters.groupBy("group").agg(F.count("*").alias("size")), "sizes")
     members = clusters.join(small(sizes, sizes.count()), "group").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = members.join(nodes.select("node", "sig"), "node").join(sets, "node").withColumn("n", (F.octet_length("set") / 8).cast("long"))
-    return stage(_block_pairs(members, "group", SET_BLOCK_ROWS).select(*_COLUMNS, "sig", "set").mapInArrow(_linked, "a long, b long").distinct(), "links")
+    return stage(_block_pairs(members, "group", SET_BLOCK_ROWS).select(*_COLUMNS, "sig", "set").mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
 
 
 _COLUMNS = ["group", "one", "two", "own", "node", "component", "n"]
@@ -286,7 +289,7 @@ def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _candidates(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of rows of one (group, one, two) and different components whose sizes allow a link."""
     group, one, two, own, component, n = (table.column(c).to_numpy() for c in ("group", "one", "two", "own", "component", "n"))
     start = np.append(True, (group[1:] != group[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
@@ -299,7 +302,7 @@ def _candidates(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             right = left + step
             # A pair of rows of one block belongs to the task of that block alone.
             fit = (component[left] != component[right]) & ((one[left] == two[left]) | (own[left] != own[right]))
-            fit &= _fit(n[left], n[right])
+            fit &= _fit(n[left], n[right], percent)
             if fit.any():
                 yield left[fit], right[fit]
         step += 1
@@ -313,43 +316,47 @@ def _pair_batch(table: pa.Table, pairs: list[tuple[int, int]]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the candidates of every (group, one, two), whose rows share a key."""
-    for table in _groups(batches, 50_000):
-        parent = np.arange(table.num_rows)
-        kept: list[tuple[int, int]] = []
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        for left, right in _candidates(table):
-            while not (parent[parent] == parent).all():
-                parent[:] = parent[parent]
-            apart = parent[left] != parent[right]
-            for i, j in zip(left[apart].tolist(), right[apart].tolist()):
-                a, b = root(i), root(j)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    kept.append((i, j))
-        yield _pair_batch(table, kept)
-
-
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The candidates that share a key and are links by their full sets."""
-    for table in _groups(batches, 2_000):
-        sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("set")]
-        sig = _as_signatures(table.column("sig").combine_chunks())
-        kept: list[tuple[int, int]] = []
-        for left, right in _candidates(table):
-            shared = _share_key(sig[left], sig[right])
-            for i, j in zip(left[shared].tolist(), right[shared].tolist()):
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * common >= round(100 * SIMILARITY) * (len(sets[i]) + len(sets[j]) - common):
-                    kept.append((i, j))
-        yield _pair_batch(table, kept)
+def _forest(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A spanning forest of the candidates of every (group, one, two), whose rows share a key."""
+        for table in _groups(batches, 50_000):
+            parent = np.arange(table.num_rows)
+            kept: list[tuple[int, int]] = []
+
+            def root(i: int) -> int:
+                while parent[i] != i:
+                    parent[i] = parent[parent[i]]
+                    i = parent[i]
+                return i
+
+            for left, right in _candidates(table, percent):
+                while not (parent[parent] == parent).all():
+                    parent[:] = parent[parent]
+                apart = parent[left] != parent[right]
+                for i, j in zip(left[apart].tolist(), right[apart].tolist()):
+                    a, b = root(i), root(j)
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        kept.append((i, j))
+            yield _pair_batch(table, kept)
+    return run
+
+
+def _linked(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The candidates that share a key and are links by their full sets."""
+        for table in _groups(batches, 2_000):
+            sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("set")]
+            sig = _as_signatures(table.column("sig").combine_chunks())
+            kept: list[tuple[int, int]] = []
+            for left, right in _candidates(table, percent):
+                shared = _share_key(sig[left], sig[right])
+                for i, j in zip(left[shared].tolist(), right[shared].tolist()):
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                        kept.append((i, j))
+            yield _pair_batch(table, kept)
+    return run
 
 
 # ------------------------------------------------------------------ documents
@@ -364,20 +371,20 @@ def _same_id(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return prints.join(nodes.select("print", "node"), "print").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text).
 
-    Documents are linked from a Jaccard similarity of 0.8 of their shingle sets on; a component's id
-    is its smallest doc_id, and that document is kept. NULL, empty and blank texts have no shingles
-    and are linked with nothing. Rows that share an id are one document, with the links of all of
-    them. Rows without an id are linked with nothing, have no component, and are kept. Other columns
-    are ignored.
+    Documents are linked from a Jaccard ``similarity``, in whole percent, of their sets of shingles of
+    ``size`` words on; a component's id is its smallest doc_id, and that document is kept. NULL, empty
+    and blank texts have no shingles and are linked with nothing. Rows that share an id are one
+    document, with the links of all of them. Rows without an id are linked with nothing, have no
+    component, and are kept. Other columns are ignored.
     """
-    spark = docs.sparkSession
+    spark, percent = docs.sparkSession, round(100 * similarity)
     read = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").alias("__text"))
 
     def build() -> DataFrame:
-        d = F.arrow_udf(_digest, "n long, print binary, sig binary")("__text")
+        d = F.arrow_udf(_digest(size), "n long, print binary, sig binary")("__text")
         rows = stage(read.select(F.col("__id").alias("doc_id"), d.alias("d")).select("doc_id", "d.*"), "digests")
         # Equal sets are one node, named by its smallest id.
         nodes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n").alias("n"), F.count("*").alias("rows"))
@@ -387,9 +394,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         stars = stage(stars, "stars")
         keyed = stage(keys.join(small(stars, stars.count()), "key"), "keyed")
         pairs = keyed.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-        links = stage(_confirm(pairs, nodes, read).union(_same_id(rows, nodes)), "links")
+        links = stage(_confirm(pairs, nodes, read, size, percent).union(_same_id(rows, nodes)), "links")
         labels = stage(components(links), "components")
-        more = _rest(keyed.select("key", "node"), nodes, labels, read)
+        more = _rest(keyed.select("key", "node"), nodes, labels, read, size, percent)
         if not more.isEmpty():
             labels = stage(components(links.union(more)), "components")
         # Copies by set follow their node; only sets that several rows have need looking up.
@@ -407,9 +414,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return stage_result(spark, "near-duplicates", build)
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each component; rows without an id stay. Columns stay as they are."""
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, size, similarity)
     gone = stage(found.filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
     left = docs.join(small(gone, gone.count()), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
     again = stage(found.filter("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).count().filter("count > 1").select("__again"), "repeated-ids")

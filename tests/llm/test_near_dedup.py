@@ -138,3 +138,25 @@ def test_links_beyond_the_distance_are_found_by_a_shared_key(spark):
             rows += [(len(rows), " ".join(base), *[None] * 6), (len(rows) + 1, " ".join(other), *[None] * 6)]
     check(spark, rows)
     assert near_duplicates(docs(spark, rows)).filter("NOT kept").count() == 4
+
+
+def test_pipeline_stage_takes_five_words(spark):
+    """The stage against plain sets of five-word shingles; two words would drop ten documents more."""
+    import corpus_pipeline
+
+    sf_dir = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in table.collect()]
+    words = [(t or "").encode().lower().split() for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                label = [label[j] if x == label[i] else x for x in label]
+    smallest = {}
+    for (doc_id, _), x in zip(rows, label):
+        smallest[x] = min(doc_id, smallest.get(x, doc_id))
+    left = corpus_pipeline.near_duplicates(spark, table, sf_dir)
+    assert sorted(r.doc_id for r in left.select("doc_id").collect()) == sorted(smallest.values())
