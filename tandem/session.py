@@ -41,6 +41,13 @@ def new_staging_path(spark: SparkSession, purpose: str) -> str:
     return f"{staging_root(spark)}/tandem/{purpose}-{uuid.uuid4().hex}"
 
 
+def staged_path(spark: SparkSession, purpose: str) -> str:
+    """A new path that goes with the tables staged in the same scope."""
+    path = new_staging_path(spark, purpose)
+    getattr(_scope, "paths", _staged).append(path)
+    return path
+
+
 def stage(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -49,8 +56,7 @@ def stage(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     if path is None:
-        path = new_staging_path(spark, purpose)
-        getattr(_scope, "paths", _staged).append(path)
+        path = staged_path(spark, purpose)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
