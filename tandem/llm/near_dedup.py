@@ -14,10 +14,10 @@ Links are found in two steps, so that a group of n copies costs about n and not
 
 * *Stars.* Every document of a key is compared with the key's smallest document. Pairs whose sizes
   allow it are confirmed on the full sets, and links are joined to components.
-* *Rest.* Only keys that still hold several components are gone through in full: all pairs of
-  different components are compared by size, in arrays, large keys in blocks that different
-  tasks hold. Of the candidates a task reports a spanning forest, which is enough to
-  gather what belongs together in *clusters*. A cluster's pairs that share a key are confirmed on
+* *Rest.* Only keys that still hold several components are gone through in full. Size is all that
+  makes a pair of a key a candidate, so the rows of a key in the order of their sizes, linked to their
+  neighbours where the sizes fit, connect what all its candidates would: a few edges per document,
+  which tasks reduce to forests, and which gather what belongs together in *clusters*. A cluster's pairs that share a key are confirmed on
   the full sets, again in blocks, so a set goes to as many tasks as its cluster has blocks and not
   to as many as it has pairs. Pairs inside a component need no comparison, as they cannot change the
   components.
@@ -33,18 +33,19 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tandem.llm.common import release, small, worker_store
 from tandem.session import stage, stage_result
 
-SHINGLE = 2
+SHINGLE = 5
 SIMILARITY = 0.8
 CHUNKS = 8
 CHUNK = 5
 ERRORS = 1
 BITS = 14
-BLOCK_ROWS = 1_024
+CONTRACT_EDGES = 200_000
 SET_BLOCK_ROWS = 128
 CACHE_WORDS = 250_000
 
@@ -200,24 +201,50 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return stage(held.select(F.col("__id").alias("node"), F.arrow_udf(_set_bytes(size), "binary")("__text").alias("set")), "sets")
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) that are links by their full sets. Staged."""
-    n = nodes.select("node", "n")
-    near = pairs.join(n.withColumnsRenamed({"node": "a", "n": "n_a"}), "a").join(n.withColumnsRenamed({"node": "b", "n": "n_b"}), "b")
-    near = near.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
-    near = stage(near, "candidates")
+    near = stage(pairs, "candidates")
     sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), size)
     full = near.join(sets.withColumnsRenamed({"node": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"node": "b", "set": "set_b"}), "b")
-    return stage(full.filter(F.arrow_udf(_confirmed(percent), "boolean")("set_a", "set_b")).select("a", "b").distinct(), "links")
+    return stage(full.filter(F.arrow_udf(_confirmed(percent), "boolean")("set_a", "set_b")).select("a", "b"), "links")
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of a task's edges (a, b): every node that is not the smallest of its tree, with that one."""
+    parent: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        top = node
+        while (up := parent.get(top, top)) != top:
+            top = up
+        while node != top:
+            parent[node], node = top, parent[node]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array([root(n) for n in nodes], pa.int64()), pa.array(nodes, pa.int64())], ["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, component of every node of ``links`` (a, b): the smallest node it is connected with.
+    """node, component of the nodes of ``links`` (a, b): the smallest node each is connected with. Staged.
 
-    Labels run along links and, by looking up the label's own label, along chains of labels, so the
-    number of rounds grows with the logarithm of a component's diameter.
+    Every task first reduces ``CONTRACT_EDGES`` edges to a forest, at most an edge per node it knows.
+    Where several tasks are needed, labels then run along the forests' edges and, by looking up the
+    label's own label, along chains of labels, so the number of rounds grows with the logarithm of
+    a component's diameter.
     """
-    both = stage(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct(), "edges")
+    links = stage(links.select("a", "b").filter("a <> b"), "edges")
+    tasks = max(1, -(-links.count() // CONTRACT_EDGES))
+    forest = stage(links.coalesce(tasks).mapInArrow(_contract, "a long, b long"), "forest")
+    if tasks == 1:
+        roots = forest.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
+        return forest.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)
+    both = stage(forest.union(forest.select("b", "a")).distinct(), "edges")
     labels = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), "labels")
     while True:
         label = labels.select(F.col("node").alias("b"), "label")
@@ -233,6 +260,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+def _stars(keyed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) among the pairs of a key's smallest node and another one whose sizes fit. Staged.
+
+    Most copies are found with the smallest of all those nodes, so that pair is confirmed first; the
+    others of a node only where they still lie in different components.
+    """
+    fit = 100 * F.least("n", "n_first") >= percent * F.greatest("n", "n_first")
+    pairs = stage(keyed.filter(F.col("node") > F.col("first")).filter(fit).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "star-pairs")
+    links = _confirm(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), docs, size, percent)
+    labels = components(links)
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.withColumnsRenamed({"node": end, "component": f"at_{end}"}), end, "left").withColumn(f"at_{end}", F.coalesce(f"at_{end}", end))
+    return links.union(_confirm(pairs.filter("at_a <> at_b").select("a", "b"), docs, size, percent))
+
+
 def _block_pairs(df: DataFrame, group: str, rows: int) -> DataFrame:
     """Deal every row to all pairs of blocks of its ``group`` that its own block is part of.
 
@@ -246,23 +288,37 @@ def _block_pairs(df: DataFrame, group: str, rows: int) -> DataFrame:
     return dealt.repartition(partitions, group, "one", "two").sortWithinPartitions(group, "one", "two")
 
 
+def _chains(open_: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect the rows (key, node, n) of every key whose sizes fit, directly or over others.
+
+    In the order of their sizes, rows are connected if and only if neighbours are: rows of one size with the
+    smallest of them, and those smallest ones with the next size, if it fits.
+    """
+    reps = stage(open_.groupBy("key", "n").agg(F.min("node").alias("rep")), "sizes-of-keys")
+    level = open_.join(small(reps, reps.count()), ["key", "n"]).filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    by_size = W.partitionBy("key").orderBy("n")
+    steps = reps.select(F.lag("rep").over(by_size).alias("a"), F.col("rep").alias("b"), F.lag("n").over(by_size).alias("n_a"), F.col("n").alias("n_b"))
+    steps = steps.filter((F.col("a") != F.col("b")) & (100 * F.col("n_a") >= percent * F.col("n_b"))).select("a", "b")
+    # Many keys say the same; every task reports only a forest.
+    return level.union(steps).mapInArrow(_contract, "a long, b long")
+
+
 def _rest(keyed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between different components that share a key. Staged.
 
-    ``keyed`` holds (key, node) of keys with several nodes.
+    ``keyed`` holds (key, node, n) of keys with several nodes.
     """
-    placed = keyed.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = keyed.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     placed = stage(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    mixed = stage(mixed.filter("low < high").select("key", "size"), "mixed")
-    open_ = placed.join(small(mixed, mixed.count()), "key").join(nodes.select("node", "n"), "node").withColumnRenamed("key", "group")
-    blocks = _block_pairs(open_, "group", BLOCK_ROWS).select(*_COLUMNS)
-    forest = stage(blocks.mapInArrow(_forest(percent), "a long, b long").distinct(), "forest")
-    clusters = components(forest).withColumnRenamed("component", "group")
-    clusters = stage(clusters, "clusters")
-    sets = _sets(docs, clusters.select("node"), size)
-    sizes = stage(clusters.groupBy("group").agg(F.count("*").alias("size")), "sizes")
-    members = clusters.join(small(sizes, sizes.count()), "group").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    mixed = stage(mixed, "mixed")
+    open_ = placed.join(small(mixed, mixed.count()), "key", "left_semi")
+    members = components(_chains(open_, percent)).withColumnRenamed("component", "group").join(labels, "node", "left")
+    members = stage(members.withColumn("component", F.coalesce("component", "node")), "clusters")
+    sizes = members.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    sizes = stage(sizes.filter("low < high").select("group", "size"), "sizes")
+    members = stage(members.join(small(sizes, sizes.count()), "group"), "members")
+    sets = _sets(docs, members.select("node"), size)
     members = members.join(nodes.select("node", "sig"), "node").join(sets, "node").withColumn("n", (F.octet_length("set") / 8).cast("long"))
     return stage(_block_pairs(members, "group", SET_BLOCK_ROWS).select(*_COLUMNS, "sig", "set").mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
 
@@ -316,32 +372,6 @@ def _pair_batch(table: pa.Table, pairs: list[tuple[int, int]]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
 
 
-def _forest(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A spanning forest of the candidates of every (group, one, two), whose rows share a key."""
-        for table in _groups(batches, 50_000):
-            parent = np.arange(table.num_rows)
-            kept: list[tuple[int, int]] = []
-
-            def root(i: int) -> int:
-                while parent[i] != i:
-                    parent[i] = parent[parent[i]]
-                    i = parent[i]
-                return i
-
-            for left, right in _candidates(table, percent):
-                while not (parent[parent] == parent).all():
-                    parent[:] = parent[parent]
-                apart = parent[left] != parent[right]
-                for i, j in zip(left[apart].tolist(), right[apart].tolist()):
-                    a, b = root(i), root(j)
-                    if a != b:
-                        parent[max(a, b)] = min(a, b)
-                        kept.append((i, j))
-            yield _pair_batch(table, kept)
-    return run
-
-
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The candidates that share a key and are links by their full sets."""
@@ -389,14 +419,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
         # Equal sets are one node, named by its smallest id.
         nodes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n").alias("n"), F.count("*").alias("rows"))
         nodes = stage(nodes, "nodes")
-        keys = nodes.select("node", F.explode(F.arrow_udf(_keys_of, "array<long>")("sig")).alias("key"))
-        stars = keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last").select("key", "first")
-        stars = stage(stars, "stars")
+        keys = nodes.select("node", "n", F.explode(F.arrow_udf(_keys_of, "array<long>")("sig")).alias("key"))
+        stars = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last")).filter("first.node < last")
+        stars = stage(stars.select("key", F.col("first.node").alias("first"), F.col("first.n").alias("n_first")), "stars")
         keyed = stage(keys.join(small(stars, stars.count()), "key"), "keyed")
-        pairs = keyed.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-        links = stage(_confirm(pairs, nodes, read, size, percent).union(_same_id(rows, nodes)), "links")
+        links = stage(_stars(keyed, read, size, percent).union(_same_id(rows, nodes)), "links")
         labels = stage(components(links), "components")
-        more = _rest(keyed.select("key", "node"), nodes, labels, read, size, percent)
+        more = _rest(keyed.select("key", "node", "n"), nodes, labels, read, size, percent)
         if not more.isEmpty():
             labels = stage(components(links.union(more)), "components")
         # Copies by set follow their node; only sets that several rows have need looking up.
