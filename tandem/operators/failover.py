@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tandem.functions.conform import coerce, conform, held_columns, source_column, split_bad_rows
+from tandem.functions.conform import coerce, conform, held_columns, is_time, source_column, split_bad_rows
 from tandem.operators.lookup import Keys, distinct_keys, key_pairs, lookup_join, one_row_per_key, probe
 from tandem.options import LookupOptions
 from tandem.plans.log import LOG_SCHEMA
@@ -217,7 +217,7 @@ def failover_lookup(
     def conformed(hits: DataFrame, by_keys: bool) -> tuple[DataFrame, DataFrame | None]:
         """Declared rows, one per key where asked for, and the rows put aside."""
         if on_bad_row != "quarantine" and dim_unique == "all":
-            return hits, None  # conformed behind the join
+            return converted_once(hits, business, dim_keys, on_bad_row), None
         asked = hits if by_keys else probe(hits, keys_once(), dim_keys)
         if on_bad_row == "quarantine":
             good, bad = split_bad_rows(asked, business)
@@ -253,14 +253,13 @@ def failover_lookup(
         extra = {SOURCE_COLUMN: F.lit(source), COST_COLUMN: F.lit(cost_ms).cast("bigint")}
         declared, bad = conformed(hits, by_keys)
         answered = declared.withColumns({name: extra[lower] for lower, name in metadata.items()})
-        ordered = answered.select(*[field.name for field in schema])
+        noted = [BAD_COLUMN] if BAD_COLUMN in answered.columns else []
+        ordered = answered.select(*[field.name for field in schema], *noted)
         # The answer lies in files by now, so its rows are measured and not estimated; files that are
         # too large compressed need no measuring.
         if hint is None and salt <= 1 and estimated_bytes(hits) <= options.broadcast_bytes and row_bytes(hits) <= options.broadcast_bytes:
             hint = "broadcast"
-        enriched = lookup_join(facts, ordered, keys, how, hint=hint, prefix=prefix, salt=salt)
-        if declared is hits:
-            enriched = conform_joined(enriched, hits, business, dim_keys, prefix, on_bad_row)
+        enriched = raise_bad(lookup_join(facts, ordered, keys, how, hint=hint, prefix=prefix, salt=salt), business, dim_keys, prefix)
 
         def count() -> tuple[int, int]:
             counted = key_table[0] if key_table else distinct_keys(facts, keys, business)
@@ -272,27 +271,54 @@ def failover_lookup(
     raise LookupFailed(attempts, lambda: count_facts(distinct_keys(facts, keys, business)))
 
 
-def conform_joined(
-    enriched: DataFrame, held: DataFrame, schema: T.StructType, keys: list[str], prefix: str, on_bad_row: str
-) -> DataFrame:
-    """Bring the dimension columns of joined rows from the types the store holds to the declared ones."""
-    declared = {
-        prefix + f.name: coerce(enriched[f"`{prefix}{f.name}`"], held.schema[f.name].dataType, f, on_bad_row == "fail").alias(
-            prefix + f.name, metadata=dict(f.metadata or {})
-        )
-        for f in schema
-        if f.name not in keys
-    }
-    return enriched.select(*[declared.get(name, enriched[f"`{name}`"]) for name in enriched.columns])
+BAD_COLUMN = "__tandem_bad"
+
+
+def converted_once(held: DataFrame, schema: T.StructType, keys: list[str], on_bad_row: str) -> DataFrame:
+    """Dimension rows in the declared types, a value that does not convert as NULL.
+
+    With ``on_bad_row="fail"`` a row with such values also says what was wrong with which column, so that
+    conversions run per dimension row and errors are raised per fact, see :func:`raise_bad`.
+    """
+    columns, errors = [], []
+    for field in schema:
+        kind = held.schema[field.name].dataType
+        value = held[f"`{field.name}`"]
+        if field.name in keys or kind == field.dataType and not is_time(field):
+            columns.append(value)
+            errors.append(F.lit(None).cast("string"))
+            continue
+        converted = coerce(value, kind, field, strict=False)
+        columns.append(converted.alias(field.name, metadata=dict(field.metadata or {})))
+        text = F.concat(F.lit(f"[CAST_INVALID_INPUT] column {field.name} of the dimension: "), value.cast("string"), F.lit(f" is no {field.dataType.simpleString()}"))
+        errors.append(F.when(value.isNotNull() & converted.isNull(), text))
+    if on_bad_row != "fail":
+        return held.select(*columns)
+    any_bad = F.coalesce(*errors).isNotNull()
+    return held.select(*columns, F.when(any_bad, F.array(*errors)).alias(BAD_COLUMN))
+
+
+def raise_bad(enriched: DataFrame, schema: T.StructType, keys: list[str], prefix: str) -> DataFrame:
+    """Joined rows without their note of bad values; reading a value that did not convert raises."""
+    note = prefix + BAD_COLUMN
+    if note not in enriched.columns:
+        return enriched
+    checked = {}
+    for at, field in enumerate(schema):
+        if field.name not in keys:
+            name = prefix + field.name
+            error = F.get(enriched[f"`{note}`"], F.lit(at))
+            checked[name] = F.when(error.isNotNull(), F.raise_error(error)).otherwise(enriched[f"`{name}`"]).alias(name, metadata=dict(field.metadata or {}))
+    return enriched.select(*[checked.get(name, enriched[f"`{name}`"]) for name in enriched.columns if name != note])
 
 
 def _open(spark, loader, strategy, options, dim_keys, keys_once) -> tuple[DataFrame, bool]:
-    """Connect to a store and decide how to ask it; not part of the timed query, but bounded as that is."""
+    """Connect to a store and decide how to ask it; not part of the timed query, and bounded apart from it."""
     if hasattr(loader, "for_keys") and strategy != "snapshot":
         wanted = keys_once()
-        raw, by_keys = within(lambda: loader.for_keys(spark, wanted), options.deadline_ms), True
+        raw, by_keys = within(spark, lambda: loader.for_keys(spark, wanted), options.connect_bound_ms), True
     else:
-        raw = within(lambda: loader(spark), options.deadline_ms)
+        raw = within(spark, lambda: loader(spark), options.connect_bound_ms)
         if not isinstance(raw, DataFrame):
             raise TypeError(f"loader returned {type(raw).__name__}, not a DataFrame")
         by_keys = strategy == "keys" or (strategy == "auto" and estimated_bytes(raw) > options.snapshot_bytes)

@@ -1,19 +1,22 @@
 """Ordered analytics over groups of any size: cutting, and greedy spacing.
 
 Some measures run along a group in time order. A window function would put a whole group into one
-task; a group may be a third of all rows. :func:`cut` therefore range-partitions an over-long log
-by (group, order) and numbers the pieces, so that a piece is of bounded size whatever the group.
-Measures are computed per (group, piece) and corrected by what the earlier pieces carry over.
+task; a group may be a third of all rows. :func:`cut` therefore numbers pieces of over-long groups by
+quantiles of their time, so that a piece is of bounded size whatever the group; other groups stay as
+they are, and nothing is moved or written. Measures are computed per (group, piece) and corrected by
+what the earlier pieces carry over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,29 +27,54 @@ PIECE = "__piece"
 PIECE_ROWS = 2_000_000
 
 
+PIECES_PER_SLOT = 8
+LEAST_PIECES = 64
+
+
 @dataclass(frozen=True)
 class Cut:
-    """A log with a piece number; ``whole`` when every group is one piece."""
+    """A log with a piece number: 0 in groups that are one piece, from 1 in those that are cut; ``whole`` when none is."""
 
     df: DataFrame
     whole: bool
 
 
+def micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
 def cut(df: DataFrame, group: Sequence[str], order: Sequence[str], piece_rows: int = PIECE_ROWS) -> Cut:
-    """Number the pieces of each group so that no piece has far more than ``piece_rows`` rows.
+    """Number the pieces of the groups of more than ``piece_rows`` rows, by quantiles of the first ``order`` column.
 
-    The largest group is counted first, which is one partial aggregation. Only when it is too long
-    is the log range-partitioned; it is then staged, since piece numbers have to be the same for
-    every later reader.
+    Groups are counted first, which is one partial aggregation. Only of the long ones are bounds
+    taken, from a sketch, and broadcast as they are few: at most a bound per ``piece_rows`` rows. The
+    piece is a function of the row's time, so it is the same for every reader and the log is neither
+    staged nor shuffled here. Rows of one time share a piece. There are at most ``PIECES_PER_SLOT``
+    pieces for each task that can run at a time (at least ``LEAST_PIECES``); beyond that they grow.
     """
-    largest, total = (
-        df.groupBy(*group).count().agg(F.max("count"), F.sum("count")).first()
-    )
-    if (largest or 0) <= piece_rows:
+    spark = df.sparkSession
+    sizes = stage(df.groupBy(*group).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > piece_rows), "long-groups")
+    largest = sizes.agg(F.max("__rows")).first()[0] or 0
+    if not largest:
         return Cut(df.withColumn(PIECE, F.lit(0)), True)
-    pieces = -(-total // piece_rows)
-    ranged = df.repartitionByRange(pieces, *group, *order).withColumn(PIECE, F.spark_partition_id())
-    return Cut(stage(ranged, "pieces"), False)
+    pieces = min(-(-largest // piece_rows), max(LEAST_PIECES, PIECES_PER_SLOT * spark.sparkContext.defaultParallelism))
+    same = [df[name].eqNullSafe(F.col(f"__group{i}")) for i, name in enumerate(group)]
+    keys = {name: f"__group{i}" for i, name in enumerate(group)}
+    long_ = df.join(F.broadcast(sizes.withColumnsRenamed(keys)), reduce(and_, same)).select(*keys.values(), "__rows", micros(order[0]).alias("__us"))
+    shares = [i / pieces for i in range(1, pieces)]
+    bounds = long_.groupBy(*keys.values(), "__rows").agg(F.percentile_approx("__us", shares, max(10_000, 20 * pieces)).alias("all"))
+    # A group shorter than the longest takes fewer of its bounds.
+    need = F.least(F.ceil(F.col("__rows") / piece_rows), F.lit(pieces))
+    taken = F.transform(F.sequence(F.lit(1).cast("long"), need - 1), lambda i: F.element_at("all", F.greatest(F.lit(1), F.floor(i * pieces / need)).cast("int")))
+    bounds = stage(bounds.select(*keys.values(), F.array_sort(F.array_distinct(taken)).alias("__bounds")), "piece-bounds")
+    stride = max(1, int(pieces**0.5))
+    # Bounds below the row's time are counted in two steps: whole strides of them, then singly.
+    us = micros(order[0])
+    strides = F.size(F.filter(F.transform(F.sequence(F.lit(0), F.floor((F.size("__bounds") - 1) / stride).cast("int")), lambda i: F.element_at("__bounds", i * stride + 1)), lambda b: b < us))
+    begin = F.greatest(strides - 1, F.lit(0)) * stride
+    number = begin + F.size(F.filter(F.slice("__bounds", begin + 1, F.lit(stride)), lambda b: b < us)) + 1
+    numbered = df.join(F.broadcast(bounds), reduce(and_, same), "left")
+    return Cut(numbered.select(*df.columns, F.when(F.col("__bounds").isNull(), 0).otherwise(number).cast("int").alias(PIECE)), False)
 
 
 # ------------------------------------------------------------------ greedy spacing
@@ -75,24 +103,12 @@ def spaced(
     if parts.whole:
         return _scan(_without_entry(parts.df), df.schema, group, order, ts, gap_ms)
 
-    spans = parts.df.groupBy(*group, PIECE).agg(F.count(F.lit(1)).alias("rows"))
-    spans = spans.withColumn("pieces", F.count(F.lit(1)).over(W.partitionBy(*group)))
-    spans = stage(spans.filter("pieces > 1").drop("pieces"), "spans")
-    spanning = parts.df.join(spans.select(*group, PIECE), [*group, PIECE], "left_semi")
-    runs = stage(_runs(spanning, group, ts, gap_ms), "runs")
-    most = runs.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if most <= piece_rows:
-        entries = _entries_from_runs(runs, group, gap_ms)
-    else:
-        entries = _entries_by_rounds(spanning, spans, df.schema, group, order, ts, gap_ms)
+    spanning = parts.df.filter(F.col(PIECE) > 0)
+    spans = stage(spanning.groupBy(*group, PIECE).agg(F.count(F.lit(1)).alias("rows")), "spans")
+    entries = _entries(_runs(spanning, group, ts, gap_ms), spans, group, gap_ms, piece_rows)
     return _scan(_with_entry(parts.df, entries, group), df.schema, group, order, ts, gap_ms)
 
 
-def _entry_schema(df: DataFrame, group: Sequence[str]) -> T.StructType:
-    keys = [df.schema[name] for name in [*group, PIECE]]
-    return T.StructType([*keys, *_ENTRY.fields])
-
-
 def _runs(spanning: DataFrame, group: Sequence[str], ts: str, gap_ms: int) -> DataFrame:
     """What each piece does with every emission it may receive.
 
@@ -103,8 +119,7 @@ def _runs(spanning: DataFrame, group: Sequence[str], ts: str, gap_ms: int) -> Da
     """
     keys = [*group, PIECE]
     gap = gap_ms * 1000
-    us = F.unix_micros(F.col(ts).cast("timestamp")).alias("__us")
-    narrow = spanning.select(*keys, us)
+    narrow = spanning.select(*keys, micros(ts).alias("__us"))
     out = T.StructType([spanning.schema[name] for name in keys])
     for name in ("rows", "start", "exit", "exit_row"):
         out = out.add(name, T.LongType())
@@ -129,51 +144,50 @@ def _runs(spanning: DataFrame, group: Sequence[str], ts: str, gap_ms: int) -> Da
     return narrow.groupBy(*keys).applyInArrow(follow, out)
 
 
-def _entries_from_runs(runs: DataFrame, group: Sequence[str], gap_ms: int) -> DataFrame:
-    """Walk through the pieces of each group, looking up one run per piece."""
-    gap = gap_ms * 1000
-    out = _entry_schema(runs, group)
-
-    def walk(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([(PIECE, "ascending"), ("start", "ascending")])
-        piece, rows, start, end, end_row = (
-            table.column(name).to_numpy() for name in (PIECE, "rows", "start", "exit", "exit_row")
-        )
-        bounds = np.append(np.flatnonzero(np.append(True, piece[1:] != piece[:-1])), len(piece))
-        entries = []
-        last, since = None, 0
-        for begin, stop in zip(bounds[:-1], bounds[1:]):
-            entries.append((int(piece[begin]), last, since))
-            run = begin if last is None else begin + int(np.searchsorted(start[begin:stop], last + gap))
-            if run < stop:
-                last, since = int(end[run]), int(rows[begin] - end_row[run])
-            else:
-                since += int(rows[begin])
-        columns = [pa.array([value.as_py()] * len(entries), table.schema.field(name).type) for value, name in zip(key, group)]
-        columns += [
-            pa.array([entry[0] for entry in entries], pa.int32()),
-            pa.array([entry[1] for entry in entries], pa.int64()),
-            pa.array([entry[2] for entry in entries], pa.int64()),
-        ]
-        return pa.Table.from_arrays(columns, names=out.names)
-
-    return runs.groupBy(*group).applyInArrow(walk, out)
+def _entries(runs: DataFrame, spans: DataFrame, group: Sequence[str], gap_ms: int, piece_rows: int) -> DataFrame:
+    """What each piece of a group receives from the pieces before it.
 
-
-def _entries_by_rounds(spanning, spans, schema, group, order, ts, gap_ms) -> DataFrame:
-    """The same for pieces that are short against the gap, whose runs do not merge.
-
-    Every piece starts with a guess, here that nothing was emitted before it, and the pieces are
-    passed again with what they then hand over, until that no longer changes. Each round settles
-    at least one more piece of every group.
+    A run of a piece leads to the run of a later piece that begins first a gap after it ends. These steps
+    are composed with themselves, so that they lead over 1, 2, 4 … pieces, and the runs really
+    passed are reached by doubling from the first run of each group: in rounds of the logarithm of the
+    number of pieces, each an equi-join of runs.
+    """
+    runs = stage(runs.withColumn("run", F.monotonically_increasing_id()), "runs")
+    steps = stage(_following(runs, group, gap_ms, piece_rows), "steps")
+    first = F.min(F.struct(PIECE, "start", "run"))
+    passed = runs.groupBy(*group).agg(first.alias("first")).select(F.col("first.run").alias("run"))
+    most = spans.groupBy(*group).count().agg(F.max("count")).first()[0] or 1
+    for k in range((most - 1).bit_length()):
+        ahead = passed.join(steps, "run").select(F.col("following").alias("run"))
+        passed = stage(passed.union(ahead), "passed")
+        if (2 << k) < most:
+            second = steps.select(F.col("run").alias("following"), F.col("following").alias("then"))
+            steps = stage(steps.join(second, "following").select("run", F.col("then").alias("following")), "steps")
+    left = runs.join(passed, "run").select(*group, PIECE, F.col("exit").alias("exit_last"), "exit_row")
+    exits = spans.join(left, [*group, PIECE], "left").withColumn("exit_since", F.col("rows") - F.col("exit_row"))
+    return stage(_entries_from_exits(exits, group), "entries")
+
+
+def _following(runs: DataFrame, group: Sequence[str], gap_ms: int, piece_rows: int) -> DataFrame:
+    """run, following: the first run of the group that begins a gap after the end of ``run`` or later, if there is one.
+
+    Beginnings and ends are sorted together over all tasks; what a task does not find among its own rows is
+    the first beginning that later tasks hold of the group.
     """
-    entries = None
-    while True:
-        exits = _exits(_with_entry(spanning, entries, group), schema, group, order, ts, gap_ms, spans)
-        carried = stage(_entries_from_exits(stage(exits, "exits"), group), "entries")
-        if entries is not None and carried.exceptAll(entries).isEmpty():
-            return carried
-        entries = carried
+    nothing = F.lit(None).cast("long")
+    begins = runs.select(*group, F.col("start").alias("at"), F.lit(1).alias("kind"), PIECE, F.col("run").alias("begins"), nothing.alias("ends"))
+    ends = runs.select(*group, (F.col("exit") + gap_ms * 1000).alias("at"), F.lit(0).alias("kind"), PIECE, nothing.alias("begins"), F.col("run").alias("ends"))
+    both = begins.union(ends)
+    order = ["at", "kind", PIECE]
+    tasks = -(-2 * runs.count() // piece_rows)
+    ranged = stage(both.repartitionByRange(max(1, tasks), *group, *order).withColumn("__task", F.spark_partition_id()), "run-ends")
+    onward = W.partitionBy(*group, "__task").orderBy(*order).rowsBetween(0, W.unboundedFollowing)
+    heads = ranged.groupBy(*group, "__task").agg(F.min(F.when(F.col("kind") == 1, F.struct("at", PIECE, "begins"))).alias("head"))
+    later = W.partitionBy(*group).orderBy("__task").rowsBetween(1, W.unboundedFollowing)
+    heads = heads.select(*group, "__task", F.first("head.begins", ignorenulls=True).over(later).alias("later"))
+    found = ranged.withColumn("near", F.first("begins", ignorenulls=True).over(onward)).filter("kind = 0").join(heads, [*group, "__task"])
+    following = F.coalesce("near", "later")
+    return found.filter(following.isNotNull()).select(F.col("ends").alias("run"), following.alias("following"))
 
 
 _ENTRY = T.StructType(
@@ -210,41 +224,23 @@ def _entries_from_exits(exits: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
-def _exits(joined, schema, group, order, ts, gap_ms, spans) -> DataFrame:
-    """Last emission inside each piece, and the rows after it; NULL when a piece emits nothing."""
-    emitted = _scan(joined, schema, group, order, ts, gap_ms, with_position=True)
-    last = emitted.groupBy(*group, PIECE).agg(F.max("__us").alias("exit_last"), F.max("__row").alias("last_row"))
-    return spans.join(last, [*group, PIECE], "left").select(
-        *group, PIECE, "rows", "exit_last", (F.col("rows") - F.col("last_row")).alias("exit_since")
-    )
-
-
-_POSITION = T.StructType(
-    [T.StructField(PIECE, T.IntegerType()), T.StructField("__us", T.LongType()), T.StructField("__row", T.LongType())]
-)
-
-
-def _scan(df, schema, group, order, ts, gap_ms, with_position=False) -> DataFrame:
+def _scan(df, schema, group, order, ts, gap_ms) -> DataFrame:
     """Keep the emitted rows of every (group, piece), in one pass over sorted partitions."""
     keys = [*group, PIECE]
     ready = (
-        df.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
+        df.withColumn("__us", micros(ts))
         .repartition(*keys)
         .sortWithinPartitions(*keys, *order)
         .select(*schema.names, PIECE, *_ENTRY.names, "__us")
     )
     out = T.StructType([*schema.fields, T.StructField("merged", T.LongType())])
-    if with_position:
-        out = T.StructType([*out.fields, *_POSITION.fields])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _Spacing(keys, gap_ms * 1000)
         for batch in batches:
-            kept, merged, rows = state.advance(batch)
+            kept, merged = state.advance(batch)
             taken = batch.take(pa.array(kept, pa.int64()))
             columns = [taken.column(name) for name in schema.names] + [pa.array(merged, pa.int64())]
-            if with_position:
-                columns += [taken.column(PIECE), taken.column("__us"), pa.array(rows, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
     return ready.mapInArrow(emit, out)
@@ -259,12 +255,11 @@ class _Spacing:
         self.key = None
         self.last = None
         self.since = 0
-        self.row = 0
 
-    def advance(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Emitted rows of a sorted batch: row number, rows merged into it, position in its piece."""
+    def advance(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Emitted rows of a sorted batch: row number, rows merged into it."""
         if batch.num_rows == 0:
-            return (np.zeros(0, np.int64),) * 3
+            return (np.zeros(0, np.int64),) * 2
         us = batch.column("__us").to_numpy(zero_copy_only=False)
         starts = self._group_starts(batch)
         ends = np.append(starts[1:], batch.num_rows)
@@ -272,31 +267,30 @@ class _Spacing:
         short = us[ends - 1] - us[starts] < self.gap
         short &= batch.column("__last").is_null().to_numpy(zero_copy_only=False)[starts]
         short[0] = short[-1] = False
-        found = [np.stack([starts[short], np.zeros_like(starts[short]), np.ones_like(starts[short])])]
+        found = [np.stack([starts[short], np.zeros_like(starts[short])])]
 
         heads = batch.take(pa.array(starts[~short]))
         keys = zip(*[heads.column(name).to_pylist() for name in self.keys])
         entries = zip(heads.column("__last").to_pylist(), heads.column("__since").to_pylist())
         for begin, end, key, (last, since) in zip(starts[~short], ends[~short], keys, entries):
             if key != self.key:
-                self.key, self.row, self.last, self.since = key, 0, last, since or 0
-            found.append(self._pass(us[begin:end]) + [[begin], [0], [0]])
-        kept, merged, rows = np.concatenate(found, axis=1)
+                self.key, self.last, self.since = key, last, since or 0
+            found.append(self._pass(us[begin:end]) + [[begin], [0]])
+        kept, merged = np.concatenate(found, axis=1)
         in_order = np.argsort(kept)
-        return kept[in_order], merged[in_order], rows[in_order]
+        return kept[in_order], merged[in_order]
 
     def _pass(self, times: np.ndarray) -> np.ndarray:
-        """Emissions within the rows of one group: offset, merged, position."""
+        """Emissions within the rows of one group: offset, merged."""
         emitted, at, passed = [], 0, -1
         if self.last is not None:
             at = int(np.searchsorted(times, self.last + self.gap))
         while at < len(times):
-            emitted.append((at, self.since + at - passed - 1, self.row + at + 1))
+            emitted.append((at, self.since + at - passed - 1))
             self.last, self.since, passed = int(times[at]), 0, at
             at = int(np.searchsorted(times, self.last + self.gap))
         self.since += len(times) - passed - 1
-        self.row += len(times)
-        return np.array(emitted, np.int64).reshape(-1, 3).T
+        return np.array(emitted, np.int64).reshape(-1, 2).T
 
     def _group_starts(self, batch: pa.RecordBatch) -> np.ndarray:
         """Row numbers at which a group begins within the batch."""

@@ -130,6 +130,7 @@ class LookupOptions:
     kafka_properties: Mapping[str, str] = field(default_factory=dict)
 
     # how the lookup runs on Spark
+    connect_bound_ms: int = 60_000  # for opening a store, which the deadline does not count
     snapshot_bytes: int = 64 * 1024 * 1024
     broadcast_bytes: int = 32 * 1024 * 1024
     max_in_keys: int = 1_000

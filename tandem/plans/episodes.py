@@ -51,7 +51,11 @@ def with_streaks(log: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     if parts.whole:
         carry = {name: F.lit(0) for name in _CARRIED}
     else:
-        counted = counted.join(_carry(counted), [*GROUP, PIECE])
+        # A row per piece of the groups that are cut; all others carry nothing.
+        keys = (*GROUP, PIECE)
+        carried = _carry(counted.filter(F.col(PIECE) > 0)).withColumnsRenamed({name: f"__of_{name}" for name in keys})
+        same = [F.col(name).eqNullSafe(F.col(f"__of_{name}")) for name in keys]
+        counted = counted.join(F.broadcast(carried), same, "left")
         carry = {name: F.coalesce(F.col(name), F.lit(0)) for name in _CARRIED}
     fails_then = F.coalesce(F.col("__fails_then") + carry["__fails_in"], carry["__fails_then_in"])
     keys_then = F.coalesce(F.col("__keys_then") + carry["__keys_in"], carry["__keys_then_in"])

@@ -141,15 +141,19 @@ class Timed:
     elapsed_ms: float
 
 
-def within(action: Callable[[], Any], deadline_ms: int) -> Any:
+def within(spark: SparkSession, action: Callable[[], Any], bound_ms: int) -> Any:
     """What ``action`` returns or raises, or :class:`DeadlineExceeded` if it has not come back by then.
 
-    For calls that wait outside Spark, such as connecting: the thread that waits is left behind.
+    For calls that wait outside Spark jobs, such as connecting. An action that is late is interrupted in
+    the JVM, where drivers and sources wait, and its thread ends; one that waits in Python cannot be
+    interrupted, and its thread goes with the process at the latest.
     """
     box: dict[str, Any] = {}
 
     def run() -> None:
         try:
+            # Each Python thread has a JVM thread of its own, which does what this one asks for.
+            box["thread"] = spark._jvm.java.lang.Thread.currentThread()
             box["result"] = action()
         except BaseException as error:  # handed over to the caller
             box["error"] = error
@@ -157,9 +161,11 @@ def within(action: Callable[[], Any], deadline_ms: int) -> Any:
     waiting = InheritableThread(target=run)
     waiting.daemon = True
     waiting.start()
-    waiting.join(deadline_ms / 1000)
+    waiting.join(bound_ms / 1000)
     if waiting.is_alive():
-        raise DeadlineExceeded(f"opening the store took over {deadline_ms}ms")
+        if "thread" in box:
+            box["thread"].interrupt()
+        raise DeadlineExceeded(f"opening the store took over {bound_ms}ms")
     if "error" in box:
         raise box["error"]
     return box["result"]

@@ -31,6 +31,7 @@ from tandem.plans.stats import (
     stats_lines,
     with_rates,
 )
+from tandem.session import stage
 
 ALERTS = LookupOptions(
     table_name="dim_account", alert_threshold=2, alert_bootstrap="b:1", alert_topic="t", alert_cooldown_min=0
@@ -271,16 +272,53 @@ def test_throttle_does_not_depend_on_the_cut(spark, gap_s, fail):
         assert got == greedy(steps, gap_s * 1000)
 
 
-def test_long_groups_by_rounds(spark, monkeypatch):
-    """Both ways of handing emissions from piece to piece give the same rows."""
-    used = []
-    rounds = sequence._entries_by_rounds
-    monkeypatch.setattr(sequence, "_entries_by_rounds", lambda *a: used.append(1) or rounds(*a))
-    steps = random_log(spark, 300, 3, 1.0)
+@pytest.mark.parametrize("pieces", [8, 16, 64])
+def test_rounds_grow_with_the_logarithm_of_the_pieces(spark, monkeypatch, pieces):
+    """Emissions are handed on by doubling, also where pieces are short against the gap."""
+    staged = []
+    monkeypatch.setattr(sequence, "stage", lambda df, purpose, path=None: staged.append(purpose) or stage(df, purpose, path))
+    steps = random_log(spark, 10 * pieces, 3, 1.0)
+    log = log_rows(spark, steps).unionByName(log_rows(spark, steps[:9], table_name="dim_short"))
+    got = spaced(log, ["table_name"], ["ts", "batch_id"], "ts", 20_000, 10)
+    assert sorted((r.batch_id, r.merged) for r in got.filter("table_name = 'dim_account'").collect()) == greedy(steps, 20_000)
+    assert [(r.batch_id, r.merged) for r in got.filter("table_name = 'dim_short'").orderBy("batch_id").collect()] == greedy(steps[:9], 20_000)
+    assert staged.count("passed") <= pieces.bit_length() + 1
+    assert staged.count("steps") <= pieces.bit_length() + 1
+
+
+def test_equal_times_and_groups_without_a_name(spark):
+    """Rows of one time lie in one piece, and NULL is a group like others."""
+    steps = [(1_000 * (i // 40), i % 7, True) for i in range(400)]
     log = log_rows(spark, steps)
-    got = spaced(log, ["table_name"], ["ts", "batch_id"], "ts", 20_000, 50)
-    assert sorted((r.batch_id, r.merged) for r in got.collect()) == greedy(steps, 20_000)
-    assert used
+    whole = with_streaks(log)
+    pieces = with_streaks(log, piece_rows=37)
+    assert pieces.exceptAll(whole).count() == 0 and pieces.count() == 400
+    got = spaced(log, ["table_name"], ["ts", "batch_id"], "ts", 2_500, 30)
+    assert sorted((r.ts, r.merged) for r in got.collect()) == [(START + timedelta(milliseconds=ms), m) for ms, m in [(0, 0), (3_000, 119), (6_000, 119), (9_000, 119)]]
+    unnamed = with_streaks(log.withColumn("table_name", F.lit(None).cast("string")), piece_rows=37)
+    assert unnamed.agg(F.max("streak"), F.count("*")).first() == (400, 400)
+
+
+def test_short_groups_are_left_alone(spark):
+    """Cutting a long group neither stages nor shuffles the log, and short groups are one piece."""
+    steps = random_log(spark, 300, 5, 0.5)
+    log = log_rows(spark, steps).unionByName(log_rows(spark, steps[:20], subtask="2/4"))
+    parts = cut(log, ["table_name", "subtask"], ["ts", "batch_id"], 50)
+    assert parts.df.filter("subtask = '2/4'").agg(F.max(sequence.PIECE)).first()[0] == 0
+    assert parts.df.filter("subtask = '1/4'").agg(F.min(sequence.PIECE)).first()[0] == 1
+    plan = parts.df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_ten_million_rows_of_one_group(spark):
+    rows = spark.range(10_500_000).select(
+        F.when(F.col("id") < 10_000_000, "long").otherwise(F.concat(F.lit("short"), F.col("id") % 100)).alias("g"),
+        F.timestamp_millis(F.pmod(F.xxhash64("id"), F.lit(10**10))).alias("ts"),
+    )
+    parts = cut(rows, ["g"], ["ts"], 1_000_000)
+    sizes = {tuple(r[:2]): r[2] for r in parts.df.groupBy("g", sequence.PIECE).count().collect()}
+    assert len(sizes) == 110 and max(sizes.values()) <= 2_000_000
+    assert all(piece == 0 for g, piece in sizes if g != "long")
 
 
 def test_pieces_are_bounded(spark):

@@ -1,6 +1,7 @@
 """Lookup join, probes and failover."""
 
 import os
+import threading
 import time
 
 import pytest
@@ -325,10 +326,37 @@ def test_answer_survives_the_store_going_down(spark, facts, dim, tmp_path):
 
 
 def test_a_store_that_never_opens(facts, dim):
-    result = look(facts, lambda s: time.sleep(600), lambda s: dim, LookupOptions(deadline_ms=9_000, operator_timeout_ms=60_000))
+    result = look(facts, lambda s: time.sleep(600), lambda s: dim, LookupOptions(deadline_ms=9_000, connect_bound_ms=2_000))
     assert result.source == "doris" and result.attempts[0].error_class == "DeadlineExceeded"
 
 
+def test_a_late_connect_is_ended_in_the_jvm(spark):
+    """What waits in the JVM is interrupted, so no thread is left behind."""
+    from tandem.session import DeadlineExceeded, within
+
+    before = {t.name for t in threading.enumerate()}
+    with pytest.raises(DeadlineExceeded):
+        within(spark, lambda: spark._jvm.java.lang.Thread.sleep(600_000), 300)
+    deadline = time.monotonic() + 10
+    while {t.name for t in threading.enumerate()} - before and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not {t.name for t in threading.enumerate() if t.is_alive()} - before
+
+
+def test_conversions_run_once_per_dimension_row(spark, facts):
+    """Casts and patterns stand below the join; above it a fact only looks whether its row has a note."""
+    schema = T.StructType([T.StructField("pk", T.StringType()), T.StructField("v", T.IntegerType()), T.StructField("d", T.DateType())])
+    store = spark.createDataFrame([("a", "1", "2024-01-02"), ("b", "x", "no date")], "pk string, v string, d string")
+    result = look(facts, lambda s: store, boom(), schema=schema)
+    plan = result.df._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join", 1)
+    above = above.replace("cast(raise_error", "")  # the type of what never returns
+    assert "cast(" not in above and "RLIKE" not in above.upper() and "RLIKE" in below.upper()
+    assert rows(result.df.filter("id = 1").select("id", "v"), "id", "v") == [(1, 1)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT.*column d"):
+        result.df.select("id", "d").collect()
+
+
 def test_bad_rows(spark, facts):
     schema = T.StructType([T.StructField("pk", T.StringType()), T.StructField("v", T.IntegerType())])
     store = spark.createDataFrame([("a", "1"), ("b", "x")], "pk string, v string")
