@@ -36,6 +36,7 @@ BLOCK = 128
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 18
 MAX_PARTITIONS = 1_000_000
+BEGIN_CHARS = 32
 
 _HEADER = "<4sIIQ"
 _MAGIC = b"TPF1"
@@ -184,7 +185,8 @@ def write_token_files(
     """Encode ``text`` of every row and write the ids to ``path`` in ascending order of ``doc_id``.
 
     NULL text counts as empty; every document ends with ``end_id``. Rows without an id come first,
-    rows with the same id stand in order of their text, and every row is written, repeated or not.
+    rows with the same id stand in order of how their text begins, then as they were read, so that
+    they can be dealt to several tasks; every row is written, repeated or not.
     A document is never cut: a segment is closed by the document that fills it. Other columns are
     ignored. An empty table gives a dataset without segments.
     """
@@ -218,8 +220,10 @@ def write_token_files(
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(partitions, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumns({"begin": F.substring("text", 1, BEGIN_CHARS), "place": F.monotonically_increasing_id()})
+        .repartitionByRange(partitions, "doc_id", "begin", "place")
+        .sortWithinPartitions("doc_id", "begin", "place")
+        .select("doc_id", "text")
     )
     ordered.mapInArrow(encode, _SEGMENTS).write.mode("overwrite").option("compression", "none").parquet(path)
 

@@ -100,3 +100,26 @@ def test_groups_hold_about_equal_bytes():
     groups = byte_groups(sizes, 110)
     assert sorted(i for g in groups for i in g) == list(range(7))
     assert max(sum(sizes[i] for i in g) for g in groups) <= 120
+
+
+def test_rows_of_one_id_and_of_none_are_dealt_to_many_tasks(spark, tmp_path):
+    """A third of the rows has one id, a third none, and half of each is one text: no task gets much more than others."""
+    rows = [(i if i % 3 == 0 else 7 if i % 3 == 1 else None, "the same text" if i % 2 else f"{i} of many") for i in range(1_200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    write_token_files(table, str(tmp_path / "t"), public_tokenizers.path("byte_bpe_50k.json"), partitions=12)
+    counts = [r.n for r in read_token_files(spark, str(tmp_path / "t"), with_ids=False).groupBy("doc_id").count().selectExpr("count AS n").collect()]
+    assert sum(counts) == 1_200
+    parts = [r["n"] for r in spark.read.parquet(str(tmp_path / "t")).groupBy("part").sum("n_ids").withColumnRenamed("sum(n_ids)", "n").collect()]
+    assert len(parts) == 12 and max(parts) < 3 * sum(parts) / 12
+
+
+def test_old_pieces_come_back():
+    from tandem.llm import encoding
+
+    encoded = []
+    pieces = encoding._Pieces(lambda piece: encoded.append(piece) or piece.upper())
+    for i in range(encoding.CACHE_PIECES + 1):
+        pieces[str(i)]
+    pieces.trim()
+    assert not len(pieces) and pieces["5"] == "5" and encoded.count("5") == 1
+    assert pieces["x" * 41] == "X" * 41 and "x" * 41 not in pieces
