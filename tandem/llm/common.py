@@ -9,8 +9,11 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tandem.session import stage
+
 # Rows up to which a table of ids or keys is broadcast; a few MB per column.
 BROADCAST_ROWS = 200_000
 
@@ -58,3 +61,18 @@ def partitions_for(df: DataFrame, size: int, bytes_each: int = 64 << 20) -> int:
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the counted ``rows`` are within the limit, else leave the join to Spark."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df`` with the number from 0 of each row among those of the same ``keys`` (not NULL), in any order. Staged.
+
+    Equal keys may be in many tasks: each numbers its own rows and begins after what earlier tasks hold.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(tasks, *keys, "__row").sortWithinPartitions(*keys)
+    placed = stage(spread.withColumn("__row", F.monotonically_increasing_id()), "placed").withColumn("__task", F.shiftright("__row", 33))
+    parts = placed.groupBy(*keys, "__task").agg(F.min("__row").alias("first"), F.count("*").alias("n"))
+    earlier = F.sum("n").over(W.partitionBy(*keys).orderBy("__task").rowsBetween(W.unboundedPreceding, -1))
+    parts = parts.select(*keys, "__task", (F.coalesce(earlier, F.lit(0)) - F.col("first")).alias("__shift"))
+    joined = placed.join(parts, [*keys, "__task"]).withColumn(name, F.col("__row") + F.col("__shift"))
+    return joined.select(*df.columns, name)

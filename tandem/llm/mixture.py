@@ -5,10 +5,12 @@ is clamped there, and the excess is dealt to the others by weight until none is
 
 A source's factor is target over size: its documents are repeated the whole part of it, and some
 once more. Which ones is decided in *lanes*, random sets of about ``lane_docs`` documents of one
-source, so that a hot source is many lanes. A lane goes through its documents from the largest to
-the smallest and carries what is still due: a document is taken once more when that passes a seeded
-random part of its size. What is still due at the end is made up for by taking or leaving one document,
-or exchanging two, a few times. Every document of a source can be drawn.
+source, so that a hot source is many lanes. Rows of one id and text are one document with a
+multiplicity. A lane goes through its documents from the largest to the smallest and carries what is
+still due: a document is taken once more when that passes a seeded random part of its size. What is
+still due at the end is settled exactly: of all ways of taking the lane's smallest documents, each
+up to ``max_epochs`` times, the one that leaves least due is found through the sums they can reach.
+Every document of a source can be drawn, and the result depends on the rows alone, not on where they lie.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tandem.llm.common import small
+from tandem.llm.common import numbered, small
 from tandem.session import stage, stage_result
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -27,7 +29,8 @@ SHARE = 1.5
 MAX_EPOCHS = 2.0
 LANE_DOCS = 1_000
 SEED = 20
-SETTLING = 5
+POOL = 40
+SUM_BITS = 1 << 22
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -40,124 +43,169 @@ def text_size(text: str | Column) -> Column:
 def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
     """source, source_size, docs, target of every source of ``sized`` (source, size).
 
-    Weights go round over the sources by code point, NULL last. Only sums per source are brought
-    together: a row per source, and rounds of totals over them.
+    Weights go round over the sources by code point, NULL last. Only a row per source is brought
+    together. In the order of cap over weight, the sources that stop at their cap come first: the ones
+    whose cap is below their share of what earlier ones leave.
     """
     rank = F.row_number().over(W.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))) - 1
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     ranked = stage(sums.select("*", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")).alias("weight")), "sources")
-    left = share * (ranked.agg(F.sum("source_size")).first()[0] or 0)
     cap = F.col("source_size") * F.lit(max_epochs)
-    # In a round, sources above their cap are those whose cap per weight is below the unit so far.
-    unit = None
-    while True:
-        clamped = F.lit(False) if unit is None else (cap / F.col("weight") < unit)
-        row = ranked.filter("weight > 0").agg(
-            F.sum(F.when(~clamped, F.col("weight"))).alias("weight"),
-            F.coalesce(F.sum(F.when(clamped, cap)), F.lit(0.0)).alias("fixed"),
-        ).first()
-        if not row["weight"]:
-            break
-        following = (left - row["fixed"]) / row["weight"]
-        if unit is not None and following <= unit:
-            break
-        unit = following
-    even = F.lit(0.0) if unit is None else F.least(F.col("weight") * F.lit(float(unit)), cap)
+    order = W.orderBy(cap / F.col("weight"), F.col("source").isNull(), F.col("source").cast("binary"))
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    rest = order.rowsBetween(0, W.unboundedFollowing)
+    left = share * (ranked.agg(F.sum("source_size")).first()[0] or 0)
+    # What a unit of weight gets if a source and all later ones stop at no cap: it rises as long as the sources before it should.
+    unit = ranked.filter("weight > 0").select(((F.lit(left) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))) / F.sum("weight").over(rest)).alias("unit")).agg(F.max("unit")).first()[0]
+    even = cap if unit is None else F.least(F.col("weight") * F.lit(float(unit)), cap)
     return ranked.select("source", "source_size", "docs", F.when(F.col("weight") > 0, even).otherwise(0.0).alias("target"))
 
 
+def _identity() -> Column:
+    """One value per document: its id, source and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
+
+
+def _decided(sized: DataFrame, weights, share, max_epochs, seed: int, lane_docs: int) -> DataFrame:
+    """what, doc_id, source, size, source_size, target, rows, repeats of every document. Staged.
+
+    ``repeats`` is what all of the ``rows`` rows of a document are taken together.
+    """
+    sources = stage(source_targets(sized, weights, share, max_epochs), "targets")
+    items = sized.groupBy("what", "doc_id", "source", "size").agg(F.count("*").alias("rows"))
+    with_target = items.alias("d").join(small(sources, sources.count()).alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")), "left")
+    lanes = F.ceil(F.col("docs") / F.lit(lane_docs))
+    mark = F.pmod(F.xxhash64(F.lit(seed + 1), "what"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    laned = with_target.select(
+        "what", "d.doc_id", "d.source", "size", "source_size", "target", "rows", F.pmod(F.xxhash64(F.lit(seed), "what"), lanes).alias("lane"), mark.alias("u")
+    )
+    most = int(np.ceil(max_epochs))
+
+    def take(group: pa.Table) -> pa.Table:
+        return group.append_column("repeats", pa.array(lane_repeats(group, most), pa.int64()))
+
+    schema = "what long, doc_id long, source string, size long, source_size long, target double, rows long, lane long, u double, repeats long"
+    return stage(laned.groupBy("source", "lane").applyInArrow(take, schema).drop("lane", "u"), "documents-of-the-mix")
+
+
+def _share(number: str | Column) -> Column:
+    """What the row of this number takes of its document's repeats: the first ones may take one more."""
+    number = F.col(number) if isinstance(number, str) else number
+    return (F.floor(F.col("repeats") / F.col("rows")) + F.when(number < F.col("repeats") % F.col("rows"), 1).otherwise(0)).cast("long")
+
+
+def _per_row(rows: DataFrame, items: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows``, which have ``what``, with ``columns`` of their document and ``times``, the row's own repeats.
+
+    Only rows of documents whose rows are not all taken alike are numbered.
+    """
+    even = items.filter("repeats % rows = 0").select("what", "repeats", "rows", *columns)
+    uneven = stage(items.filter("repeats % rows <> 0").select("what", "repeats", "rows", *columns), "uneven")
+    out = rows.join(even, "what").withColumn("times", _share(F.lit(0)))
+    count = uneven.count()
+    if not count:
+        return out
+    held = numbered(rows.join(small(uneven.select("what"), count), "what", "left_semi"), ["what"], "__number")
+    return out.unionByName(held.join(small(uneven, count), "what").withColumn("times", _share("__number")).drop("__number"))
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    columns = [_identity().alias("what"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_size("text").alias("size")]
+    return stage(docs.select(*columns), "sized")
+
+
 def sample_repetitions(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed: int = SEED, lane_docs: int = LANE_DOCS) -> DataFrame:
     """doc_id, source, size, source_size, target, repeats and taken of every row.
 
-    NULL text has size 0 and is repeated like the rest of its source. Rows with the same id and the
-    same size count as often as they stand there; if only some are repeated, which of them does not
-    matter. Rows without an id are drawn like others. Other columns are ignored.
+    NULL text has size 0 and is repeated like the rest of its source. Rows of one id, source and text
+    count as often as they stand there; if only some are repeated, which of them does not matter.
+    Rows without an id are drawn like others. Other columns are ignored.
     """
-    spark = docs.sparkSession
 
     def build() -> DataFrame:
-        sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_size("text").alias("size"))
-        sized = stage(sized, "sized")
-        sources = stage(source_targets(sized, weights, share, max_epochs), "targets")
-        with_target = sized.alias("d").join(
-            small(sources, sources.count()).alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")), "left"
-        )
-        draw = F.xxhash64(F.lit(seed), F.col("d.doc_id"))
-        lanes = F.ceil(F.col("docs") / F.lit(lane_docs))
-        laned = with_target.select(
-            "d.doc_id", "d.source", "size", "source_size", "target", F.pmod(draw, lanes).alias("lane"),
-            (F.pmod(F.xxhash64(F.lit(seed + 1), F.col("d.doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"),
-        )
-
-        def take(group: pa.Table) -> pa.Table:
-            return group.append_column("repeats", pa.array(lane_repeats(group), pa.int64()))
-
-        schema = "doc_id long, source string, size long, source_size long, target double, lane long, u double, repeats long"
-        return laned.groupBy("source", "lane").applyInArrow(take, schema).drop("lane", "u").withColumn("taken", F.col("size") * F.col("repeats"))
-
-    return stage_result(spark, "mixture", build)
-
-
-def lane_repeats(group: pa.Table) -> list[int]:
-    """How often every row of a lane is taken, in the order of the rows."""
-    sizes, marks, ids = (group.column(c).to_pylist() for c in ("size", "u", "doc_id"))
+        sized = _sized(docs)
+        items = _decided(sized, weights, share, max_epochs, seed, lane_docs)
+        # A document of one row is its own row; the others are dealt to their rows.
+        single = items.filter("rows = 1").withColumnRenamed("repeats", "times")
+        several = _per_row(sized, items.filter("rows > 1"), ["source_size", "target"])
+        columns = ["doc_id", "source", "size", "source_size", "target", F.col("times").alias("repeats"), (F.col("size") * F.col("times")).alias("taken")]
+        return single.select(*columns).unionByName(several.select(*columns))
+
+    return stage_result(docs.sparkSession, "mixture", build)
+
+
+def lane_repeats(group: pa.Table, most: int = 2) -> list[int]:
+    """How often every document of a lane is taken, over all its rows, in the order of the rows of ``group``."""
+    sizes, counts, marks, names = (group.column(c).to_pylist() for c in ("size", "rows", "u", "what"))
     total, target = group.column("source_size")[0].as_py(), group.column("target")[0].as_py()
     factor = target / total if total else 0.0
     whole, part = int(factor), factor - int(factor)
+    repeats, due = [whole * n for n in counts], 0.0
     # In an order of their own, so that it does not matter how the rows arrive.
-    order = sorted(range(len(sizes)), key=lambda r: (-sizes[r], marks[r], ids[r] is None, ids[r] or 0))
-    extra, due = np.zeros(len(order), bool), 0.0
-    for i, row in enumerate(order):
-        due += part * sizes[row]
-        if part and due >= marks[row] * sizes[row] and sizes[row]:
-            extra[i] = True
-            due -= sizes[row]
-    if part:
-        settle(np.array([sizes[row] for row in order], float), extra, due)
-    repeats = [whole] * len(sizes)
-    for i in np.flatnonzero(extra):
-        repeats[order[i]] += 1
+    order = sorted(range(len(sizes)), key=lambda r: (-sizes[r], marks[r], names[r]))
+    for row in order:
+        size, count = sizes[row], counts[row]
+        due += part * size * count
+        if part and size and due >= marks[row] * size:
+            once_more = min(count, 1 + int((due - marks[row] * size) // size))
+            repeats[row] += once_more
+            due -= size * once_more
+    pool = [row for row in reversed(order) if sizes[row]][:POOL]
+    if abs(due) >= 0.5 and pool:
+        settle(sizes, counts, repeats, pool, due, most)
     return repeats
 
 
-def settle(sizes: np.ndarray, extra: np.ndarray, due: float) -> None:
-    """Change which documents are taken once more so that less is due, one flip or exchange at a time."""
-    change = np.where(extra, sizes, -sizes)  # of what is due, when a document is flipped
-    for _ in range(SETTLING):
-        one = int(np.abs(due + change).argmin())
-        taken, left = np.flatnonzero(extra), np.flatnonzero(~extra)
-        best, flips = abs(due + change[one]), [one]
-        if len(taken) and len(left):
-            order = left[np.argsort(sizes[left], kind="stable")]
-            # Exchanging a for b changes what is due by size(a) - size(b): look for size(b) near due + size(a).
-            at = np.searchsorted(sizes[order], due + sizes[taken])
-            for near in (np.clip(at, 0, len(order) - 1), np.clip(at - 1, 0, len(order) - 1)):
-                rest = np.abs(due + sizes[taken] - sizes[order[near]])
-                i = int(rest.argmin())
-                if rest[i] < best:
-                    best, flips = rest[i], [int(taken[i]), int(order[near[i]])]
-        if best >= abs(due):
-            return
-        for row in flips:
-            due += change[row]
-            change[row], extra[row] = -change[row], not extra[row]
+def settle(sizes: list[int], counts: list[int], repeats: list[int], pool: list[int], due: float, most: int) -> None:
+    """Take the documents of ``pool`` so that least is due, each row up to ``most`` times.
+
+    The sums that the first documents can reach are the set bits of an integer. Multiples of a document are
+    shifts by its size times 1, 2, 4 …, and the way to the best sum is read off backwards. Sums beyond
+    ``SUM_BITS`` are counted in units of more than a word.
+    """
+    reach = sum(sizes[row] * counts[row] * most for row in pool)
+    unit = max(1, -(-reach // SUM_BITS))
+    wanted = (sum(sizes[row] * repeats[row] for row in pool) + due) / unit
+    steps: list[tuple[int, int]] = []
+    for row in pool:
+        left, times = counts[row] * most, 1
+        while left:
+            times = min(times, left)
+            steps.append((row, times))
+            left, times = left - times, times * 2
+    sums = [1]
+    for row, times in steps:
+        sums.append(sums[-1] | sums[-1] << round(sizes[row] * times / unit))
+    below = (sums[-1] & (1 << int(wanted) + 1) - 1).bit_length() - 1 if wanted >= 0 else 0
+    above = sums[-1] >> int(wanted) + 1 if wanted >= 0 else 0
+    best = below
+    if above:
+        upper = int(wanted) + 1 + (above & -above).bit_length() - 1
+        best = upper if upper - wanted < wanted - below else below
+    if unit == 1 and abs(best - wanted) >= abs(due):
+        return
+    for row in pool:
+        repeats[row] = 0
+    for (row, times), earlier in zip(reversed(steps), reversed(sums[:-1])):
+        shift = round(sizes[row] * times / unit)
+        if not earlier >> best & 1:
+            repeats[row] += times
+            best -= shift
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; columns stay as they are.
 
-    Rows that share id and source are dealt the repetitions of that id in any order.
+    Rows of one id, source and text are dealt its repetitions as evenly as they go.
     """
 
     def build() -> DataFrame:
-        drawn = sample_repetitions(docs, weights, share, max_epochs, seed)
-        return drawn.groupBy(F.struct("doc_id", "source").alias("__key")).agg(F.sort_array(F.collect_list("repeats")).alias("__repeats"))
-
-    plan = stage_result(docs.sparkSession, "repetitions", build)
-    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"))
-    joined = docs.withColumn("__key", key).join(plan, "__key")
-    turn = F.lit(1)
-    if not plan.filter(F.size("__repeats") > 1).isEmpty():
-        turn = F.row_number().over(W.partitionBy("__key").orderBy(F.lit(1)))
-    times = F.element_at("__repeats", F.col("__turn")).cast("int")
-    return joined.withColumn("__turn", turn).withColumn("__n", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+        decided = _decided(_sized(docs), weights, share, max_epochs, seed, LANE_DOCS)
+        return decided.filter("repeats > 0").select(F.col("what").alias("__what"), "rows", "repeats")
+
+    items = stage_result(docs.sparkSession, "repetitions", build).withColumnRenamed("__what", "what")
+    renamed = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(_identity().alias("what"), *[F.col(f"`{c}`").alias(alias) for c, alias in renamed.items()])
+    # A row of an uneven document may take nothing.
+    dealt = _per_row(rows, items, []).withColumn("__n", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))))
+    return dealt.select(*[F.col(alias).alias(c) for c, alias in renamed.items()])

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tandem.llm.mixture import mix, sample_repetitions, source_targets
+from tandem.llm.mixture import mix, sample_repetitions, settle, source_targets
 
 from .helpers import docs, odd_rows
 
@@ -73,3 +73,53 @@ def test_odd_rows(spark):
     assert (sizes[0], sizes[2], sizes[3], sizes[4], sizes[6]) == (8, 0, 0, 0, 40_000)
     assert mix(docs(spark, rows)).count() == drawn.agg(F.sum("repeats")).first()[0]
     assert sample_repetitions(docs(spark, [])).collect() == [] and mix(docs(spark, [])).collect() == []
+
+
+def test_settling_finds_the_best_choice():
+    from itertools import product
+
+    rng = random.Random(6)
+    for _ in range(60):
+        sizes = [rng.randrange(1, 60) for _ in range(5)]
+        counts = [1, 1, 1, rng.choice([1, 2]), 1]
+        repeats = [rng.randrange(c + 1) for c in counts]
+        due = rng.uniform(-80, 200)
+        wanted = sum(s * r for s, r in zip(sizes, repeats)) + due
+        best = min(abs(sum(s * t for s, t in zip(sizes, times)) - wanted) for times in product(*[range(2 * c + 1) for c in counts]))
+        settle(sizes, counts, repeats, list(range(5)), due, 2)
+        assert abs(sum(s * r for s, r in zip(sizes, repeats)) - wanted) == pytest.approx(best)
+        assert all(0 <= r <= 2 * c for r, c in zip(repeats, counts))
+
+
+def test_rows_without_an_id_and_repeated_rows(spark):
+    """Half of the rows have no id, and a fifth is one row: targets are met, and reruns agree over partitionings."""
+    rng = random.Random(7)
+    rows = [(None if i % 2 else i, f"w{i} " * rng.randrange(1, 30), "en", f"s{i % 3}", 1, True, 1, "c") for i in range(800)]
+    rows += [(5, "one row many times", "en", "s1", 1, True, 1, "c")] * 200
+    table = docs(spark, rows)
+    drawn = sample_repetitions(table.repartition(3), lane_docs=100)
+    for r in drawn.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("repeats").alias("most")).collect():
+        assert abs(r.taken - r.target) <= 8 and r.most <= 2  # half a word per lane
+    counts = [
+        sorted((r.text, r["count"]) for r in mix(table.repartition(n)).groupBy("text").count().collect()) for n in (2, 7)
+    ]
+    assert counts[0] == counts[1]
+
+
+def test_query_against_its_targets(spark, sf_dir):
+    from tandem.llm.queries import op9_mixture
+
+    rows = op9_mixture(spark, sf_dir).collect()
+    by_source = {}
+    for r in rows:
+        by_source.setdefault((r.source is None, r.source or ""), []).append(r)
+    sizes = [sum(r["size"] for r in by_source[s]) for s in sorted(by_source)]
+    targets = water_fill(sizes, [(3.0, 1.0, 2.0)[i % 3] for i in range(len(sizes))], 1.5 * sum(sizes), 2.0)
+    for s, size, target in zip(sorted(by_source), sizes, targets):
+        assert all(r.source_size == size and r.target == pytest.approx(target) for r in by_source[s])
+        reachable = {0}
+        for r in by_source[s]:
+            reachable |= {x + k * r["size"] for x in reachable for k in (1, 2)}
+        best = min(abs(x - target) for x in reachable)
+        assert abs(sum(r.taken for r in by_source[s]) - target) == pytest.approx(best)
+        assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in by_source[s])
