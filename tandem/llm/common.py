@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 from types import ModuleType
@@ -48,9 +49,15 @@ def worker_store(owner: str) -> dict[str, Any]:
 
 
 def release() -> None:
-    """Give back what a task has needed; its Python worker may wait for the next one for long."""
+    """Give back what a task has needed; its Python worker may wait for the next one for long.
+
+    The C library keeps what was freed for itself unless it is told to return it to the system.
+    """
     gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
 
 
 def partitions_for(df: DataFrame, size: int, bytes_each: int = 64 << 20) -> int:

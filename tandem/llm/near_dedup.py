@@ -47,7 +47,7 @@ ERRORS = 1
 BITS = 14
 CONTRACT_EDGES = 200_000
 SET_BLOCK_ROWS = 128
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 
 COMPONENTS = CHUNKS * CHUNK
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
@@ -228,6 +228,8 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parent[max(a, b)] = min(a, b)
     nodes = list(parent)
     yield pa.RecordBatch.from_arrays([pa.array([root(n) for n in nodes], pa.int64()), pa.array(nodes, pa.int64())], ["a", "b"])
+    parent.clear()
+    release()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -386,6 +388,8 @@ def _linked(percent: int):
                     if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
                         kept.append((i, j))
             yield _pair_batch(table, kept)
+        release()
+
     return run
 
 
