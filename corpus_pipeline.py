@@ -15,29 +15,41 @@ from tandem.llm.mixture import mix
 from tandem.llm.near_dedup import drop_near_duplicates
 from tandem.llm.token_files import read_token_files, write_token_files
 from tandem.llm.toxicity import drop_toxic
-from tandem.session import new_staging_path, stage
+from tandem.session import stage, staged_path
 
 TOKENIZER = "byte_bpe_50k.json"
 # Words of a shingle of near duplicates; op6_near_dedup alone takes two.
 SHINGLE = 5
 
+# Texts go to Python in batches of this many bytes and rows at most, as workers of several stages share an executor.
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 2_000
+
 # Tokenising, sampling and a trained model are beyond SQL.
 ORACLE_SQL = None
 
 
+def _bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded_batches(spark)
     return drop_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded_batches(spark)
     return drop_near_duplicates(docs, SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded_batches(spark)
     return decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
@@ -46,7 +58,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = new_staging_path(spark, "token-files")
+    _bounded_batches(spark)
+    path = staged_path(spark, "token-files")
     write_token_files(docs, path, public_tokenizers.path(TOKENIZER))
     return read_token_files(spark, path, with_ids=False)
 
