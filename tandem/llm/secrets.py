@@ -76,14 +76,19 @@ def _classes(value: str) -> int:
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], encoding, ratio: float = RATIO) -> list[tuple[int, int, int]]:
-    """Spans of expensive strings that overlap none of ``taken``."""
-    spans = []
+    """Spans of expensive strings that overlap none of ``taken``; candidates and ``taken`` are walked once, side by side."""
+    spans: list[tuple[int, int, int]] = []
+    ordered = sorted(taken)
+    at, reach = 0, 0  # ``reach`` is the furthest end of the spans that start before the candidate ends
     for m in _CANDIDATE.finditer(text):
+        while at < len(ordered) and ordered[at][0] < m.end():
+            reach = max(reach, ordered[at][2])
+            at += 1
+        if reach > m.start():
+            continue
         value = m.group()
         if _classes(value) < LEAST_CLASSES or is_known(value):
             continue
-        if any(start < m.end() and m.start() < end for start, _, end in taken):
-            continue
         if len(value) / len(encoding.encode_ordinary(value)) < ratio:
             spans.append((m.start(), 3, m.end()))
     return spans

@@ -4,7 +4,7 @@ import re
 import public_tokenizers
 import pytest
 
-from tandem.llm.secrets import joined, pattern_spans, scan_secrets
+from tandem.llm.secrets import joined, pattern_spans, random_spans, scan_secrets
 
 from .helpers import docs, odd_rows
 
@@ -58,3 +58,39 @@ def test_odd_rows(spark):
 @pytest.mark.parametrize("spans,text", [([], ""), ([(5, 2, 9), (1, 0, 3), (5, 0, 9)], "assign:1:3,assign:5:9,hex:5:9")])
 def test_joined(spans, text):
     assert joined(spans) == text
+
+
+def test_spans_are_walked_once():
+    """Every candidate stands beside the spans already taken, which are looked at once however many there are."""
+
+    class Looked(tuple):
+        reads = 0
+
+        def __getitem__(self, at):
+            Looked.reads += 1
+            return tuple.__getitem__(self, at)
+
+    class Costly:
+        def encode_ordinary(self, value):
+            return list(value)
+
+    key = "q7Zx9LmK2vRt8WbY4nJd1Hc6Gf3P"
+    n = 2_000
+    text = f"token=abcdef {key} " * n
+    taken = [Looked(span) for span in pattern_spans(text)]
+    found = random_spans(text, taken, Costly())
+    assert len(taken) == n and [text[a:b] for a, _, b in found] == [key] * n
+    assert Looked.reads <= 4 * n
+
+
+@pytest.mark.parametrize("taken", [[(0, 0, 100)], [(0, 0, 3), (2, 1, 60), (10, 2, 20)], [(5, 0, 6)], [(3, 2, 4), (3, 0, 9)], [(33, 1, 40)], [(0, 0, 5)], []])
+def test_overlaps(taken):
+    class Costly:
+        def encode_ordinary(self, value):
+            return list(value)
+
+    key = "q7Zx9LmK2vRt8WbY4nJd1Hc6Gf3P"
+    text = f"say: {key} and {key}."
+    places = [m.span() for m in re.finditer(key, text)]
+    want = [(a, 3, b) for a, b in places if not any(s < b and a < e for s, _, e in taken)]
+    assert random_spans(text, taken, Costly()) == want
