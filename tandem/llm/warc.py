@@ -19,10 +19,11 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,14 +41,16 @@ _FIELDS = "file string, block long, pos long, next long, ends long, headers stri
 # ------------------------------------------------------------------ writing
 
 
-def record_text(page_id, url, html):
-    """A response record as one string without its final line ends."""
+def record_text(page_id, url, html, written):
+    """A response record, written at the time ``written``, as one string without its final line ends."""
     payload = F.coalesce(html, F.lit(""))
     clean = F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]+", " ")
     return F.concat(
         F.lit(MAGIC + "WARC-Type: response\r\nWARC-Record-ID: <urn:page:"),
         F.coalesce(page_id.cast("string"), F.lit("")),
-        F.lit(">\r\nWARC-Target-URI: "),
+        F.lit(">\r\nWARC-Date: "),
+        F.date_format(F.to_utc_timestamp(written, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit("\r\nWARC-Target-URI: "),
         clean,
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
         F.octet_length(payload).cast("string"),
@@ -56,12 +59,14 @@ def record_text(page_id, url, html):
     )
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
+def write_archives(pages: DataFrame, path: str, written: Column | None = None) -> None:
     """A record per row of ``pages`` (page_id, url, html), NULL html with an empty payload, NULL ids with an empty id.
 
-    Line ends in a URL become blanks; other columns are ignored. Every task writes one archive.
+    ``written`` is the date of the records, by default the time of the write; where it is NULL, the
+    start of the epoch. Line ends in a URL become blanks; other columns are ignored. Every task writes one archive.
     """
-    records = pages.select(record_text(F.col("page_id"), F.col("url"), F.col("html")).alias("value"))
+    date = F.current_timestamp() if written is None else F.coalesce(written.cast("timestamp"), F.timestamp_seconds(F.lit(0)))
+    records = pages.select(record_text(F.col("page_id"), F.col("url"), F.col("html"), date).alias("value"))
     records.write.mode("overwrite").option("lineSep", _END).text(path)
 
 
@@ -72,6 +77,26 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+@contextmanager
+def steady_splits(spark: SparkSession) -> Iterator[None]:
+    """Keep how files are split apart from the number of executors, which may change between two reads.
+
+    Spark makes splits for as many cores as there are; inside the block it makes them for the cores
+    of its start.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+    spark.conf.set(name, before or str(cores))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def _parts(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """What stands after every version line, with the file and the split it was read in."""
     lines = spark.read.option("lineSep", MAGIC).option("recursiveFileLookup", str(recursive).lower()).text(path)
@@ -190,7 +215,8 @@ def read_archives(spark: SparkSession, path: str, recursive: bool = True) -> Dat
     ``pos`` is the byte after the record's version line. The digest is the bare base32 SHA-1 of the
     payload. A chain ends where a record is cut off or has no valid length; what follows in that
     file is not returned, and ``payload_digest`` is NULL for a record whose payload is cut off. A
-    folder without archives, or with empty ones, gives no rows.
+    folder without archives, or with empty ones, gives no rows. Records with the version line in
+    their payload are read twice, with the same splits; should they differ after all, reading raises.
     """
 
     def build() -> DataFrame:
@@ -219,7 +245,8 @@ def read_archives(spark: SparkSession, path: str, recursive: bool = True) -> Dat
             records = records.withColumn("digest", F.coalesce("digest", "joined"))
         return records.select("file", "pos", "headers", "payload_bytes", F.col("digest").alias("payload_digest"))
 
-    return stage_result(spark, "warc-records", build)
+    with steady_splits(spark):
+        return stage_result(spark, "warc-records", build)
 
 
 def _joined_payloads(spark: SparkSession, path: str, recursive: bool, chained: DataFrame) -> DataFrame:
@@ -249,10 +276,15 @@ def _joined_payloads(spark: SparkSession, path: str, recursive: bool, chained: D
     parts = parts.join(first, ["file", "block"]).withColumn("pos", F.col("at") + F.col("base"))
     matched = parts.join(small(wanted, wanted.count()).drop("block"), ["file", "pos"])
     whole = matched.groupBy("file", "owner", "payload_bytes").agg(F.sort_array(F.collect_list(F.struct("pos", "part"))).alias("parts"))
+    counts = wanted.groupBy("file", "owner").agg(F.count("*").alias("n_parts"))
+    whole = counts.join(whole, ["file", "owner"], "left")
 
     def digest(parts: pa.Array, lengths: pa.Array) -> pa.Array:
         out = []
         for row, length in zip(parts.to_pylist(), lengths.to_pylist()):
+            if row is None:  # no part was found; the caller raises
+                out.append(None)
+                continue
             raw = MAGIC.encode().join(p["part"] for p in row)
             start = raw.find(b"\r\n\r\n") + 4
             payload = raw[start : start + length]
@@ -260,7 +292,10 @@ def _joined_payloads(spark: SparkSession, path: str, recursive: bool, chained: D
         return pa.array(out, pa.string())
 
     digest.__annotations__ = {"parts": pa.Array, "lengths": pa.Array, "return": pa.Array}
-    return whole.select("file", F.col("owner").alias("pos"), F.arrow_udf(digest, "string")("parts", "payload_bytes").alias("joined"))
+    found = F.coalesce(F.size("parts"), F.lit(0)) == F.col("n_parts")
+    moved = F.raise_error(F.concat(F.lit("the archives were split in another way when read again: "), "file")).cast("string")
+    joined = F.arrow_udf(digest, "string")("parts", "payload_bytes")
+    return whole.select("file", F.col("owner").alias("pos"), F.when(found, joined).otherwise(moved).alias("joined"))
 
 
 # ------------------------------------------------------------------ copies

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tandem.llm import warc
 from tandem.llm.warc import MAGIC, candidate, exits, mark_revisits, read_archives, write_archives
@@ -77,3 +78,54 @@ def test_candidates_and_exits():
     out = exits(np.array([10, 20, 30, 40]), np.array([30, 25, 70, -1]), 50)
     assert out.tolist() == [70, -1, 70, -1]
     assert warc.base32_sha1(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+
+
+def split_in_another_way(monkeypatch, spark, name, value):
+    """Change a setting between the two reads of an archive."""
+    plain = warc._joined_payloads
+
+    def changed(*arguments):
+        spark.conf.set(name, value)
+        return plain(*arguments)
+
+    monkeypatch.setattr(warc, "_joined_payloads", changed)
+
+
+def test_cores_that_come_and_go_between_the_reads(spark, tmp_path, monkeypatch):
+    rows = pages(2, 40)
+    path = str(tmp_path / "archives")
+    write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), path)
+    small, cores = "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism"
+    before = spark.conf.get(small)
+    try:
+        spark.conf.set(small, "100")
+        spark.conf.set(cores, "12")
+        split_in_another_way(monkeypatch, spark, cores, "3")
+        got = mark_revisits(read_archives(spark, path)).collect()
+    finally:
+        spark.conf.set(small, before)
+        spark.conf.unset(cores)
+    assert sorted(repr(tuple(r)) for r in got) == want(rows)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_other_splits_raise(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "archives")
+    write_archives(spark.createDataFrame(pages(3, 40), SCHEMA).coalesce(1), path)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "900")
+        split_in_another_way(monkeypatch, spark, name, "1370")
+        with pytest.raises(Exception, match="split in another way"):
+            read_archives(spark, path).collect()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_records_are_dated(spark, tmp_path):
+    table = spark.createDataFrame([(1, "u", "x", "2020-01-02 03:04:05"), (2, "u", "y", None)], "page_id long, url string, html string, at string")
+    write_archives(table, str(tmp_path / "a"), F.col("at").cast("timestamp"))
+    at = spark.sql("SELECT date_format(to_utc_timestamp(TIMESTAMP '2020-01-02 03:04:05', current_timezone()), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")").first()[0]
+    got = [r[0] for r in read_archives(spark, str(tmp_path / "a")).select(warc.header("WARC-Date")).collect()]
+    assert sorted(got) == ["1970-01-01T00:00:00Z", at]
