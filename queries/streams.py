@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from queries.common import CUSTOMER, OPTIONS, down, sql, table, with_misses
-from queries.logs import ALERT_OPTIONS, DAY_S, STREAKS_CTE, lookup_log, ntz
+from queries.logs import ALERT_OPTIONS, DAY_S, ORACLES as LOG_ORACLES, STREAKS_CTE, THROTTLE_S, THROTTLE_SQL, failover_candidates, lookup_log, ntz
 from queries.lookups import orders_oracle, standby_customer, STANDBY_SQL
+from tandem.plans.episodes import with_streaks
 from tandem.plans.log import LOG_SCHEMA
+from tandem.plans.stats import interval_counters, since_lines
 from tandem.session import new_staging_path
 from tandem.sinks.batches import folder_sink
+from tandem.streaming.corrections import latest_revisions, pending_intervals, stats_revisions
 from tandem.streaming.enrich import enrich_stream
-from tandem.streaming.monitor import EVENT_SCHEMA, episode_stream, log_stream, remaining_intervals, stats_stream
+from tandem.streaming.monitor import EVENT_SCHEMA, deduplicated_stream, episode_stream, log_stream, remaining_intervals, stats_stream
 
 QUERIES = {}
 ORACLES = {}
@@ -55,67 +60,74 @@ def s2_enrich_stream(spark, sf_dir):
     )
 
 
-def written_log(spark, sf_dir, copies=1):
-    """The derived lookup log, written ``copies`` times, and read as a file stream, a copy per micro-batch."""
-    path = new_staging_path(spark, "log")
+def plain_log(spark, sf_dir):
+    """The derived lookup log with the columns of a written one."""
     log = lookup_log(spark, sf_dir)
-    log = log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
-    for copy in range(copies):
-        folder_sink(path, files=1)(log, copy)
-    return path, log_stream(spark, path, maxFilesPerTrigger="1")
+    return log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
 
 
-def collected(spark, stream, name, schema):
-    """Run a stream over what is there and read its output back."""
-    out, checkpoint = new_staging_path(spark, name), new_staging_path(spark, "checkpoint")
-    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    writer.outputMode("append").trigger(**ONCE).start().awaitTermination()
-    return spark.read.schema(schema).parquet(out)
+def slices(log, parts=3):
+    """``log`` in ``parts`` slices of time with about equally many rows."""
+    timed = log.withColumn("__t", F.unix_micros("ts"))
+    cuts = timed.approxQuantile("__t", [i / parts for i in range(1, parts)], 0.01)
+    bounds = [None, *[int(c) for c in cuts], None]
+    between = []
+    for low, high in zip(bounds, bounds[1:]):
+        rows = timed if low is None else timed.filter(F.col("__t") >= low)
+        between.append((rows if high is None else rows.filter(F.col("__t") < high)).drop("__t"))
+    return between
 
 
-@query(
-    "s4_episode_events",
-    f"""
-    WITH {STREAKS_CTE}
-    SELECT 'candidate' AS event, table_name, subtask, CAST(episode AS BIGINT) AS episode, batch_id, streak, affected_keys
+def fed(spark, batches, start):
+    """Write ``batches`` one after the other, each by all tasks, and run the stream on what has come since.
+
+    Every run goes on from the checkpoint and the state of the one before. Returns the path of the log.
+    """
+    path = new_staging_path(spark, "log")
+    for number, rows in enumerate(batches):
+        folder_sink(path)(rows, number)
+        start(log_stream(spark, path)).awaitTermination()
+    return path
+
+
+EVENTS_SQL = f"""
+    {THROTTLE_SQL}
+    SELECT 'failover' AS event, e.table_name, e.subtask, CAST(e.episode AS BIGINT) AS episode, e.batch_id, e.streak, k.affected_keys
+    FROM emitted e JOIN streaks k ON e.table_name = k.table_name AND e.subtask = k.subtask AND e.batch_id = k.batch_id
+    UNION ALL
+    SELECT 'candidate', table_name, subtask, CAST(episode AS BIGINT), batch_id, streak, affected_keys
     FROM streaks WHERE failed_over AND streak = 2
     UNION ALL
     SELECT 'recovered', table_name, subtask, CAST(episode AS BIGINT), batch_id, streak, affected_keys
     FROM streaks WHERE NOT failed_over AND streak > 0
-    """,
-)
-def s4_episode_events(spark, sf_dir):
-    paths = [new_staging_path(spark, name) for name in ("events", "state", "checkpoint")]
-    started = episode_stream(
-        written_log(spark, sf_dir)[1], ALERT_OPTIONS, folder_sink(paths[0]), state_path=paths[1], checkpoint=paths[2],
-        name="s4", trigger=ONCE,
-    )
-    started.awaitTermination()
-    out = spark.read.schema(EVENT_SCHEMA).parquet(paths[0]).filter("event <> 'failover'")
+"""
+
+EVENT_OPTIONS = replace(ALERT_OPTIONS, failover_log_interval_s=THROTTLE_S)
+
+
+def episode_events(spark, batches, name):
+    paths = [new_staging_path(spark, part) for part in ("events", "state", "checkpoint")]
+
+    def start(log):
+        return episode_stream(
+            log, EVENT_OPTIONS, folder_sink(paths[0]), state_path=paths[1], checkpoint=paths[2], name=name, trigger=ONCE
+        )
+
+    fed(spark, batches, start)
+    out = spark.read.schema(EVENT_SCHEMA).parquet(paths[0])
     return out.select("event", "table_name", "subtask", "episode", "batch_id", "streak", "affected_keys")
 
 
-@query(
-    "s5_replayed_episodes",
-    f"""
-    WITH {STREAKS_CTE}
-    SELECT 'candidate' AS event, table_name, subtask, CAST(episode AS BIGINT) AS episode, batch_id, streak, affected_keys
-    FROM streaks WHERE failed_over AND streak = 2
-    UNION ALL
-    SELECT 'recovered', table_name, subtask, CAST(episode AS BIGINT), batch_id, streak, affected_keys
-    FROM streaks WHERE NOT failed_over AND streak > 0
-    """,
-)
+@query("s4_episode_events", EVENTS_SQL)
+def s4_episode_events(spark, sf_dir):
+    """Log lines, candidates and recoveries of episodes that go on over micro-batches."""
+    return episode_events(spark, slices(plain_log(spark, sf_dir)), "s4")
+
+
+@query("s5_replayed_episodes", EVENTS_SQL)
 def s5_replayed_episodes(spark, sf_dir):
-    """Every batch of the log arrives twice and counts once."""
-    paths = [new_staging_path(spark, name) for name in ("events", "state", "checkpoint")]
-    started = episode_stream(
-        written_log(spark, sf_dir, copies=2)[1], ALERT_OPTIONS, folder_sink(paths[0]), state_path=paths[1], checkpoint=paths[2],
-        name="s5", trigger=ONCE,
-    )
-    started.awaitTermination()
-    out = spark.read.schema(EVENT_SCHEMA).parquet(paths[0]).filter("event <> 'failover'")
-    return out.select("event", "table_name", "subtask", "episode", "batch_id", "streak", "affected_keys")
+    """Every slice of the log arrives twice and counts once."""
+    return episode_events(spark, [rows for rows in slices(plain_log(spark, sf_dir), 2) for _ in range(2)], "s5")
 
 
 @query(
@@ -132,9 +144,53 @@ def s5_replayed_episodes(spark, sf_dir):
 )
 def s4_stats_stream(spark, sf_dir):
     """Intervals as the stream emits them, and those it leaves open when it ends."""
-    path, log = written_log(spark, sf_dir)
-    stats = stats_stream(log, DAY_S)
-    out = collected(spark, stats, "stats", stats.schema)
+    out_path, checkpoint = new_staging_path(spark, "stats"), new_staging_path(spark, "checkpoint")
+
+    def start(log):
+        writer = stats_stream(log, DAY_S).writeStream.format("parquet").option("path", out_path)
+        return writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(**ONCE).start()
+
+    path = fed(spark, slices(plain_log(spark, sf_dir)), start)
+    out = spark.read.schema(interval_counters(plain_log(spark, sf_dir), DAY_S).schema).parquet(out_path)
     rest = remaining_intervals(spark.read.schema(LOG_SCHEMA).parquet(path), out, DAY_S)
     shown = out.unionByName(rest).select("table_name", "subtask", "window_start", "primary_batches", "primary_keys", "primary_fails")
     return ntz(shown, "window_start")
+
+
+@query("s4_late_corrections", LOG_ORACLES["d12_stats_lines"])
+def s4_late_corrections(spark, sf_dir):
+    """Statistics lines of a stream in which every fifth row comes a slice late, and some rows come twice."""
+    parts = slices(plain_log(spark, sf_dir))
+    late = F.pmod(F.xxhash64("batch_id"), F.lit(5)) == 0
+    batches = [parts[0].filter(~late), parts[0].filter(late).union(parts[1].filter(~late)), parts[1].union(parts[2])]
+    out, state, checkpoint = [new_staging_path(spark, name) for name in ("stats", "state", "checkpoint")]
+
+    def start(log):
+        return stats_revisions(
+            log, folder_sink(out), interval_s=DAY_S, late_s=60 * DAY_S, state_path=state, checkpoint=checkpoint, name="s4-late", trigger=ONCE
+        )
+
+    fed(spark, batches, start)
+    rows = latest_revisions(spark.read.parquet(out).drop("batch").unionByName(pending_intervals(spark, state)))
+    return ntz(since_lines(rows, "hbase", "doris"), "window_start")
+
+
+@query(
+    "f10_dedup_stream",
+    f"""
+    WITH {STREAKS_CTE}
+    SELECT DISTINCT table_name, DATE_TRUNC('day', ts) AS window_start FROM streaks WHERE failed_over AND streak = 2
+    """,
+)
+def f10_dedup_stream(spark, sf_dir):
+    """Two producers, each of half the subtasks, send alerts in slices of time; a table has one per day."""
+    crossed = failover_candidates(with_streaks(plain_log(spark, sf_dir)), ALERT_OPTIONS).select("table_name", "subtask", "batch_id", "ts")
+    half = F.substring("subtask", 1, 1).isin("1", "2")
+    path, out, checkpoint = [new_staging_path(spark, name) for name in ("alerts", "first", "checkpoint")]
+    for number, rows in enumerate(slices(crossed)):
+        folder_sink(path)(rows.filter(half), 2 * number)
+        folder_sink(path)(rows.filter(~half), 2 * number + 1)
+        alerts = spark.readStream.schema(crossed.schema).parquet(f"{path}/batch=*")
+        writer = deduplicated_stream(alerts, DAY_S).writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", checkpoint).trigger(**ONCE).start().awaitTermination()
+    return ntz(spark.read.parquet(out).select("table_name", "window_start"), "window_start")

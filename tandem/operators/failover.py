@@ -25,7 +25,7 @@ COST_COLUMN = "lookup_cost_ms"
 class LookupFailed(RuntimeError):
     """Neither store could answer; the batch must not be padded with NULLs."""
 
-    def __init__(self, attempts: "list[Attempt]", count: Callable[[], int]):
+    def __init__(self, attempts: "list[Attempt]", count: Callable[[int], list[int]]):
         self.attempts = attempts
         self._count = count
         super().__init__("; ".join(f"{a.source}: {a.error_class}: {a.error_message}" for a in attempts))
@@ -33,7 +33,11 @@ class LookupFailed(RuntimeError):
     @property
     def n_keys(self) -> int:
         """Queryable keys of the batch, counted when asked for."""
-        return self._count()
+        return self._count(1)[0]
+
+    def keys_by_subtask(self, subtasks: int) -> list[int]:
+        """Queryable keys of each of ``subtasks`` buckets of keys."""
+        return self._count(subtasks)
 
 
 class FactsFailed(RuntimeError):
@@ -68,8 +72,9 @@ class LookupResult:
     attempts: list[Attempt]
     options: LookupOptions
     bad_rows: DataFrame | None = None
-    _count: Callable[[], tuple[int, int]] = lambda: (0, 0)
+    _count: Callable[[int], list[tuple[int, int]]] = lambda buckets: [(0, 0)] * buckets
     _paths: list[str] = field(default_factory=list)
+    _release: Callable[[], None] = lambda: None
 
     @property
     def failed_over(self) -> bool:
@@ -81,42 +86,59 @@ class LookupResult:
         Keys and hits are counted here, over the key columns only: a key counts once for every
         fact that carries it, and is one hit however many dimension rows it has.
         """
-        n_keys, hits = self._count()
-        return log_frame(
-            self.df.sparkSession, self.options, self.attempts, n_keys, hits, self.source, self.cost_ms, subtask,
-            batch_id, ts,
-        )
+        return self._log({subtask: self._count(1)[0]}, batch_id, ts)
+
+    def log_rows(self, subtasks: int, batch_id: int = 0, ts: datetime | None = None, label: str = "") -> DataFrame:
+        """A row of the lookup log for each of ``subtasks`` buckets of keys, from one aggregation (S3).
+
+        The batch has one route, so the rows differ in their keys and hits only, which add up to
+        those of :meth:`log_row`.
+        """
+        return self._log(dict(zip(subtask_labels(subtasks, label), self._count(subtasks))), batch_id, ts)
+
+    def _log(self, counts: Mapping[str, tuple[int, int]], batch_id: int, ts: datetime | None) -> DataFrame:
+        return log_frame(self.df.sparkSession, self.options, self.attempts, counts, self.source, self.cost_ms, batch_id, ts)
 
     def close(self) -> None:
+        self._release()
         for path in self._paths:
             delete_path(self.df.sparkSession, path)
 
 
+def subtask_labels(subtasks: int, label: str = "") -> list[str]:
+    """``1/n`` to ``n/n``, after ``label`` and a colon where there is one."""
+    return [f"{label}:{i}/{subtasks}" if label else f"{i}/{subtasks}" for i in range(1, subtasks + 1)]
+
+
 def log_frame(
-    spark, options, attempts, n_keys, hits, source, cost_ms, subtask="1/1", batch_id=0, ts=None
+    spark, options, attempts, counts: Mapping[str, tuple[int | None, int | None]], source, cost_ms, batch_id=0, ts=None
 ) -> DataFrame:
-    """One row of the lookup log as a DataFrame."""
+    """Rows of the lookup log of one batch, one for each subtask of ``counts`` (subtask -> keys, hits)."""
     first, second = attempts[0], attempts[1] if len(attempts) > 1 else None
-    row = (
-        options.table_name,
-        subtask,
-        batch_id,
-        ts or datetime.now(timezone.utc),
-        n_keys,
-        options.primary,
-        options.standby,
-        first.elapsed_ms,
-        first.error_class,
-        first.error_message,
-        hits if first.ok else None,
-        not first.ok,
-        second.elapsed_ms if second else None,
-        second.error_class if second else None,
-        hits if second and second.ok else None,
-        source,
-        cost_ms,
-    )
-    return spark.createDataFrame([row], LOG_SCHEMA)
+    ts = ts or datetime.now(timezone.utc)
+    rows = [
+        (
+            options.table_name,
+            subtask,
+            batch_id,
+            ts,
+            n_keys,
+            options.primary,
+            options.standby,
+            first.elapsed_ms,
+            first.error_class,
+            first.error_message,
+            hits if first.ok else None,
+            not first.ok,
+            second.elapsed_ms if second else None,
+            second.error_class if second else None,
+            hits if second and second.ok else None,
+            source,
+            cost_ms,
+        )
+        for subtask, (n_keys, hits) in counts.items()
+    ]
+    return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
 def error_of(error: BaseException) -> tuple[str, str]:
@@ -230,7 +252,7 @@ def failover_lookup(
         attempt = Attempt(source)
         attempts.append(attempt)
         loader = stores[source]
-        hits, by_keys = getattr(loader, "fresh", lambda: None)(), False
+        hits, release, by_keys = *(loader.lease() if hasattr(loader, "lease") else (None, lambda: None)), False
         if hits is None:
             try:
                 raw, by_keys = _open(spark, loader, strategy, options, dim_keys, keys_once)
@@ -247,7 +269,7 @@ def failover_lookup(
                 continue
             hits, path = timed.result
             if hasattr(loader, "keep") and not by_keys:
-                loader.keep(hits, path)
+                release = loader.keep(hits, path)
                 paths.remove(path)
         cost_ms = int(sum(a.elapsed_ms for a in attempts))
         extra = {SOURCE_COLUMN: F.lit(source), COST_COLUMN: F.lit(cost_ms).cast("bigint")}
@@ -261,14 +283,14 @@ def failover_lookup(
             hint = "broadcast"
         enriched = raise_bad(lookup_join(facts, ordered, keys, how, hint=hint, prefix=prefix, salt=salt), business, dim_keys, prefix)
 
-        def count() -> tuple[int, int]:
+        def count(buckets: int) -> list[tuple[int, int]]:
             counted = key_table[0] if key_table else distinct_keys(facts, keys, business)
-            return count_keys(counted, hits, dim_keys)
+            return count_keys(counted, hits, dim_keys, buckets)
 
-        return LookupResult(enriched, source, cost_ms, attempts, options, bad, count, paths)
+        return LookupResult(enriched, source, cost_ms, attempts, options, bad, count, paths, release)
     for path in paths:
         delete_path(spark, path)
-    raise LookupFailed(attempts, lambda: count_facts(distinct_keys(facts, keys, business)))
+    raise LookupFailed(attempts, lambda buckets: count_facts(distinct_keys(facts, keys, business), dim_keys, buckets))
 
 
 BAD_COLUMN = "__tandem_bad"
@@ -330,19 +352,24 @@ def _open(spark, loader, strategy, options, dim_keys, keys_once) -> tuple[DataFr
     return raw, by_keys
 
 
-def count_facts(keys_df: DataFrame) -> int:
-    return int(keys_df.agg(F.sum("n")).first()[0] or 0)
+def _by_bucket(keys_df: DataFrame, keys: list[str], buckets: int, *measures: Column) -> list:
+    """One aggregated row per bucket of keys, None where a bucket has no key. A key is always in the same bucket."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    rows = {row.bucket: row for row in keys_df.groupBy(bucket.alias("bucket")).agg(*measures).collect()}
+    return [rows.get(i) for i in range(buckets)]
+
+
+def count_facts(keys_df: DataFrame, keys: list[str], buckets: int = 1) -> list[int]:
+    """Queryable keys of each bucket, weighted by their facts."""
+    return [int(row.n_keys) if row else 0 for row in _by_bucket(keys_df, keys, buckets, F.sum("n").alias("n_keys"))]
 
 
-def count_keys(keys_df: DataFrame, hits: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(queryable keys, keys with a dimension row), each key weighted by its facts.
+def count_keys(keys_df: DataFrame, hits: DataFrame, keys: list[str], buckets: int = 1) -> list[tuple[int, int]]:
+    """(queryable keys, keys with a dimension row) of each bucket, each key weighted by its facts.
 
     Both sides hold a key once, so neither hot facts nor a key with many rows is skewed here.
     """
     found = hits.select(*keys).distinct().withColumn("found", F.lit(True))
-    row = (
-        keys_df.join(found, keys, "left")
-        .agg(F.sum("n").alias("n_keys"), F.sum(F.when(F.col("found"), F.col("n"))).alias("hits"))
-        .first()
-    )
-    return int(row.n_keys or 0), int(row.hits or 0)
+    measures = F.sum("n").alias("n_keys"), F.sum(F.when(F.col("found"), F.col("n"))).alias("hits")
+    rows = _by_bucket(keys_df.join(found, keys, "left"), keys, buckets, *measures)
+    return [(int(row.n_keys), int(row.hits or 0)) if row else (0, 0) for row in rows]

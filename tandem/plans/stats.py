@@ -255,13 +255,17 @@ def stats_text(label: str, primary: str, standby: str, prefix: str = "") -> Colu
     )
 
 
-def stats_lines(counters: DataFrame, primary: str, standby: str) -> DataFrame:
-    """Interval and since-start statistics of every window as one log line.
+def with_since(counters: DataFrame) -> DataFrame:
+    """Totals since the first interval as ``since_`` columns, and the number of the interval in its group as ``nth``."""
+    in_order = W.partitionBy(*GROUP).orderBy("window_start")
+    return counters.withColumns({**_running_totals("since_"), "nth": F.row_number().over(in_order)})
+
+
+def since_lines(both: DataFrame, primary: str, standby: str) -> DataFrame:
+    """Rows of :func:`with_since` as log lines.
 
     The first window of a group covers the same span twice, so it is printed once.
     """
-    in_order = W.partitionBy(*GROUP).orderBy("window_start")
-    both = counters.withColumns({**_running_totals("since_"), "nth": F.row_number().over(in_order)})
     line = stats_text("window", primary, standby)
     since = stats_text("since.start", primary, standby, "since_")
     return both.select(
@@ -279,6 +283,11 @@ def stats_lines(counters: DataFrame, primary: str, standby: str) -> DataFrame:
     )
 
 
+def stats_lines(counters: DataFrame, primary: str, standby: str) -> DataFrame:
+    """Interval and since-start statistics of every window as one log line."""
+    return since_lines(with_since(counters), primary, standby)
+
+
 def config_line(options, subtask: str = "") -> str:
     """The line that echoes the options once."""
     label = f"table={options.table_name}" + (f" subtask={subtask}" if subtask else "")

@@ -71,7 +71,9 @@ class WideStore:
 
     ``cells`` returns the cells table. A full load reads key columns from their own qualifiers, as
     every other column. Asked for keys, it encodes them as rowkeys and reads only those rows: up to
-    ``max_in_keys`` of them as a predicate that the scan evaluates, more as a semi join.
+    ``max_in_keys`` of them as a predicate that the scan evaluates, more as a semi join with the
+    rowkeys, after ``max_ranges`` ranges of them that the scan evaluates. The ranges are cut so
+    that they hold about equally many of the wanted rowkeys each.
     """
 
     def __init__(
@@ -83,7 +85,9 @@ class WideStore:
         encoding: str = "string",
         delimiter: str = "|",
         max_in_keys: int = 1_000,
+        max_ranges: int = 64,
     ):
+        self.max_ranges = max_ranges
         self.cells = cells
         self.schema = schema
         self.keys = keys
@@ -99,5 +103,25 @@ class WideStore:
         parts = [(keys_df[name], self.schema[name]) for name in self.keys]
         wanted = keys_df.select(*self.keys, rowkey(parts, self.encoding, self.delimiter).alias("rowkey"))
         cells = self.cells(spark)
+        if wanted.limit(self.max_in_keys + 1).count() > self.max_in_keys:
+            cells = cells.filter(_within_ranges(rowkey_ranges(wanted, self.max_ranges)))
         asked = probe(cells, wanted, ["rowkey"], self.max_in_keys)
         return cells_dim(asked, self.schema, self.family).drop(*self.keys).join(wanted, "rowkey").drop("rowkey")
+
+
+def rowkey_ranges(wanted: DataFrame, count: int) -> list[tuple]:
+    """At most ``count`` ranges (lowest, highest) that hold every rowkey of ``wanted``; only they come to the driver."""
+    dealt = wanted.select("rowkey").filter("rowkey IS NOT NULL").repartitionByRange(count, "rowkey")
+    bounds = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.min("rowkey").alias("low"), F.max("rowkey").alias("high"))
+    return sorted((row.low, row.high) for row in bounds.collect())
+
+
+def _within_ranges(ranges: list[tuple]) -> Column:
+    """Whether a rowkey is in one of ``ranges``, as a balanced tree of conditions, which stays shallow."""
+    if not ranges:
+        return F.lit(False)
+    if len(ranges) == 1:
+        low, high = ranges[0]
+        return F.col("rowkey").between(F.lit(low), F.lit(high))
+    half = len(ranges) // 2
+    return _within_ranges(ranges[:half]) | _within_ranges(ranges[half:])

@@ -51,6 +51,19 @@ def remaining_intervals(log: DataFrame, emitted: DataFrame, interval_s: int = 36
     return counters.join(emitted.select(*same), same, "left_anti")
 
 
+def deduplicated_stream(alerts: DataFrame, window_s: int, lateness: str | None = None) -> DataFrame:
+    """One alert of each table in each time window, the first that arrives, from any number of producers.
+
+    It is passed on at once and not held until its window has ended. A window is remembered until the
+    alerts are ``lateness`` past its end, by default as long as the window; alerts later than that are dropped.
+    """
+    waiting = alerts.withWatermark("ts", lateness or f"{window_s} seconds")
+    # Only the window carries the watermark: it decides how long a window is remembered.
+    placed = waiting.withColumn("__window", F.window("ts", f"{window_s} seconds")).withColumn("ts", F.timestamp_micros(F.unix_micros("ts")))
+    first = placed.dropDuplicates(["table_name", "__window"])
+    return first.withColumn("window_start", F.col("__window.start")).drop("__window")
+
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event", T.StringType()),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tandem.operators.failover import FactsFailed, LookupFailed, error_of, failover_lookup
 from tandem.operators.lookup import distinct_keys, in_predicate, lookup_join, probe
 from tandem.options import LookupOptions
-from tandem.session import DeadlineExceeded, run_with_deadline, stage, staging_root, staging_scope
+from tandem.session import DeadlineExceeded, folder_bytes, run_with_deadline, stage, staging_root, staging_scope
 from tandem.streaming.enrich import SnapshotCache
 
 SCHEMA = T.StructType(
@@ -429,6 +429,37 @@ def test_snapshot_cache(facts, dim):
     assert len(calls) == 2
 
 
+def test_a_snapshot_is_kept_as_long_as_a_lookup_reads_it(facts, dim):
+    cache = SnapshotCache(lambda spark: dim, ttl_s=60)
+    made = look(facts, cache, boom(), strategy="snapshot")
+    shared = look(facts, cache, boom(), strategy="snapshot")
+    path, spark = cache._path, facts.sparkSession
+    cache._until = 0
+    newer = look(facts, cache, boom(), strategy="snapshot")
+    made.close()
+    made.close()
+    assert folder_bytes(spark, path) > 0 and rows(shared.df, "id", "name")[0] == (1, "A")
+    shared.close()
+    assert folder_bytes(spark, path) == 0
+    newer.close()
+    assert folder_bytes(spark, cache._path) > 0 and cache._leases == {}
+
+
+@pytest.mark.parametrize("strategy", ["snapshot", "keys"])
+def test_log_rows_by_subtask_add_up(facts, dim, strategy):
+    result = look(facts, boom(), lambda s: dim, strategy=strategy)
+    whole, parts = result.log_row().first(), result.log_rows(5, 3, label="q").collect()
+    assert [r.subtask for r in parts] == [f"q:{i}/5" for i in range(1, 6)]
+    assert {(r.batch_id, r.lookup_source, r.failed_over, r.primary_error) for r in parts} == {(3, whole.lookup_source, True, whole.primary_error)}
+    assert (sum(r.n_keys for r in parts), sum(r.standby_hits for r in parts)) == (whole.n_keys, whole.standby_hits)
+    assert len({r.n_keys for r in parts}) > 1 and all(r.standby_hits <= r.n_keys for r in parts)
+    assert [r.n_keys for r in result.log_rows(1).collect()] == [whole.n_keys]
+    with pytest.raises(LookupFailed) as failed:
+        look(facts, boom(), boom())
+    assert sum(failed.value.keys_by_subtask(5)) == failed.value.n_keys == whole.n_keys
+    assert failed.value.keys_by_subtask(5) == [r.n_keys for r in parts]
+
+
 def test_large_answer_is_not_broadcast(facts, dim):
     from dataclasses import replace
 

@@ -18,12 +18,14 @@ from tandem.sinks.delivery import backoff_ms, deliver, delivery_counters, send_w
 from tandem.sinks.kafka import kafka_write_options
 from tandem.sources.facts import batch_rule, json_facts, kafka_read_options, with_proc_time
 from tandem.sources.jdbc import JdbcStore, jdbc_read_options, quote_table, wide_client_properties
+from tandem.plans.stats import interval_counters, since_lines, stats_lines
+from tandem.streaming.corrections import INTERVAL_STATE, SEEN_STATE, latest_revisions, pending_intervals, stats_revisions, stats_step
 from tandem.streaming.enrich import enrich_stream
-from tandem.plans.stats import interval_counters
 from tandem.streaming.monitor import (
-    remaining_intervals,
     STATE_SCHEMA,
     alert_stream,
+    deduplicated_stream,
+    remaining_intervals,
     episode_step,
     episode_stream,
     log_stream,
@@ -300,6 +302,83 @@ def test_stats_stream_emits_complete_intervals(spark, tmp_path):
     assert [(r.window_start.minute, r.primary_keys) for r in rest] == [(6, 1)]
 
 
+def revised(spark, tmp_path, path, late_s=600):
+    out, state = str(tmp_path / "revisions"), str(tmp_path / "stats_state")
+    stats_revisions(
+        log_stream(spark, path, maxFilesPerTrigger="1"), folder_sink(out), interval_s=60, late_s=late_s, state_path=state,
+        checkpoint=str(tmp_path / "stats_checkpoint"), trigger=ONCE,
+    ).awaitTermination()
+    return spark.read.parquet(out).drop("batch"), pending_intervals(spark, state)
+
+
+def test_late_rows_correct_what_was_emitted(spark, tmp_path):
+    path = written_log(
+        spark, tmp_path,
+        steps(spark, (0, 0, 5, True), (2, 70, 7, True)),
+        steps(spark, (1, 30, 6, False), (0, 0, 5, True)),  # late, and a replay
+        steps(spark, (3, 130, 1, False), (2, 70, 7, True)),
+        steps(spark, (4, 131, 2, False)),
+    )
+    emitted, pending = revised(spark, tmp_path, path)
+    got = sorted((r.window_start.minute, r.revision, r.primary_keys, r.since_primary_keys) for r in emitted.collect())
+    assert got == [(0, 0, 5, 5), (0, 1, 11, 11), (1, 0, 7, 18)]
+    assert [(r.window_start.minute, r.primary_keys, r.since_primary_keys, r.nth) for r in pending.collect()] == [(2, 3, 21, 3)]
+    last = latest_revisions(emitted.unionByName(pending))
+    want = interval_counters(spark.read.schema(LOG_SCHEMA).parquet(path).dropDuplicates(["batch_id"]), 60)
+    lines = {(r.window_start, r.line) for r in since_lines(last, "a", "b").collect()}
+    assert last.count() == 3 and lines == {(r.window_start, r.line) for r in stats_lines(want, "a", "b").collect()}
+
+
+def test_a_row_before_an_interval_changes_its_totals_only(spark, tmp_path):
+    path = written_log(spark, tmp_path, steps(spark, (1, 30, 6, False), (2, 70, 7, True), (3, 130, 1, False)), steps(spark, (0, 5, 9, False)))
+    emitted, _ = revised(spark, tmp_path, path)
+    got = sorted((r.window_start.minute, r.revision, r.primary_keys, r.since_primary_keys) for r in emitted.collect())
+    assert got == [(0, 0, 6, 6), (0, 1, 15, 15), (1, 0, 7, 13), (1, 1, 7, 22)]
+
+
+def test_closed_intervals_become_one_row(spark):
+    def on_day(*numbered):
+        return steps(spark, *numbered).select(*LOG_SCHEMA.names)
+
+    intervals, seen = spark.createDataFrame([], INTERVAL_STATE), spark.createDataFrame([], SEEN_STATE)
+    emitted, intervals, seen = stats_step(on_day((0, 0, 5, True), (1, 70, 6, False), (2, 200, 7, False)), intervals, seen, 60, 0)
+    assert sorted((r.window_start.minute, r.since_primary_keys) for r in emitted.collect()) == [(0, 5), (1, 11)]
+    assert sorted((r.closed, r.window_start.minute, r.primary_keys) for r in intervals.collect()) == [(False, 3, 7), (True, 0, 11)]
+    assert [r.batch_id for r in seen.collect()] == [2]
+    # A row of a closed interval may be a replay; a micro-batch without rows changes nothing.
+    emitted, intervals, seen = stats_step(on_day((1, 70, 6, False)), intervals, seen, 60, 0)
+    assert emitted.count() == 0
+    emitted, intervals, seen = stats_step(on_day((9, 0, 1, True)).limit(0), intervals, seen, 60, 0)
+    assert emitted.count() == 0 and intervals.count() == 2
+    emitted, intervals, seen = stats_step(on_day((3, 260, 1, False)), intervals, seen, 60, 0)
+    assert [(r.window_start.minute, r.primary_keys, r.since_primary_keys, r.since_window_s, r.nth) for r in emitted.collect()] == [(3, 7, 18, 240, 2)]
+    with pytest.raises(ValueError):
+        stats_step(on_day((1, 70, 6, False)), intervals, seen, 0, 0)
+
+
+def test_one_alert_of_two_producers(spark, tmp_path):
+    schema = "table_name string, producer int, ts timestamp"
+    path, out = str(tmp_path / "alerts"), str(tmp_path / "first")
+    batches = [
+        [("t", 1, "2026-01-01 00:00:05"), ("u", 1, "2026-01-01 00:00:06")],
+        [("t", 2, "2026-01-01 00:00:01"), ("u", 2, "2026-01-01 00:01:00")],
+        [("t", 2, "2026-01-01 00:01:10"), ("t", 1, "2026-01-01 00:01:11")],
+    ]
+    for i, rows in enumerate(batches):
+        table = spark.createDataFrame(rows, "table_name string, producer int, ts string")
+        folder_sink(path, files=1)(table.withColumn("ts", F.col("ts").cast("timestamp")), i)
+    stream = deduplicated_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/batch=*"), 60)
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start().awaitTermination()
+    got = sorted((r.table_name, r.window_start.minute, r.producer) for r in spark.read.parquet(out).collect())
+    assert [g[:2] for g in got] == [("t", 0), ("t", 1), ("u", 0), ("u", 1)] and [g[2] for g in got if g[1] == 0] == [1, 1]
+
+
+def test_log_rows_by_subtask_of_a_stream(spark, tmp_path, folder, accounts):
+    start(spark, tmp_path, folder, lambda s: accounts, lambda s: accounts, subtasks=3).awaitTermination()
+    log = spark.read.schema(LOG_SCHEMA).parquet(str(tmp_path / "log")).groupBy("batch_id").agg(F.collect_set("subtask").alias("s"), F.sum("n_keys").alias("n"))
+    assert {(r.batch_id, tuple(sorted(r.s)), r.n) for r in log.collect()} == {(i, ("enrich:1/3", "enrich:2/3", "enrich:3/3"), n) for i, n in ((0, 1), (1, 2), (2, 1))}
+
+
 # ------------------------------------------------------------------ sinks and connector options
 
 

@@ -15,7 +15,7 @@ from tandem.functions import binary
 from tandem.functions.conform import conform, split_bad_rows, time_field, timestamp_field
 from tandem.functions.keys import key_normal_form, rowkey
 from tandem.functions.template import json_escape, render_template
-from tandem.sources.cells import WideStore, cells_dim
+from tandem.sources.cells import WideStore, cells_dim, rowkey_ranges
 
 D = decimal.Decimal
 
@@ -248,6 +248,28 @@ def test_wide_store_by_keys_needs_no_key_cells(spark):
     assert [(r.k, r.name) for r in got.collect()] == [("a", "A")]
 
 
+def test_many_keys_are_read_in_ranges(spark, tmp_path):
+    cells = spark.range(0, 4_000).select(
+        F.format_string("k%05d", "id").cast("binary").alias("rowkey"), F.lit("info").alias("family"), F.lit("name").alias("qualifier"),
+        F.col("id").cast("string").cast("binary").alias("value"),
+    )
+    cells.repartition(2).write.parquet(str(tmp_path / "cells"))
+    schema = T.StructType([f("k", T.StringType()), f("name", T.StringType())])
+    store = WideStore(lambda s: s.read.parquet(str(tmp_path / "cells")), schema, ["k"], max_in_keys=10, max_ranges=4)
+    ids = [*range(100, 140), *range(3_000, 3_040), 9_000]
+    wanted = spark.createDataFrame([(f"k{i:05d}", 1) for i in ids], "k string, n long")
+    got = store.for_keys(spark, wanted)
+    assert sorted((r.k, r.name) for r in got.collect()) == [(f"k{i:05d}", str(i)) for i in ids[:-1]]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(rowkey" in plan and "LessThanOrEqual(rowkey" in plan
+    ranges = rowkey_ranges(wanted.select(F.col("k").cast("binary").alias("rowkey")), 4)
+    assert len(ranges) <= 4 and all(low <= high for low, high in ranges) and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert all(any(low <= f"k{i:05d}".encode() <= high for low, high in ranges) for i in ids)
+    assert rowkey_ranges(wanted.limit(0).select(F.col("k").cast("binary").alias("rowkey")), 4) == []
+    few = store.for_keys(spark, wanted.limit(2))
+    assert few.count() == 2
+
+
 # ------------------------------------------------------------------ templates
 
 
