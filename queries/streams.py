@@ -60,6 +60,37 @@ def s2_enrich_stream(spark, sf_dir):
     )
 
 
+@query(
+    "s3_log_by_subtask",
+    """
+    SELECT CAST(4 AS BIGINT) AS subtasks, CAST(COUNT(k.o_custkey) AS BIGINT) AS n_keys, CAST(COUNT(c.c_custkey) AS BIGINT) AS hits,
+           'doris' AS lookup_source
+    FROM (SELECT CASE WHEN o_orderkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders) k
+    LEFT JOIN customer c ON k.o_custkey = c.c_custkey
+    """,
+)
+def s3_log_by_subtask(spark, sf_dir):
+    """What the log rows of four buckets of keys add up to, over all micro-batches."""
+    out, log, checkpoint = [new_staging_path(spark, name) for name in ("enriched", "log", "checkpoint")]
+    enrich_stream(
+        with_misses(table_stream(spark, sf_dir, "orders")),
+        {"hbase": down, "doris": standby_customer(sf_dir)},
+        {"o_custkey": "c_custkey"},
+        CUSTOMER,
+        OPTIONS,
+        sink=folder_sink(out),
+        log_sink=folder_sink(log, files=1),
+        checkpoint=checkpoint,
+        name="s3",
+        subtasks=4,
+        trigger=ONCE,
+    ).awaitTermination()
+    rows = spark.read.schema(LOG_SCHEMA).parquet(log)
+    return rows.groupBy("lookup_source").agg(
+        F.count_distinct("subtask").alias("subtasks"), F.sum("n_keys").alias("n_keys"), F.sum("standby_hits").alias("hits")
+    )
+
+
 def plain_log(spark, sf_dir):
     """The derived lookup log with the columns of a written one."""
     log = lookup_log(spark, sf_dir)

@@ -299,6 +299,22 @@ def a7_rowkey_multi_get(spark, sf_dir):
     return found.df.drop("o_custkey")
 
 
+@query(
+    "a7_rowkeys_of_large_orders",
+    f"""
+    SELECT o.o_orderkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment
+    FROM orders o LEFT JOIN ({CELLS_SQL}) c ON o.o_custkey = c.c_custkey
+    WHERE o.o_totalprice > 495000
+    """,
+)
+def a7_rowkeys_of_large_orders(spark, sf_dir):
+    """Orders worth a call have few customers, whose rowkeys the scan is asked for one by one."""
+    store = WideStore(lambda s: customer_cells(s, sf_dir), CELL_SCHEMA, ["c_custkey"], encoding="typed")
+    orders = table(spark, sf_dir, "orders").filter("o_totalprice > 495000").select("o_orderkey", "o_custkey")
+    found = failover_lookup(orders, {"hbase": store, "doris": store}, {"o_custkey": "c_custkey"}, CELL_SCHEMA, OPTIONS)
+    return found.df.drop("o_custkey")
+
+
 MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
