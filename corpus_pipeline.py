@@ -22,8 +22,10 @@ TOKENIZER = "byte_bpe_50k.json"
 SHINGLE = 5
 
 # Texts go to Python in batches of this many bytes and rows at most, as workers of several stages share an executor.
-BATCH_BYTES = 8 << 20
-BATCH_ROWS = 2_000
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1_000
+# Rows that Parquet's reader takes at once; whole texts make its usual 4096 several arrays of many MB in every task.
+READ_ROWS = 128
 
 # Tokenising, sampling and a trained model are beyond SQL.
 ORACLE_SQL = None
@@ -32,6 +34,7 @@ ORACLE_SQL = None
 def _bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +57,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded_batches(spark)
     return mix(docs)
 
 
