@@ -10,6 +10,7 @@ from which pieces that occur again come back; those that do not are forgotten.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Callable
@@ -75,6 +76,7 @@ def _specials(tokenizer) -> re.Pattern[str]:
 def _library(path: str):
     store = worker_store("encoding")
     if path not in store:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         store[path] = Tokenizer.from_file(path)
@@ -136,20 +138,22 @@ class BlankFreeCounter:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _library(path)
-        self.model = self.tokenizer.model
-        self.pieces = worker_store("encoding").setdefault(("counts", path), _Pieces(None))
-        self.pieces.encode = self._encode
-
-    def _encode(self, piece: str) -> int:
-        plain = _PLAIN.fullmatch(piece)
-        if plain is None:
-            return len(self.tokenizer.encode(piece, add_special_tokens=False)) if piece else 0
-        if plain[2]:
-            return self.pieces[plain[1]] + self.pieces[plain[2]]
-        return len(self.model.tokenize(_spelled(piece.lower())))
-
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        self.pieces.trim()
-        return sum(map(self.pieces.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+        self.known = worker_store("encoding").setdefault(("counts", path), _Pieces(None))
+
+    def count(self, texts: list[str]) -> list[int]:
+        """Tokens of every text; the words that are new here go to the library as one batch, of which only lengths are kept."""
+        self.known.trim()
+        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        new = []
+        for word in set().union(*words).difference(self.known):
+            if word in self.known.old:
+                self.known[word] = self.known.old[word]
+            else:
+                new.append(word)
+        for word, encoding in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            self.known[word] = len(encoding)
+        counts = [sum(map(self.known.__getitem__, w)) for w in words]
+        for word in new:
+            if len(word) > CACHED_CHARS:
+                del self.known[word]
+        return counts

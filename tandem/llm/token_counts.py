@@ -1,9 +1,10 @@
 """Token counts: how many ids a tokenizer gives a text, without ever returning the ids.
 
 An Arrow function takes the texts of a batch, cuts those that are long at white space, deals the
-parts out to groups of about equal bytes, counts group by group and returns only lengths. The
-tokenizer must drop white space, so that a blank is a boundary no token and no special string
-crosses.
+parts out to groups of about equal bytes, has the library encode each group as a batch and returns
+only lengths. The tokenizer must drop white space, so that a blank is a boundary no token and no
+special string crosses; hence a group goes to the library as its distinct words, without those whose
+length the worker still knows, and never holds more of the library's output than a group has bytes for.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tandem.llm.encoding import BlankFreeCounter
 
 PART_CHARS = 1 << 16
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 512 << 10
 
 
 def safe_parts(text: str, part_chars: int = PART_CHARS) -> Iterator[str]:
@@ -62,9 +63,9 @@ def token_counts(text: str | Column, tokenizer: str, part_chars: int = PART_CHAR
                     for part in safe_parts(whole, part_chars):
                         owners.append(row)
                         parts.append(part)
-            for group in byte_groups([len(p) for p in parts]):
-                for at in group:
-                    totals[owners[at]] += counter.count(parts[at])
+            for group in byte_groups([len(p.encode()) for p in parts]):
+                for at, n in zip(group, counter.count([parts[at] for at in group])):
+                    totals[owners[at]] += n
             yield pa.array(totals)
 
     count.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

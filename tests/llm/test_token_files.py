@@ -31,7 +31,7 @@ def libraries():
 def test_pieces_give_what_the_library_gives(libraries, text):
     spaced, blank_free = libraries
     assert SpacedEncoder(SPACED).ids(text).tolist() == spaced.encode(text, add_special_tokens=False).ids
-    assert BlankFreeCounter(BLANK_FREE).count(text) == len(blank_free.encode(text, add_special_tokens=False).ids)
+    assert BlankFreeCounter(BLANK_FREE).count([text, "", text]) == [len(blank_free.encode(t, add_special_tokens=False).ids) for t in (text, "", text)]
 
 
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 3_000])
@@ -123,3 +123,24 @@ def test_old_pieces_come_back():
     pieces.trim()
     assert not len(pieces) and pieces["5"] == "5" and encoded.count("5") == 1
     assert pieces["x" * 41] == "X" * 41 and "x" * 41 not in pieces
+
+
+def test_new_words_are_encoded_as_one_batch():
+    counter = BlankFreeCounter(BLANK_FREE)
+    library, batches = counter.tokenizer, []
+
+    class Watched:
+        def encode_batch(self, words, add_special_tokens):
+            batches.append(sorted(words))
+            return library.encode_batch(words, add_special_tokens=add_special_tokens)
+
+    counter.tokenizer = Watched()
+    counter.known.clear()
+    counter.known.old = {}
+    long = "unrepeatable" * 10
+    first = counter.count([f"one two {long}", "two three"])
+    assert batches == [sorted(["one", "two", long, "three"])]
+    assert counter.count([f"one two {long}", "two three"]) == first
+    assert batches[1:] == [[long]]  # too long to be kept
+    counter.known.old, _ = dict(counter.known), counter.known.clear()
+    assert counter.count(["two three"]) == first[1:] and batches[2:] == [[]]
