@@ -116,6 +116,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_hard_negatives": op13_hard_negatives,
 }
 
+_OP2 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+),
+w AS (
+  SELECT DISTINCT item, n, array_to_string(words[i + 1:i + n], ' ') AS said
+  FROM (SELECT item, words, least(13, len(words)) AS n, unnest(range(0, greatest(1, len(words) - 12))) AS i FROM b WHERE len(words) > 0)
+),
+p AS (
+  SELECT r, n, i, array_to_string(words[i + 1:i + n], ' ') AS said
+  FROM (SELECT r, words, n, unnest(range(0, len(words) - n + 1)) AS i FROM d JOIN (SELECT DISTINCT n FROM w) ON len(words) >= n)
+),
+h AS (SELECT r, p.n, i, item FROM p JOIN w USING (said)),
+c AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(words), false) AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+"""
+
 _OP5 = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -235,6 +262,7 @@ QUALIFY row_number() OVER w <= 5
 """
 
 ORACLES: dict[str, str] = {
+    "op2_decontaminate": _OP2.strip(),
     "op5_exact_dedup": _OP5.strip(),
     "op10_warc": _OP10.strip(),
     "op11_line_dedup": _OP11.strip(),
