@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tandem.llm.common import partitions_for, release
+from tandem.llm.common import partitions_for, release, within
 from tandem.llm.encoding import SpacedEncoder
 from tandem.session import estimated_bytes
 
@@ -75,12 +75,6 @@ def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(lanes.T)
 
 
-def _within(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Positions start, start + 1, ... of every run, one run after the other."""
-    before = np.cumsum(counts) - counts
-    return np.repeat(starts - before, counts) + np.arange(counts.sum())
-
-
 def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Minimum, width and exception count per block, block starts, and the bytes of all blocks."""
     blocks = -(-len(ids) // BLOCK)
@@ -106,9 +100,9 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[np.ndarr
             low = values[rows] & np.uint64((1 << int(width)) - 1)
             out[starts[rows, None] + np.arange(16 * int(width))] = _pack(low, int(width))
     block, position = np.nonzero(outlying)
-    out[_within(starts[:-1] + body, exceptions)] = position.astype(np.uint8)
+    out[within(starts[:-1] + body, exceptions)] = position.astype(np.uint8)
     high = (values[block, position] >> widths[block].astype(np.uint64)).astype("<u4")
-    out[_within(starts[:-1] + body + exceptions, 4 * exceptions)] = high.view(np.uint8)
+    out[within(starts[:-1] + body + exceptions, 4 * exceptions)] = high.view(np.uint8)
     return least.astype("<u4"), widths, exceptions.astype(np.uint8), starts, out
 
 
@@ -122,8 +116,8 @@ def unpack_blocks(least, widths, exceptions, starts, data, n: int) -> np.ndarray
     exceptions = exceptions.astype(np.int64)
     body = starts[:-1] + 16 * widths.astype(np.int64)
     block = np.repeat(np.arange(len(widths)), exceptions)
-    position = data[_within(body, exceptions)]
-    high = data[_within(body + exceptions, 4 * exceptions)].view("<u4").astype(np.uint64)
+    position = data[within(body, exceptions)]
+    high = data[within(body + exceptions, 4 * exceptions)].view("<u4").astype(np.uint64)
     values[block, position] |= high << widths[block].astype(np.uint64)
     values += least.astype(np.uint64)[:, None]
     return values.reshape(-1)[:n].astype("<u4")
@@ -207,8 +201,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], ["part", "segment", "base", "n_ids", "image"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids_of(batch.column(1))):
                 doc_ids.append(doc_id)
                 encoded.append(np.concatenate((ids, end)))
                 held += len(ids) + 1

@@ -1,7 +1,9 @@
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -144,3 +146,65 @@ def test_new_words_are_encoded_as_one_batch():
     assert batches[1:] == [[long]]  # too long to be kept
     counter.known.old, _ = dict(counter.known), counter.known.clear()
     assert counter.count(["two three"]) == first[1:] and batches[2:] == [[]]
+
+
+def test_texts_of_a_group_are_cut_and_encoded_together(libraries, monkeypatch):
+    """New plain words go to the library as one string without splitting, what else is new as another; what is known does not."""
+    from tandem.llm import encoding
+
+    library, texts = libraries[0], ["The of zqa, don't 12\nzqb of. " + "x" * 50, None, "", "été of zqa a  b", "of <|endoftext|> zqa", "zqb,"]
+    monkeypatch.setattr(encoding, "worker_store", lambda owner, store={}: store)
+    encoder = SpacedEncoder(SPACED)
+    assert encoder.unsplit is not encoder.tokenizer
+    given_to = {"unsplit": [], "tokenizer": []}
+
+    class Watched:
+        def __init__(self, name):
+            self.name, self.inner = name, getattr(encoder, name)
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            given_to[self.name] += texts
+            return self.inner.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+        def encode(self, text, add_special_tokens):
+            return self.inner.encode(text, add_special_tokens=add_special_tokens)
+
+    encoder.unsplit, encoder.tokenizer = Watched("unsplit"), Watched("tokenizer")
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [i.tolist() for i in encoder.ids_of(pa.array(texts))] == want
+    once = [piece for given in given_to.values() for text in given for piece in re.findall(r"[ \n][^ \n]+", text)]
+    assert len(once) == len(set(once)) and {" of", "\nof", "\nzqb", " 12"} <= set(once) and not {" of.", "\nzqb,"} & set(once)
+    assert len(given_to["unsplit"]) == 2 and len(given_to["tokenizer"]) == 1  # the long word is one by itself
+    given_to["unsplit"].clear(), given_to["tokenizer"].clear()
+    assert [i.tolist() for i in encoder.ids_of(pa.array(texts, pa.large_string()))] == want
+    assert given_to == {"unsplit": [" " + "x" * 50], "tokenizer": []}
+    assert max(map(len, encoder.store["pool"].slots)) <= encoding.CACHED_CHARS
+
+
+def test_pieces_of_the_old_generation_come_back(libraries, monkeypatch):
+    from tandem.llm import encoding
+
+    monkeypatch.setattr(encoding, "POOL_PIECES", 3)
+    monkeypatch.setattr(encoding, "GROUP_BYTES", 16)
+    texts = [f"word{chr(97 + i % 7)}, of w{'abc'[i % 3]}\nof É{'x' * (i % 5)}." + " y" * (i % 4) for i in range(60)]
+    assert [i.tolist() for i in SpacedEncoder(SPACED).ids_of(pa.array(texts))] == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_are_split_where_tokens_join_them_to_blanks(libraries):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from tandem.llm import encoding
+
+    vocabulary = libraries[0].get_vocab()
+    assert encoding._unsplit(libraries[0], vocabulary) is not libraries[0]
+    for token in ("a\u0120b", "\u010aa", "a\u010a"):
+        assert encoding._unsplit(libraries[0], {**vocabulary, token: 50_257}) is libraries[0]
+    other = Tokenizer(models.BPE(ignore_merges=True))
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    assert encoding._unsplit(other, {}) is other
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=12).map("".join), min_size=1, max_size=8))
+def test_groups_give_what_the_library_gives(libraries, texts):
+    assert [i.tolist() for i in SpacedEncoder(SPACED).ids_of(pa.array(texts, pa.string()))] == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
