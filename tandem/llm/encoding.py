@@ -38,6 +38,7 @@ JOINED_PIECES = 2_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _ENDS = ".,;:!?"
 _PLAIN = re.compile(f"\n?[{_LETTERS}]+")
+_EMPTY_PIECE = r"[ \n][ \n]|^[ \n]|[ \n]$"
 _BEFORE_SPACE = re.compile(r"(?= \S)")
 
 
@@ -205,8 +206,10 @@ class SpacedEncoder:
         return slots
 
     def _group(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        # Texts with an empty piece are not worth cutting.
+        cuttable = pc.if_else(pc.match_substring_regex(texts, _EMPTY_PIECE), pa.scalar("", texts.type), texts)
         # A piece is what follows a space, or a line break with what follows that. Every text is begun by a line break of ours.
-        lines = pc.replace_substring(texts, "\n", " \n")
+        lines = pc.replace_substring(cuttable, "\n", " \n")
         cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("", texts.type), lines, pa.scalar("\n", texts.type)), " ")
         pieces = cut.flatten().dictionary_encode()
         index, pieces = pieces.indices.to_numpy(), pieces.dictionary

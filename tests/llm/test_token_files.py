@@ -179,6 +179,9 @@ def test_texts_of_a_group_are_cut_and_encoded_together(libraries, monkeypatch):
     assert [i.tolist() for i in encoder.ids_of(pa.array(texts, pa.large_string()))] == want
     assert given_to == {"unsplit": [" " + "x" * 50], "tokenizer": []}
     assert max(map(len, encoder.store["pool"].slots)) <= encoding.CACHED_CHARS
+    blank = ["new\n\nwords", " new words", "new words\n"]  # not cut at single blanks, so nothing is learned from them
+    assert [i.tolist() for i in encoder.ids_of(pa.array(blank))] == [library.encode(t, add_special_tokens=False).ids for t in blank]
+    assert given_to["unsplit"] == [" " + "x" * 50] and "words" not in encoder.store["pool"].slots
 
 
 def test_pieces_of_the_old_generation_come_back(libraries, monkeypatch):
